@@ -18,11 +18,18 @@ from playlog.functions.scalars import TYPE_POINT
 KEYS = ("player", "season_start", "season")
 
 
+def season_filter(df: DataFrame, seasons: Sequence[str] | None) -> DataFrame:
+    """FLT-9: keep the listed seasons (``'2006/2007'`` labels). The start years
+    are filtered too, which prunes season folders of a stored event table."""
+    if seasons is None:
+        return df
+    labels = list(seasons)
+    starts = sorted({int(s.split("/")[0]) for s in labels})
+    return df.where(F.col("season_start").isin(starts) & F.col("season").isin(labels))
+
+
 def _resolved(events: DataFrame, seasons: Sequence[str] | None = None) -> DataFrame:
-    df = events.where(F.col("player").isNotNull())
-    if seasons is not None:
-        df = df.where(F.col("season").isin(list(seasons)))
-    return df
+    return season_filter(events.where(F.col("player").isNotNull()), seasons)
 
 
 def _count_if(cond: Column) -> Column:
