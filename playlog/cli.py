@@ -46,7 +46,8 @@ def _seasons(a):
     return a.season or None
 
 
-def _print(df: DataFrame, out=sys.stdout) -> None:
+def _print(df: DataFrame, out=None) -> None:
+    out = out or sys.stdout
     for row in df.toLocalIterator():
         out.write(" ".join("" if v is None else str(v) for v in row) + "\n")
 
