@@ -112,9 +112,14 @@ def quarter(time_remaining) -> Column:
 
     Minute 12 is 3RD, 36 and 48 are 1ST; any clock with ``-00`` is OT.
     """
-    m = clock_minute(time_remaining)
+    return quarter_from(clock_minute(time_remaining), is_overtime(time_remaining))
+
+
+def quarter_from(minute, overtime) -> Column:
+    """:func:`quarter` from an already parsed minute and overtime flag."""
+    m = _col(minute)
     return (
-        F.when(is_overtime(time_remaining), F.lit(QUARTER_OT))
+        F.when(_col(overtime), F.lit(QUARTER_OT))
         .when((m >= 0) & (m < 12), F.lit("4TH"))
         .when((m >= 12) & (m < 24), F.lit("3RD"))
         .when((m >= 24) & (m < 36), F.lit("2ND"))
@@ -133,13 +138,22 @@ def quarter_ordinal(q) -> Column:
 
 # --- event text (FN-5..FN-8) -------------------------------------------------
 
+def bracket_head(entry) -> Column:
+    """Text before the first ``]`` of the event text."""
+    return F.split_part(_col(entry), F.lit("]"), F.lit(1))
+
+
 def event_type(line, entry) -> Column:
     """FN-5: no ``[`` in the line -> description; 4-char bracket text -> general; else point."""
-    head = F.split_part(_col(entry), F.lit("]"), F.lit(1))
+    return event_type_from(F.contains(_col(line), F.lit("[")), entry, bracket_head(entry))
+
+
+def event_type_from(line_has_bracket, entry, head) -> Column:
+    """:func:`event_type` from the line's ``[`` test and the bracket head."""
     return (
-        F.when(~F.contains(_col(line), F.lit("[")), F.lit(TYPE_DESCRIPTION))
+        F.when(~_col(line_has_bracket), F.lit(TYPE_DESCRIPTION))
         .when(_col(entry).isNull(), F.lit(None).cast("string"))
-        .when(F.length(head) == 4, F.lit(TYPE_GENERAL))
+        .when(F.length(_col(head)) == 4, F.lit(TYPE_GENERAL))
         .otherwise(F.lit(TYPE_POINT))
     )
 
@@ -159,32 +173,48 @@ def event_team(entry) -> Column:
     )
 
 
+def name_words(entry) -> tuple[Column, Column]:
+    """First and second word after ``'] '`` (NULL without a prefix)."""
+    rest = _after_prefix(entry)
+    return F.split_part(rest, F.lit(" "), F.lit(1)), F.split_part(rest, F.lit(" "), F.lit(2))
+
+
 def name_token(entry) -> Column:
     """FN-7: first word after ``'] '``; a dotted word is glued to the next one."""
-    rest = _after_prefix(entry)
-    w1 = F.split_part(rest, F.lit(" "), F.lit(1))
-    w2 = F.split_part(rest, F.lit(" "), F.lit(2))
+    return name_token_from(*name_words(entry))
+
+
+def name_token_from(w1, w2) -> Column:
+    w1, w2 = _col(w1), _col(w2)
     return F.when(F.contains(w1, F.lit(".")), F.concat(w1, w2)).otherwise(w1)
 
 
 def name_text(entry) -> Column:
     """The token as it is written in the line (``'O. Brien'`` for ``'O.Brien'``)."""
-    rest = _after_prefix(entry)
-    w1 = F.split_part(rest, F.lit(" "), F.lit(1))
-    w2 = F.split_part(rest, F.lit(" "), F.lit(2))
+    return name_text_from(*name_words(entry))
+
+
+def name_text_from(w1, w2) -> Column:
+    w1, w2 = _col(w1), _col(w2)
     return F.when(F.contains(w1, F.lit(".")), F.concat(w1, F.lit(" "), w2)).otherwise(w1)
 
 
 def score_side(entry) -> Column:
     """Team code in the bracket (``'[MIA 2-0]'`` -> ``'MIA'``)."""
-    head = F.split_part(_col(entry), F.lit("]"), F.lit(1))
-    return F.substring(F.split_part(head, F.lit(" "), F.lit(1)), 2, 1 << 20)
+    return score_side_from(bracket_head(entry))
+
+
+def score_side_from(head) -> Column:
+    return F.substring(F.split_part(_col(head), F.lit(" "), F.lit(1)), 2, 1 << 20)
 
 
 def score_token(entry) -> Column:
     """FN-8: first number of ``'a-b'`` in the bracket; NULL when there is none."""
-    head = F.split_part(_col(entry), F.lit("]"), F.lit(1))
-    pair = F.split_part(head, F.lit(" "), F.lit(2))
+    return score_token_from(bracket_head(entry))
+
+
+def score_token_from(head) -> Column:
+    pair = F.split_part(_col(head), F.lit(" "), F.lit(2))
     return F.when(pair != F.lit(""), F.split_part(pair, F.lit("-"), F.lit(1)).try_cast("int"))
 
 
@@ -235,13 +265,14 @@ def is_buzzer_time(type_col, time_remaining, include_overtime: bool = True) -> C
     ``-00:00:07`` has minute 0, so the end of an overtime counts too unless
     ``include_overtime=False``.
     """
-    cond = (
-        (_col(type_col) == TYPE_POINT)
-        & (clock_minute(time_remaining) == 0)
-        & (clock_second(time_remaining) <= BUZZER_SECONDS)
-    )
+    return buzzer_time_from(type_col, clock_minute(time_remaining), clock_second(time_remaining),
+                            is_overtime(time_remaining), include_overtime)
+
+
+def buzzer_time_from(type_col, minute, second, overtime, include_overtime: bool = True) -> Column:
+    cond = (_col(type_col) == TYPE_POINT) & (_col(minute) == 0) & (_col(second) <= BUZZER_SECONDS)
     if not include_overtime:
-        cond = cond & ~is_overtime(time_remaining)
+        cond = cond & ~_col(overtime)
     return F.coalesce(cond, F.lit(False))
 
 

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 # Largest lookup table (rows) that may be broadcast to every executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# NULL-key rows of a shuffled left join are spread over this many salt values.
+NULL_KEY_SALTS = 1024
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most ``max_rows + 1`` rows of the (usually small) side.
+    ``limit(max_rows + 1).count()``: each partition stops after
+    ``max_rows + 1`` rows, so the check reads at most that many rows per
+    partition of the lookup table (a dimension table) and ships one number.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
@@ -24,10 +27,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 
     * If ``right`` has at most ``max_broadcast_rows`` rows, it is broadcast:
       no shuffle of ``left``, and a hot key costs nothing extra.
-    * Otherwise a shuffled join. Rows of ``left`` with a NULL key cannot
-      match, so for a left join they skip the join and are unioned back --
-      all NULL keys would otherwise hash to one reducer. Hot non-NULL keys
-      are split by AQE's skew-join handling.
+    * Otherwise a shuffled join. For a left join, rows of ``left`` with a NULL
+      key cannot match; instead of all hashing to one reducer they get a salted
+      stand-in key (a hash of the row) plus a flag that no ``right`` row carries,
+      so they spread evenly and still find no partner. Hot non-NULL keys are
+      split by AQE's skew-join handling.
 
     ``size_probe`` is a cheaper table with at least as many rows as
     ``right`` (e.g. the raw roster before de-duplication) to run the check on.
@@ -37,11 +41,18 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
         return left.join(F.broadcast(right), on=keys, how=how)
     if how != "left":
         return left.join(right, on=keys, how=how)
-    has_key = None
+
+    any_null = None
     for k in keys:
-        cond = F.col(k).isNotNull()
-        has_key = cond if has_key is None else (has_key & cond)
-    keyed = left.where(has_key).join(right, on=keys, how="left")
+        cond = F.col(k).isNull()
+        any_null = cond if any_null is None else (any_null | cond)
+    salt = F.concat(F.lit("~"), F.pmod(F.hash(*[F.col(c) for c in left.columns]), F.lit(NULL_KEY_SALTS)).cast("string"))
+    lk = left.select("*", any_null.alias("_pl_null_key"),
+                     *[F.coalesce(F.col(k).cast("string"), salt).alias(f"_pl_k{i}") for i, k in enumerate(keys)])
     extra = [c for c in right.columns if c not in keys]
-    unkeyed = left.where(~has_key).select("*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
-    return keyed.unionByName(unkeyed)
+    rk = right.select(F.lit(False).alias("_pl_null_key"),
+                      *[F.col(k).cast("string").alias(f"_pl_k{i}") for i, k in enumerate(keys)],
+                      *[F.col(c) for c in extra])
+    join_keys = ["_pl_null_key"] + [f"_pl_k{i}" for i in range(len(keys))]
+    joined = lk.join(rk, on=join_keys, how="left")
+    return joined.select(*[F.col(c) for c in left.columns], *[F.col(c) for c in extra])

@@ -1,7 +1,10 @@
 """Raw log lines -> typed event rows.
 
-One projection over the text; Catalyst drops the expressions a query does not
-use, so every query can start from :func:`parse_log`.
+Staged projections: each split of the line, the clock and the event text is
+computed once as a helper column and every derived column reads the helper.
+Catalyst does not merge a stage into the next when that would repeat a
+non-trivial expression, so the splits stay single. Unused columns are pruned
+by Catalyst, so every query can start from :func:`parse_log`.
 """
 
 from __future__ import annotations
@@ -11,54 +14,74 @@ from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
 
+_HELPERS = ("_pl_fields", "_pl_clock", "_pl_head", "_pl_has_prefix", "_pl_prefix", "_pl_w1", "_pl_w2",
+            "_pl_bracket", "_pl_side", "_pl_score")
+
 
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Split ``game_id \\t line_no \\t clock \\t entry`` lines into event columns.
 
-    Columns: game_id, date, game_date, home, away, line_no, time_remaining,
-    minute, second, is_ot, quarter, entry, type, team, name_token, name_text,
-    score_home_token, score_away_token, season_start, season, points, is_made,
-    is_missed, is_foul, is_buzzer, buzzer_value, status, plus ``value`` (the
-    line). ``status`` is ``'malformed'`` when the line has fewer than 4 fields.
+    Columns: value (the line), game_id, date, game_date, home, away, line_no,
+    time_remaining, minute, second, is_ot, quarter, entry, type, team,
+    name_token, name_text, score_home_token, score_away_token, season_start,
+    season, points, is_made, is_missed, is_foul, is_buzzer, buzzer_value,
+    status (``'malformed'`` when the line has fewer than 4 fields).
     """
-    v = F.col(value_col)
-    parts = F.split(v, S.FIELD_SEP)
-    df = raw.select(
-        v.alias("value"),
-        F.get(parts, 0).alias("game_id"),
-        F.get(parts, 1).try_cast("int").alias("line_no"),
-        F.get(parts, 2).alias("time_remaining"),
-        F.get(parts, 3).alias("entry"),
-    )
-    type_col = S.event_type(F.col("value"), F.col("entry"))
-    season_start = S.season_start(S.game_date_text("game_id"))
-    return df.select(
+    fields = raw.select(F.col(value_col).alias("value"), F.split(F.col(value_col), S.FIELD_SEP).alias("_pl_fields"))
+    base = fields.select(
         "value",
-        "game_id",
+        F.get("_pl_fields", 0).alias("game_id"),
+        F.get("_pl_fields", 1).try_cast("int").alias("line_no"),
+        F.get("_pl_fields", 2).alias("time_remaining"),
+        F.get("_pl_fields", 3).alias("entry"),
+    )
+    has_prefix = F.contains(F.col("entry"), F.lit(S.PREFIX_END))
+    helpers = base.select(
+        "*",
         S.game_date_text("game_id").alias("date"),
-        S.game_date("game_id").alias("game_date"),
         S.game_home("game_id").alias("home"),
         S.game_away("game_id").alias("away"),
-        "line_no",
-        "time_remaining",
-        S.clock_minute("time_remaining").alias("minute"),
-        S.clock_second("time_remaining").alias("second"),
+        F.split(F.col("time_remaining"), ":").alias("_pl_clock"),
+        S.bracket_head("entry").alias("_pl_head"),
+        has_prefix.alias("_pl_has_prefix"),
+        F.split_part(F.col("entry"), F.lit(S.PREFIX_END), F.lit(1)).alias("_pl_prefix"),
+        F.when(has_prefix, F.split_part(F.col("entry"), F.lit(S.PREFIX_END), F.lit(2))).alias("_pl_rest"),
+        F.contains(F.col("value"), F.lit("[")).alias("_pl_bracket"),
+    )
+    words = helpers.select(
+        "*",
+        F.split_part("_pl_rest", F.lit(" "), F.lit(1)).alias("_pl_w1"),
+        F.split_part("_pl_rest", F.lit(" "), F.lit(2)).alias("_pl_w2"),
+        F.get("_pl_clock", 1).try_cast("int").alias("minute"),
+        F.get("_pl_clock", 2).try_cast("int").alias("second"),
         S.is_overtime("time_remaining").alias("is_ot"),
-        S.quarter("time_remaining").alias("quarter"),
-        "entry",
-        type_col.alias("type"),
-        S.event_team("entry").alias("team"),
-        S.name_token("entry").alias("name_token"),
-        S.name_text("entry").alias("name_text"),
-        S.score_for("entry", S.game_home("game_id")).alias("score_home_token"),
-        S.score_for("entry", S.game_away("game_id")).alias("score_away_token"),
-        season_start.alias("season_start"),
-        S.season_label(season_start).alias("season"),
-        S.event_points(type_col, "entry").alias("points"),
-        S.is_made(type_col, "entry").alias("is_made"),
-        S.is_missed(type_col, "entry").alias("is_missed"),
+        S.event_type_from("_pl_bracket", "entry", "_pl_head").alias("type"),
+        S.score_side_from("_pl_head").alias("_pl_side"),
+        S.score_token_from("_pl_head").alias("_pl_score"),
+        S.season_start("date").alias("season_start"),
+    ).drop("_pl_rest")
+    typed = F.col("type")
+    out = words.select(
+        "*",
+        S.game_date("game_id").alias("game_date"),
+        S.quarter_from("minute", "is_ot").alias("quarter"),
+        F.when(F.col("_pl_has_prefix"), F.substring("_pl_prefix", 2, 3)).alias("team"),
+        S.name_token_from("_pl_w1", "_pl_w2").alias("name_token"),
+        S.name_text_from("_pl_w1", "_pl_w2").alias("name_text"),
+        F.when(F.col("_pl_side") == F.col("home"), F.col("_pl_score")).alias("score_home_token"),
+        F.when(F.col("_pl_side") == F.col("away"), F.col("_pl_score")).alias("score_away_token"),
+        S.season_label("season_start").alias("season"),
+        S.event_points(typed, "entry").alias("points"),
+        S.is_made(typed, "entry").alias("is_made"),
+        S.is_missed(typed, "entry").alias("is_missed"),
         S.is_foul("entry").alias("is_foul"),
-        S.is_buzzer_time(type_col, "time_remaining").alias("is_buzzer"),
+        S.buzzer_time_from(typed, "minute", "second", "is_ot").alias("is_buzzer"),
         S.buzzer_value("entry").alias("buzzer_value"),
         F.when(F.col("entry").isNull(), F.lit("malformed")).otherwise(F.lit("ok")).alias("status"),
     )
+    return out.select(
+        "value", "game_id", "date", "game_date", "home", "away", "line_no", "time_remaining", "minute", "second",
+        "is_ot", "quarter", "entry", "type", "team", "name_token", "name_text", "score_home_token",
+        "score_away_token", "season_start", "season", "points", "is_made", "is_missed", "is_foul", "is_buzzer",
+        "buzzer_value", "status",
+    )

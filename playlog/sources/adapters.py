@@ -10,8 +10,10 @@ resolve → aggregate path runs on data whose size grows with the tables.
 * Corpus B (ordered log): ``events``, numbered per game by (ts, event_id),
   with running scores. It serves running score and match documents.
 
-The dimension joins are plain equi-joins: Catalyst and AQE pick broadcast only
-when the measured side is under ``autoBroadcastJoinThreshold``.
+Line items and orders join with a sort-merge join on the order key; the
+dimension joins are plain equi-joins that Catalyst and AQE broadcast only when
+the measured side is under ``autoBroadcastJoinThreshold``. ``spread`` spreads
+an unsplittable small input before expensive per-row work.
 """
 
 from __future__ import annotations
@@ -37,6 +39,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name)).select(*cols)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan has fewer partitions
+    than the default parallelism (an input Spark cannot split, e.g. a file
+    with one row group). Large inputs already have enough splits and are
+    left alone, so no shuffle is added at scale."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _pad2(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
@@ -59,7 +70,9 @@ def corpus_a_events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     oc = o.join(c, o.o_custkey == c.c_custkey)
-    return li.join(oc, li.l_orderkey == oc.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
+    # Line items and orders are both fact tables: a shuffled sort-merge join on
+    # the order key, never a broadcast of either (their size grows with the data).
+    return li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
 
 
 def corpus_a_log(spark: SparkSession, sf_dir: str) -> DataFrame:
