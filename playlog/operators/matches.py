@@ -116,6 +116,11 @@ def events_from_json(df: DataFrame, col: str = "value") -> DataFrame:
     return df.select(parsed.alias("_pl_e")).select("_pl_e.*")
 
 
+def documents_as_json(docs: DataFrame) -> DataFrame:
+    """FN-16 / SNK-2: one JSON text per document (column ``value``), for text sinks."""
+    return docs.select(F.to_json(F.struct(*[F.col(c) for c in docs.columns])).alias("value"))
+
+
 def report_summary(docs: DataFrame) -> DataFrame:
     """FN-16: per document, events count and the last event's score."""
     last = F.element_at(F.col("report"), -1)

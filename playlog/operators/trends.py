@@ -68,6 +68,18 @@ def chain(df: DataFrame, key, order: str, value: str, name: str = "chain") -> Da
         F.sort_array(F.collect_list(F.struct(F.col(order), F.col(value)))).alias(name))
 
 
+def periods_with_neighbour(df: DataFrame, key, order: str, step: int = 1) -> DataFrame:
+    """Rows whose period has an adjacent period (p - step or p + step) for the
+    same key -- the periods that take part in at least one pair. One window
+    over ``key``; a later ``groupBy(key)`` reuses its partitioning."""
+    keys = _names(key)
+    w = Window.partitionBy(*keys).orderBy(order)
+    prev_gap = F.col(order) - F.lag(order).over(w)
+    next_gap = F.lead(order).over(w) - F.col(order)
+    return df.select("*", prev_gap.alias("_pl_pg"), next_gap.alias("_pl_ng")).where(
+        (F.col("_pl_pg") == step) | (F.col("_pl_ng") == step)).drop("_pl_pg", "_pl_ng")
+
+
 def periods_in_pairs(pairs: DataFrame, key, order_from: str, order_to: str, value_from: str,
                      value_to: str, order: str, value: str) -> DataFrame:
     """The (key, period, value) rows that take part in at least one pair, each once."""

@@ -98,10 +98,8 @@ def ratio_trend(events: DataFrame, min_attempts: int = 300, seasons: Sequence[st
 def ratio_trend_chain(events: DataFrame, min_attempts: int = 300, seasons: Sequence[str] | None = None) -> DataFrame:
     """Q-8 chain: per player, (season, ratio) for every season in a pair, in
     season order, each season once."""
-    ratio = M.shooting_ratio(events, min_attempts, seasons)
-    pairs = T.consecutive_diff(ratio, "player", "season_start", "ratio")
-    rows = T.periods_in_pairs(pairs, "player", "season_start_from", "season_start_to",
-                              "ratio_from", "ratio_to", "season_start", "ratio")
+    ratio = M.shooting_ratio(events, min_attempts, seasons).select("player", "season_start", "ratio")
+    rows = T.periods_with_neighbour(ratio, "player", "season_start")
     return T.chain(rows, "player", "season_start", "ratio")
 
 

@@ -51,3 +51,10 @@ def test_replace_first_matches_python(spark, text, search, repl):
     got = spark.createDataFrame([(text, search, repl)], "t string, s string, r string").select(
         S.replace_first("t", "s", "r")).first()[0]
     assert got == text.replace(search, repl, 1)
+
+
+def test_ratio_join_form_equals_one_pass(spark, sf_small):
+    ev = C.events_a(spark, sf_small)
+    one = M.shooting_ratio(ev, 10)
+    two = M.shooting_ratio_by_join(M.makes_by_player_season(ev), M.misses_by_player_season(ev), 10)
+    assert rows(one) == rows(two)

@@ -67,3 +67,9 @@ def test_chain_and_periods(spark):
     per = T.periods_in_pairs(pairs, "player", "s_from", "s_to", "r_from", "r_to", "s", "r")
     ch = T.chain(per, "player", "s", "r").first()
     assert [(e["s"], e["r"]) for e in ch["chain"]] == [(2006, 0.5), (2007, 0.6), (2008, 0.4)]
+
+
+def test_periods_with_neighbour(spark):
+    df = spark.createDataFrame([("p", 2006, 0.5), ("p", 2007, 0.6), ("p", 2008, 0.4), ("p", 2010, 0.9),
+                                ("q", 2001, 0.1)], "player string, s int, r double")
+    assert rows(T.periods_with_neighbour(df, "player", "s"), "player", "s") == [("p", 2006), ("p", 2007), ("p", 2008)]

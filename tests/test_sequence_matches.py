@@ -84,3 +84,13 @@ def test_documents_round_trip(spark):
     assert rows(flat, "game_id", "idLineEvent", "scoreHome", "scoreAway", "playerName") == rows(
         ev.select("game_id", F.col("line_no").cast("string"), F.col("score_home").cast("int"),
                   F.col("score_away").cast("int"), "player"))
+
+
+def test_documents_as_json_round_trip(spark):
+    from playlog.operators.matches import documents_as_json
+
+    ev = running_score(_events(spark))
+    docs = build_matches(ev, assign_match_ids(ev))
+    js = documents_as_json(docs)
+    back = js.select(F.from_json("value", schemas.MATCH).alias("d")).select("d.*")
+    assert rows(report_summary(back), "game_id", "n_events") == rows(report_summary(docs), "game_id", "n_events")
