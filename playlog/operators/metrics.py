@@ -1,7 +1,9 @@
 """Per (player, season) aggregates.
 
-Each metric filters the qualifying events *before* grouping (FLT-6): only
-resolved players are grouped, so no sentinel key is shuffled. Grouping uses
+Each metric selects its key columns and value (PRJ-3) and filters the
+qualifying events *before* grouping (FLT-6): only resolved players are
+grouped, so no sentinel key is shuffled. The source's minimum key lengths
+(FLT-7) are replaced by the same NULL-player filter. Grouping uses
 hash aggregation with a partial (map-side) step, so a hot player costs one
 row per map task, not one row per event.
 """

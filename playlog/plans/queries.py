@@ -73,7 +73,7 @@ def point_trend(events: DataFrame, seasons: Sequence[str] | None = None) -> Data
 
 def buzzer_beaters(events: DataFrame, n: int = 3, ties: str = "first", seasons: Sequence[str] | None = None,
                    include_overtime: bool = True) -> DataFrame:
-    """Q-6: top ``n`` per season by baskets in the last 12 seconds."""
+    """Q-6 (WIN-2): top ``n`` per season by baskets in the last 12 seconds."""
     b = M.buzzer_by_player_season(events, seasons, include_overtime)
     top = R.top_n(b, "baskets", n, "season", ties, tiebreak=["player"])
     return top.select("season", "rank", "player", "baskets")
@@ -124,8 +124,8 @@ def coverage(raw_log: DataFrame, roster: DataFrame, fallback: bool = False) -> D
 
 
 def count_lines_containing(lines: DataFrame, needles: Sequence[str], col: str = "value") -> DataFrame:
-    """Q-12: how many lines contain each needle -- one scan, one conditional
-    count per needle, unpivoted to (needle, n)."""
+    """Q-12 (SRC-4, FLT-10, AGG-9): how many lines contain each needle -- one
+    scan, one conditional count per needle, unpivoted to (needle, n)."""
     counts = lines.agg(*[F.count_if(S.contains_text(F.col(col), nd)).cast("long").alias(f"n{i}")
                          for i, nd in enumerate(needles)])
     stack = F.stack(F.lit(len(needles)), *[x for i, nd in enumerate(needles) for x in (F.lit(nd), F.col(f"n{i}"))])
