@@ -137,7 +137,8 @@ def resolve_players_q(spark, sf_dir):
 
 
 def roster_coverage_q(spark, sf_dir):
-    return roster_coverage(parsed_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
+    # the (team, token) pairs come from the stored event table (two columns read)
+    return roster_coverage(events_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
 
 
 def _rewritten_a(spark, sf_dir):
