@@ -73,3 +73,12 @@ def test_periods_with_neighbour(spark):
     df = spark.createDataFrame([("p", 2006, 0.5), ("p", 2007, 0.6), ("p", 2008, 0.4), ("p", 2010, 0.9),
                                 ("q", 2001, 0.1)], "player string, s int, r double")
     assert rows(T.periods_with_neighbour(df, "player", "s"), "player", "s") == [("p", 2006), ("p", 2007), ("p", 2008)]
+
+
+def test_format_rows_printable(df):
+    from playlog.sources.io import format_rows
+
+    top = R.top_overall(df, "points", 2, ["player", "season"])
+    lines = [r["line"] for r in format_rows(top, "%d %s %s %d", "rank", "player", "season", "points")
+             .orderBy("rank").collect()]
+    assert lines == ["1 a s1 10", "2 b s1 10"]

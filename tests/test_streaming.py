@@ -37,3 +37,20 @@ def test_stream_matches_batch(spark, sf_small):
     batch_pts = (C.events_b(spark, sf_small).where("player is not null and type = 'point'")
                  .groupBy("player", "season").agg(F.sum("points").cast("long").alias("points")))
     assert rows(spark.table("pts_out")) == rows(batch_pts)
+
+
+def test_stream_appends_event_table(spark, sf_small):
+    from playlog.streaming.live import write_events_stream
+
+    base = tempfile.mkdtemp(prefix="playlog-sink-")
+    src = os.path.join(base, "in")
+    C.log_a(spark, sf_small).select("value").write.text(src)
+    roster = A.corpus_a_roster(spark, sf_small)
+    ev = live_events(read_log_stream(spark, src), roster)
+    out = os.path.join(base, "events")
+    q = write_events_stream(ev, out, os.path.join(base, "ck"), trigger_once=True)
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    want = C.events_a(spark, sf_small)
+    assert got.count() == want.count()
+    assert rows(got.groupBy("season", "type").count()) == rows(want.groupBy("season", "type").count())
