@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
 from playlog.operators import metrics as M
-from playlog.operators import ranking as R
 from playlog.operators.ingest import ingest
 from playlog.operators.matches import (
     append_match_ids, assign_match_ids, build_matches, flatten_matches, report_summary)
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import (
-    resolution_status, resolve_players, rewrite_audit, rewrite_log_names, roster_coverage)
+    resolution_status, rewrite_audit, rewrite_log_names, roster_coverage)
 from playlog.plans import queries as Q
 from playlog.session import scratch_path, table_path
 from playlog.sources import adapters as A

@@ -5,7 +5,6 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from playlog.operators.matches import running_score
 from playlog.plans import catalog as C
 from playlog.sources import adapters as A
 from playlog.streaming.live import live_events, live_points, live_running_score, read_log_stream
