@@ -275,7 +275,7 @@ SELECT player, row_number() OVER (PARTITION BY player ORDER BY season_start) AS
 SELECT player || ' ' || season || ' ' || CAST(points AS VARCHAR) AS key, player, season, points FROM p""",
 
     "running_score": _with(_B) + """
-SELECT game_id, line_no, CAST(score_home AS INTEGER) AS score_home, CAST(score_away AS INTEGER) AS score_away FROM b""",
+SELECT game_id, CAST(line_no AS INTEGER) AS line_no, CAST(score_home AS INTEGER) AS score_home, CAST(score_away AS INTEGER) AS score_away FROM b""",
 
     "match_ids": _with(_B) + "SELECT game_id, id_match FROM g",
 

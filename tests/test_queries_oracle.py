@@ -4,7 +4,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tools.compare import digest, duck
+from tools.compare import digest, duck, types_match
 
 NAMES = sorted(E.queries())
 
@@ -26,6 +26,7 @@ def test_query_matches_oracle(spark, sf_small, con, name):
     want_cols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(want_cols)
+    assert types_match(df, cur) == []
     assert len(got) == len(want)
     assert digest(got, df.columns) == digest(want, want_cols)
 
