@@ -50,14 +50,22 @@ def collapse_ties(df: DataFrame, value_cols, partition_by=None, tiebreak=None) -
 
 
 def top_n(df: DataFrame, value_cols, n: int, partition_by=None, ties: str = "first", tiebreak=None,
-          rank_col: str | None = "rank", descending: bool = True) -> DataFrame:
+          rank_col: str | None = "rank", descending: bool = True, collapse_by=None) -> DataFrame:
     """Top ``n`` rows by ``value_cols`` (descending by default) inside each
-    ``partition_by`` group (or overall), with a ``rank_col`` column."""
+    ``partition_by`` group (or overall), with a ``rank_col`` column.
+
+    ``collapse_by`` sets the scope of ``ties='collapse'`` (default: the
+    ranking partition). An empty list collapses equal values across all
+    partitions, as a single value-keyed map over all seasons does: a season's
+    leader then disappears when another season has the same total (SURVEY Q2).
+    """
     if ties not in TIES:
         raise ValueError(f"ties must be one of {TIES}")
     value_cols, part, tb = _names(value_cols), _names(partition_by), _names(tiebreak)
     if ties == "collapse":
-        df = collapse_ties(df, value_cols, part, tb)
+        scope = part if collapse_by is None else _names(collapse_by)
+        extra_tb = [c for c in part if c not in scope and c not in tb]
+        df = collapse_ties(df, value_cols, scope, tb + extra_tb)
     # rank/dense_rank see ties only among equal values, so the tie-break
     # columns order rows for row_number only.
     order = _order(value_cols, tb if ties in ("first", "collapse") else [], descending)
@@ -68,9 +76,10 @@ def top_n(df: DataFrame, value_cols, n: int, partition_by=None, ties: str = "fir
     return out if rank_col else out.drop(tmp)
 
 
-def leader_per(df: DataFrame, value_cols, partition_by, ties: str = "all", tiebreak=None) -> DataFrame:
+def leader_per(df: DataFrame, value_cols, partition_by, ties: str = "all", tiebreak=None,
+               collapse_by=None) -> DataFrame:
     """AGG-8: the row(s) with the largest value in each partition."""
-    return top_n(df, value_cols, 1, partition_by, ties, tiebreak, rank_col=None)
+    return top_n(df, value_cols, 1, partition_by, ties, tiebreak, rank_col=None, collapse_by=collapse_by)
 
 
 def top_overall(df: DataFrame, value_cols, n: int, tiebreak=None, rank_col: str = "rank") -> DataFrame:

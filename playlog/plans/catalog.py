@@ -209,6 +209,24 @@ def buzzer_beaters(spark, sf_dir):
     return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "first")
 
 
+def buzzer_beaters_all(spark, sf_dir):
+    return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "all")
+
+
+def shooting_ratio_leaders_all(spark, sf_dir):
+    return Q.shooting_ratio_leaders(events_a(spark, sf_dir), 3, DRIVER_MIN_ATTEMPTS, ties="all")
+
+
+def quarter_point_leaders_all(spark, sf_dir):
+    return Q.quarter_point_leaders(events_a(spark, sf_dir), 3, "all")
+
+
+def season_top_scorer_collapse(spark, sf_dir):
+    """Q-2 as a value-keyed map over all seasons computes it:
+    equal totals collapse across seasons before each season's leader is taken."""
+    return Q.season_top_scorer(events_a(spark, sf_dir), ties="collapse", collapse_by=[])
+
+
 def buzzer_beaters_collapse(spark, sf_dir):
     return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "collapse")
 
@@ -328,6 +346,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "buzzer_by_player_season": buzzer_by_player_season,
     "buzzer_beaters": buzzer_beaters,
     "buzzer_beaters_collapse": buzzer_beaters_collapse,
+    "buzzer_beaters_all": buzzer_beaters_all,
+    "shooting_ratio_leaders_all": shooting_ratio_leaders_all,
+    "quarter_point_leaders_all": quarter_point_leaders_all,
+    "season_top_scorer_collapse": season_top_scorer_collapse,
     "quarter_points": quarter_points,
     "quarter_point_leaders": quarter_point_leaders,
     "ratio_trend": ratio_trend,

@@ -246,6 +246,34 @@ SELECT season, rank, player, baskets FROM (
   )
 ) WHERE rank <= 3""",
 
+    "buzzer_beaters_all": _with(_A, _BUZZ) + """
+SELECT season, rank, player, baskets FROM (
+  SELECT *, rank() OVER (PARTITION BY season ORDER BY baskets DESC) AS rank FROM bz
+) WHERE rank <= 3""",
+
+    "shooting_ratio_leaders_all": _with(_A, _RATIO) + """
+SELECT season, rank, player, makes, misses, ratio FROM (
+  SELECT *, rank() OVER (PARTITION BY season ORDER BY ratio DESC) AS rank FROM q
+) WHERE rank <= 3""",
+
+    "quarter_point_leaders_all": _with(_A) + """
+SELECT quarter, rank, player, season, points FROM (
+  SELECT *, rank() OVER (PARTITION BY quarter ORDER BY points DESC) AS rank FROM (
+    SELECT quarter, player, season, CAST(sum(points) AS BIGINT) AS points
+    FROM e WHERE player IS NOT NULL AND type = 'point' GROUP BY quarter, player, season
+  )
+) WHERE rank <= 3""",
+
+    "season_top_scorer_collapse": _with(_A, _POINTS) + """,
+one_per_total AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY points ORDER BY player, season) AS rn FROM p
+  ) WHERE rn = 1
+)
+SELECT season, player, points FROM (
+  SELECT *, row_number() OVER (PARTITION BY season ORDER BY points DESC, player) AS rk FROM one_per_total
+) WHERE rk = 1""",
+
     "quarter_points": _with(_A) + """
 SELECT quarter, player, season, CAST(sum(points) AS BIGINT) AS points
 FROM e WHERE player IS NOT NULL AND type = 'point' GROUP BY quarter, player, season""",

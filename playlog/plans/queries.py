@@ -40,10 +40,11 @@ def top_scorers(events: DataFrame, n: int = 11) -> DataFrame:
     return top.select("rank", "player", "season", "points")
 
 
-def season_top_scorer(events: DataFrame, ties: str = "all") -> DataFrame:
+def season_top_scorer(events: DataFrame, ties: str = "all", collapse_by=None) -> DataFrame:
     """Q-2: top scorer(s) of each season."""
     pts = M.points_by_player_season(events)
-    return R.leader_per(pts, "points", "season", ties, tiebreak=["player"]).select("season", "player", "points")
+    return R.leader_per(pts, "points", "season", ties, tiebreak=["player"], collapse_by=collapse_by).select(
+        "season", "player", "points")
 
 
 def shooting_ratio_leaders(events: DataFrame, n: int = 3, min_attempts: int = 300,

@@ -19,9 +19,10 @@ ROSTER_TRUE_NAME_FIELD = 2
 ROSTER_TEAM_FIELD = 4
 
 
-def read_play_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SRC-2: one row per log line, with the file it came from."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+def read_play_log(spark: SparkSession, path: str | list[str], with_source: bool = False) -> DataFrame:
+    """SRC-2: one row per log line (``value``); ``with_source`` adds the file it came from."""
+    df = spark.read.text(path)
+    return df.select("value", F.col("_metadata.file_path").alias("source_file")) if with_source else df
 
 
 def parse_roster(lines: DataFrame, ord_col: Column | None = None, value_col: str = "value") -> DataFrame:

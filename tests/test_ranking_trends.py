@@ -82,3 +82,14 @@ def test_format_rows_printable(df):
     lines = [r["line"] for r in format_rows(top, "%d %s %s %d", "rank", "player", "season", "points")
              .orderBy("rank").collect()]
     assert lines == ["1 a s1 10", "2 b s1 10"]
+
+
+def test_collapse_across_partitions_drops_shared_totals(spark):
+    # s2's leader (10) has the same total as a row of s1: a value-keyed map over
+    # all seasons keeps one of them, so s2 falls back to its next row
+    df = spark.createDataFrame([("s1", "a", 10), ("s1", "b", 4), ("s2", "z", 10), ("s2", "y", 6)],
+                               "season string, player string, points long")
+    got = rows(R.leader_per(df, "points", "season", "collapse", ["player"], collapse_by=[]), "season", "player")
+    assert got == [("s1", "a"), ("s2", "y")]
+    per_season = rows(R.leader_per(df, "points", "season", "collapse", ["player"]), "season", "player")
+    assert per_season == [("s1", "a"), ("s2", "z")]
