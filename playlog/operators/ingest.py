@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playlog.operators.matches import running_score
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players
+from playlog.sources import io
 
 # Columns of the stored event table (season_start is the partition column).
 EVENT_COLUMNS = (
@@ -37,7 +38,7 @@ def events_table(raw_log: DataFrame, roster: DataFrame, include_unresolved: bool
 
 def write_events_table(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet, one folder per season: season filters prune whole folders."""
-    events.write.mode(mode).partitionBy("season_start").parquet(path)
+    io.write_events(events, path, mode)
 
 
 def read_events_table(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import glob
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,7 @@ NEEDLES = ("a", "b")
 # written once as text (as a loader would receive them); the event tables are
 # ingested once from those files; every report reads the stored tables.
 _STORED: dict[tuple, str] = {}
+_STORED_LOCK = threading.RLock()
 
 
 def _fingerprint(sf_dir: str) -> tuple:
@@ -53,11 +55,12 @@ def _fingerprint(sf_dir: str) -> tuple:
 
 def _stored(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, kind, os.path.abspath(sf_dir), _fingerprint(sf_dir))
-    path = _STORED.get(key)
-    if path is None:
-        path = scratch_path(spark, kind)
-        build(path)
-        _STORED[key] = path
+    with _STORED_LOCK:  # one build per table even when queries run from several threads
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(spark, kind)
+            build(path)
+            _STORED[key] = path
     return path
 
 

@@ -94,3 +94,15 @@ def test_documents_as_json_round_trip(spark):
     js = documents_as_json(docs)
     back = js.select(F.from_json("value", schemas.MATCH).alias("d")).select("d.*")
     assert rows(report_summary(back), "game_id", "n_events") == rows(report_summary(docs), "game_id", "n_events")
+
+
+def test_events_from_json_text(spark):
+    from playlog.operators.matches import events_from_json
+
+    ev = running_score(_events(spark))
+    docs = build_matches(ev, assign_match_ids(ev))
+    flat = docs.select(F.explode("report").alias("e")).select(F.to_json("e").alias("value"))
+    back = events_from_json(flat)
+    assert back.columns == [f.name for f in schemas.REPORT_EVENT.fields]
+    assert rows(back, "idLineEvent", "scoreHome", "scoreAway") == rows(
+        ev.select(F.col("line_no").cast("string"), F.col("score_home").cast("int"), F.col("score_away").cast("int")))
