@@ -22,7 +22,7 @@ contiguous slices of the order and are sized by Spark's sampler. Range
 bounds come from sampling and may differ between two evaluations of the
 same plan, so range chunks are checkpointed (written once to the shared
 checkpoint folder) before both branches read them.
-Group keys must be non-NULL.
+NULL group keys and NULL chunks are kept (see :func:`prefix_within`).
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_pl_chunk"
 
@@ -39,6 +40,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _stand_in(c: Column, dt: T.DataType, ordered: bool) -> Column:
+    """``c`` with NULL replaced by a fixed value of the same type (paired with an
+    is-NULL flag, so the stand-in never merges with a real value). Group keys
+    of other types use their JSON text; the chunk must be orderable."""
+    if isinstance(dt, T.StringType):
+        d = F.lit("")
+    elif isinstance(dt, (T.NumericType, T.BooleanType)):
+        d = F.lit(0).cast(dt)
+    elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        d = F.lit("1970-01-01").cast(dt)
+    elif not ordered:
+        return F.to_json(F.struct(c.alias("v")))
+    else:
+        raise TypeError(f"chunk column of type {dt} is not supported")
+    return F.coalesce(c, d)
+
+
 def with_range_chunks(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, n: int | None = None,
                       chunk_col: str = CHUNK) -> DataFrame:
     """Range-partition on (group, order) and tag each row with its partition id.
@@ -70,11 +88,11 @@ def prefix_within(
     * ``counter``: name of a 1-based running row number.
 
     ``order_cols`` must be a total order inside a group; ``chunk`` must not
-    decrease along it.
+    decrease along it (a NULL chunk counts as the first one, as NULL orders
+    first). NULL group keys form their own group; no row is dropped.
     """
     sums = dict(sums or {})
     fills = dict(fills or {})
-    group_cols = list(group_cols)
     order = [_c(o) for o in order_cols]
 
     base_cols = [c for c in df.columns if c != CHUNK]
@@ -86,8 +104,19 @@ def prefix_within(
         # the order as one struct, to pick the last non-NULL value per chunk
         F.struct(*order).alias("_pl_ord"),
     )
-
-    w_local = Window.partitionBy(*group_cols, CHUNK).orderBy(*order)
+    # Non-NULL stand-ins for the group keys and the chunk, with is-NULL flags:
+    # the windows and the equi-join below then never meet a NULL key.
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    keys, extra = [], []
+    for i, g in enumerate(group_cols):
+        extra += [F.col(g).isNull().alias(f"_pl_gn{i}"), _stand_in(F.col(g), types[g], False).alias(f"_pl_g{i}")]
+        keys += [f"_pl_gn{i}", f"_pl_g{i}"]
+    extra += [F.col(CHUNK).isNull().alias("_pl_cn"), _stand_in(F.col(CHUNK), types[CHUNK], True).alias("_pl_c")]
+    staged = staged.select("*", *extra)
+    group_cols = keys
+    chunk_keys = ["_pl_cn", "_pl_c"]
+
+    w_local = Window.partitionBy(*group_cols, *chunk_keys).orderBy(*order)
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local_exprs = []
     for k in sums:
@@ -105,17 +134,19 @@ def prefix_within(
     for k in fills:
         v = F.col(f"_pl_fv_{k}")
         aggs.append(F.max_by(v, F.when(v.isNotNull(), F.col("_pl_ord"))).alias(f"_pl_tf_{k}"))
-    summary = local.groupBy(*group_cols, CHUNK).agg(*aggs)
+    summary = local.groupBy(*group_cols, *chunk_keys).agg(*aggs)
 
-    w_prev = Window.partitionBy(*group_cols).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # NULL chunk first, then chunks in order
+    w_prev = (Window.partitionBy(*group_cols).orderBy(F.col("_pl_cn").desc(), F.col("_pl_c"))
+              .rowsBetween(Window.unboundedPreceding, -1))
     carry_exprs = [F.sum("_pl_tc").over(w_prev).alias("_pl_cc")]
     for k in sums:
         carry_exprs.append(F.sum(f"_pl_ts_{k}").over(w_prev).alias(f"_pl_cs_{k}"))
     for k in fills:
         carry_exprs.append(F.last(f"_pl_tf_{k}", ignorenulls=True).over(w_prev).alias(f"_pl_cf_{k}"))
-    carry = summary.select(*group_cols, CHUNK, *carry_exprs)
+    carry = summary.select(*group_cols, *chunk_keys, *carry_exprs)
 
-    joined = local.join(carry, on=[*group_cols, CHUNK], how="inner")
+    joined = local.join(carry, on=[*group_cols, *chunk_keys], how="inner")
     out = [F.col(c) for c in base_cols]
     for k in sums:
         out.append((F.coalesce(F.col(f"_pl_cs_{k}"), F.lit(0)) + F.col(f"_pl_ls_{k}")).alias(k))

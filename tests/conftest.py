@@ -27,4 +27,4 @@ def sf_small():
 def rows(df, *cols):
     """Sorted list of tuples of the given columns (all when none given)."""
     sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())
+    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((v is None, v) for v in t))

@@ -106,3 +106,15 @@ def test_events_from_json_text(spark):
     assert back.columns == [f.name for f in schemas.REPORT_EVENT.fields]
     assert rows(back, "idLineEvent", "scoreHome", "scoreAway") == rows(
         ev.select(F.col("line_no").cast("string"), F.col("score_home").cast("int"), F.col("score_away").cast("int")))
+
+
+def test_prefix_keeps_null_keys_and_null_order(spark):
+    df = spark.createDataFrame(
+        [("g", 1, 5), ("g", None, 7), ("g", 2, None), (None, 1, 3), (None, 2, 4), ("h", 1, 1)],
+        "g string, o int, v int")
+    got = prefix_within(df, ["g"], ["o"], F.floor(F.col("o") / 2), sums={"s": F.col("v")}, counter="n")
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("g", "o", F.sum(F.coalesce("v", F.lit(0))).over(w).alias("s"),
+                    F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long").alias("n"))
+    assert got.count() == 6
+    assert rows(got, "g", "o", "s", "n") == rows(ref, "g", "o", "s", "n")
