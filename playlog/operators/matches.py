@@ -90,8 +90,9 @@ def build_matches(events: DataFrame, match_ids: DataFrame, max_events: int = DEF
     grouped = ev.groupBy("game_id", "part").agg(F.sort_array(F.collect_list("_pl_ev")).alias("_pl_report"))
     fields = [f.name for f in schemas.REPORT_EVENT.fields]
     report = F.transform(F.col("_pl_report"), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-    ids = match_ids.select("game_id", "id_match", "date", "home", "away")
-    return grouped.join(ids, "game_id").select(
+    ids = match_ids.select(F.col("game_id").alias("_pl_gid"), "id_match", "date", "home", "away")
+    # NULL-safe: a line without a game id still lands in a (NULL-id) document
+    return grouped.join(ids, grouped["game_id"].eqNullSafe(ids["_pl_gid"])).select(
         "id_match", "game_id", "part", "date", "home", "away", report.alias("report"))
 
 
