@@ -39,15 +39,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name)).select(*cols)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan has fewer partitions
-    than the default parallelism (an input Spark cannot split, e.g. a file
-    with one row group). Large inputs already have enough splits and are
-    left alone, so no shuffle is added at scale."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def _pad2(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
