@@ -12,8 +12,7 @@ resolve → aggregate path runs on data whose size grows with the tables.
 
 Line items and orders join with a sort-merge join on the order key; the
 dimension joins are plain equi-joins that Catalyst and AQE broadcast only when
-the measured side is under ``autoBroadcastJoinThreshold``. ``spread`` spreads
-an unsplittable small input before expensive per-row work.
+the measured side is under ``autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
