@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 
 from playlog.operators import ranking as R
 from playlog.operators.ingest import ingest, read_events_table
+from playlog.operators.matches import events_from_documents
 from playlog.operators.roster import rewrite_audit
 from playlog.plans import queries as Q
 from playlog.sources import io
@@ -66,7 +67,10 @@ def main(argv=None) -> int:
 
     r = sub.add_parser("report", help="run a report on an event table")
     r.add_argument("name", choices=sorted(REPORTS))
-    r.add_argument("--events", required=True)
+    src = r.add_mutually_exclusive_group(required=True)
+    src.add_argument("--events", help="event table written by ingest")
+    src.add_argument("--documents", help="match documents (build-matches output)")
+    r.add_argument("--documents-format", default="parquet")
     r.add_argument("--n", type=int, default=None)
     r.add_argument("--ties", choices=R.TIES, default=None)
     r.add_argument("--min-attempts", type=int, default=300)
@@ -110,7 +114,11 @@ def main(argv=None) -> int:
         ingest(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.out,
                include_unresolved=a.include_unresolved, with_scores=a.with_scores)
     elif a.cmd == "report":
-        _print(REPORTS[a.name](read_events_table(spark, a.events), a))
+        if a.events:
+            ev = read_events_table(spark, a.events)
+        else:
+            ev = events_from_documents(io.read_matches(spark, a.documents, fmt=a.documents_format))
+        _print(REPORTS[a.name](ev, a))
     elif a.cmd == "build-matches":
         docs = Q.match_documents(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster),
                                  a.id_offset, a.max_events)

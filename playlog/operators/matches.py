@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog import schemas
+from playlog.functions import scalars as S
 from playlog.operators.sequence import prefix_within
 
 DEFAULT_CHUNK_LINES = 4096
@@ -111,6 +112,39 @@ def flatten_matches(docs: DataFrame) -> DataFrame:
     )
 
 
+def events_from_documents(docs: DataFrame) -> DataFrame:
+    """Stored match documents -> the event columns the reports use.
+
+    Flattens ``report`` (reading only the needed fields) and derives season,
+    points, made/missed/foul/buzzer flags and clock fields from the stored
+    type, entry, clock and date -- so every report runs on a document
+    collection as well as on the event table.
+    """
+    needed = ["type", "idLineEvent", "timeRemaining", "entry", "scoreHome", "scoreAway", "playerName"]
+    zipped = F.arrays_zip(*[F.col("report")[f].alias(f) for f in needed])
+    ex = docs.select("id_match", "game_id", "date", "home", "away", F.explode(zipped).alias("_pl_e"))
+    e = ex.select("id_match", "game_id", "date", "home", "away",
+                  *[F.col("_pl_e")[f].alias(f) for f in needed])
+    start = S.season_start(F.col("date"))
+    t = F.col("timeRemaining")
+    return e.select(
+        "id_match", "game_id", "date", "home", "away",
+        F.col("idLineEvent").try_cast("int").alias("line_no"),
+        t.alias("time_remaining"), "entry", "type",
+        S.clock_minute(t).alias("minute"), S.clock_second(t).alias("second"),
+        S.is_overtime(t).alias("is_ot"), S.quarter(t).alias("quarter"),
+        start.alias("season_start"), S.season_label(start).alias("season"),
+        S.event_points("type", "entry").alias("points"),
+        S.is_made("type", "entry").alias("is_made"),
+        S.is_missed("type", "entry").alias("is_missed"),
+        S.is_foul("entry").alias("is_foul"),
+        S.is_buzzer_time("type", t).alias("is_buzzer"),
+        S.buzzer_value("entry").alias("buzzer_value"),
+        F.col("scoreHome").alias("score_home"), F.col("scoreAway").alias("score_away"),
+        F.nullif(F.col("playerName"), F.lit("")).alias("player"),
+    )
+
+
 def events_from_json(df: DataFrame, col: str = "value") -> DataFrame:
     """PRJ-2 / FN-16: event records that arrive as JSON text -> typed columns."""
     parsed = F.from_json(F.col(col), schemas.REPORT_EVENT)

@@ -20,7 +20,7 @@ from playlog.functions import scalars as S
 from playlog.operators import metrics as M
 from playlog.operators.ingest import ingest
 from playlog.operators.matches import (
-    append_match_ids, assign_match_ids, build_matches, flatten_matches, report_summary)
+    append_match_ids, assign_match_ids, build_matches, events_from_documents, flatten_matches, report_summary)
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import (
     resolution_status, rewrite_audit, rewrite_log_names, roster_coverage)
@@ -300,6 +300,15 @@ def flatten_matches_q(spark, sf_dir):
                        F.col("scoreAway").alias("score_away"), F.col("playerName").alias("player"))
 
 
+def points_from_documents(spark, sf_dir):
+    """The reports' input as the source reads it: match documents from a
+    stored collection (Parquet in the shared folder), flattened, then AGG-2."""
+    path = _stored(spark, sf_dir, "matches_b",
+                   lambda p: io.write_matches(_docs_b(spark, sf_dir), p, fmt="parquet", mode="overwrite"))
+    ev = events_from_documents(io.read_matches(spark, path, fmt="parquet"))
+    return M.points_by_player_season(ev).select("player", "season", "points")
+
+
 def merge_logs(spark, sf_dir):
     """SET-1/SET-3: the log arrives as two loads; the later load's match ids
     continue after the earlier one's."""
@@ -363,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_matches": build_matches_q,
     "flatten_matches": flatten_matches_q,
     "merge_logs": merge_logs,
+    "points_from_documents": points_from_documents,
     "count_lines_containing": count_lines_containing,
     "generic_top_n": generic_top_n,
 }

@@ -321,6 +321,13 @@ SELECT g.id_match, b.game_id, CAST(b.line_no AS INTEGER) AS line_no,
   CASE WHEN b.pts > 0 OR b.event_type = 'view' THEN 'User, ' || CAST(b.user_id AS VARCHAR) END AS player
 FROM b JOIN g ON b.game_id = g.game_id""",
 
+    "points_from_documents": _with(_B) + """
+SELECT 'User, ' || CAST(user_id AS VARCHAR) AS player,
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) - 1 ELSE year(ts) END AS VARCHAR) || '/' ||
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) ELSE year(ts) + 1 END AS VARCHAR) AS season,
+  CAST(sum(pts) AS BIGINT) AS points
+FROM b0 WHERE pts > 0 GROUP BY 1, 2""",
+
     "merge_logs": _with(_B) + """
 SELECT b.game_id, CAST(b.line_no AS INTEGER) AS line_no, g.id_match - 6545 AS id_match,
   CASE WHEN b.pts > 0 THEN 'point' WHEN b.event_type = 'view' THEN 'generalEvent' ELSE 'gameDescription' END AS type

@@ -34,3 +34,19 @@ def test_cli_ingest_report_rewrite(spark, sf_small):
     assert set(audit) == {"rewritten", "unmatched", "no_token"}
     counts = dict(line.split() for line in _run(["count", "--text", log, "--needle", "PTS"]))
     assert int(counts["PTS"]) > 0
+
+
+def test_cli_reports_on_documents(spark, sf_small):
+    from playlog.plans import catalog as C
+
+    base = tempfile.mkdtemp(prefix="playlog-cli-docs-")
+    C.log_b(spark, sf_small).select("value").write.text(os.path.join(base, "log"))
+    A.corpus_b_roster(spark, sf_small).selectExpr("concat_ws('\t', '0', name, true_name, '0', team) AS value") \
+        .coalesce(1).write.text(os.path.join(base, "roster"))
+    roster = [os.path.join(base, "roster", f) for f in os.listdir(os.path.join(base, "roster"))
+              if f.startswith("part-")][0]
+    docs = os.path.join(base, "docs")
+    _run(["build-matches", "--log", os.path.join(base, "log"), "--roster", roster, "--out", docs,
+          "--format", "json", "--id-offset", "6545"])
+    top = _run(["report", "top-scorers", "--documents", docs, "--documents-format", "json", "--n", "3"])
+    assert len(top) == 3 and top[0].startswith("1 User, ")

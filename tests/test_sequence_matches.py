@@ -118,3 +118,14 @@ def test_prefix_keeps_null_keys_and_null_order(spark):
                     F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long").alias("n"))
     assert got.count() == 6
     assert rows(got, "g", "o", "s", "n") == rows(ref, "g", "o", "s", "n")
+
+
+def test_events_from_documents_match_parsed_events(spark):
+    from playlog.operators.matches import events_from_documents
+
+    ev = running_score(_events(spark))
+    docs = build_matches(ev, assign_match_ids(ev), max_events=2)
+    back = events_from_documents(docs)
+    cols = ["game_id", "line_no", "type", "points", "season", "quarter", "is_made", "is_missed", "is_buzzer",
+            "player", "score_home", "score_away"]
+    assert rows(back, *cols) == rows(ev.select(*cols))
