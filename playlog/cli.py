@@ -18,6 +18,7 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from playlog.operators import ranking as R
 from playlog.operators.ingest import ingest, read_events_table
@@ -85,6 +86,8 @@ def main(argv=None) -> int:
     b.add_argument("--format", default="parquet")
     b.add_argument("--mode", default="append")
     b.add_argument("--id-offset", type=int, default=0)
+    b.add_argument("--continue-ids", action="store_true",
+                   help="number after the largest id_match already stored at --out (a later load)")
     b.add_argument("--max-events", type=int, default=10_000)
 
     w = sub.add_parser("rewrite", help="replace short names by true names in the log")
@@ -120,8 +123,12 @@ def main(argv=None) -> int:
             ev = events_from_documents(io.read_matches(spark, a.documents, fmt=a.documents_format))
         _print(REPORTS[a.name](ev, a))
     elif a.cmd == "build-matches":
+        offset = a.id_offset
+        if a.continue_ids:
+            stored = io.read_matches(spark, a.out, fmt=a.format).agg(F.max("id_match")).first()[0]
+            offset = max(offset, stored or 0)
         docs = Q.match_documents(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster),
-                                 a.id_offset, a.max_events)
+                                 offset, a.max_events)
         io.write_matches(docs, a.out, fmt=a.format, mode=a.mode)
     elif a.cmd == "rewrite":
         out = Q.rewrite_names(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.literal_token)

@@ -50,3 +50,10 @@ def test_cli_reports_on_documents(spark, sf_small):
           "--format", "json", "--id-offset", "6545"])
     top = _run(["report", "top-scorers", "--documents", docs, "--documents-format", "json", "--n", "3"])
     assert len(top) == 3 and top[0].startswith("1 User, ")
+    # a later load continues the ids after the stored ones
+    first = spark.read.json(docs).agg({"id_match": "max"}).first()[0]
+    _run(["build-matches", "--log", os.path.join(base, "log"), "--roster", roster, "--out", docs,
+          "--format", "json", "--continue-ids"])
+    ids = spark.read.json(docs).select("id_match").distinct()
+    assert ids.agg({"id_match": "min"}).first()[0] == 6546
+    assert ids.agg({"id_match": "max"}).first()[0] == 2 * first - 6545
