@@ -3,6 +3,7 @@
     python -m playlog.cli ingest --log logs/ --roster roster.tsv --out events/
     python -m playlog.cli report top-scorers --events events/
     python -m playlog.cli report shooting-ratio-leaders --events events/ --min-attempts 300 --source-seasons
+    python -m playlog.cli report-all --events events/ --out reports/
     python -m playlog.cli build-matches --log logs/ --roster roster.tsv --out matches/ --format json --id-offset 6545
     python -m playlog.cli rewrite --log logs/ --roster roster.tsv --out cleaned/
     python -m playlog.cli coverage --log logs/ --roster roster.tsv --fallback
@@ -79,6 +80,13 @@ def main(argv=None) -> int:
     r.add_argument("--source-seasons", action="store_true", help="the six seasons 2006/2007..2011/2012")
     r.add_argument("--no-overtime", action="store_true")
 
+    ra = sub.add_parser("report-all", help="every season report from one pass over the events")
+    ra.add_argument("--events", required=True)
+    ra.add_argument("--out", required=True, help="folder for the per-(player, season) metrics table")
+    ra.add_argument("--min-attempts", type=int, default=300)
+    ra.add_argument("--season", action="append")
+    ra.add_argument("--source-seasons", action="store_true")
+
     b = sub.add_parser("build-matches", help="raw log + roster -> nested match documents")
     b.add_argument("--log", required=True, nargs="+")
     b.add_argument("--roster", required=True)
@@ -122,6 +130,18 @@ def main(argv=None) -> int:
         else:
             ev = events_from_documents(io.read_matches(spark, a.documents, fmt=a.documents_format))
         _print(REPORTS[a.name](ev, a))
+    elif a.cmd == "report-all":
+        # one scan + one shuffle of the events; the reports read the small metrics table
+        from playlog.operators.metrics import player_season_metrics
+
+        metrics_path = a.out.rstrip("/") + "/metrics"
+        player_season_metrics(read_events_table(spark, a.events)).write.mode("overwrite").parquet(metrics_path)
+        reports = Q.season_reports(spark.read.parquet(metrics_path), a.min_attempts, seasons=_seasons(a))
+        for name, df in reports.items():
+            sys.stdout.write(f"== {name}\n")
+            if name in ("point_trend", "ratio_trend"):
+                df = R.sort_desc(df, ["diff"], ["player", "season_from"])
+            _print(df)
     elif a.cmd == "build-matches":
         offset = a.id_offset
         if a.continue_ids:

@@ -112,7 +112,11 @@ def shooting_ratio_by_join(makes: DataFrame, misses: DataFrame, min_attempts: in
 
 
 def player_season_metrics(events: DataFrame, seasons: Sequence[str] | None = None) -> DataFrame:
-    """All per-(player, season) counts in one scan and one shuffle."""
+    """All per-(player, season) counts in one scan and one shuffle.
+
+    When several reports run together, compute this once (one row per
+    player-season, small) and derive each report from it with
+    :func:`metric_view`, instead of scanning the events once per report."""
     is_point = F.col("type") == TYPE_POINT
     return _resolved(events, seasons).groupBy(*KEYS).agg(
         F.sum(F.when(is_point, F.col("points"))).cast("long").alias("points"),
@@ -123,3 +127,31 @@ def player_season_metrics(events: DataFrame, seasons: Sequence[str] | None = Non
         F.sum(F.when(F.col("is_buzzer"), F.col("buzzer_value"))).cast("long").alias("buzzer_baskets"),
         _count_if(F.col("is_buzzer")).alias("buzzer_events"),
     )
+
+
+def metric_view(metrics: DataFrame, kind: str, min_attempts: int = 300) -> DataFrame:
+    """The per-(player, season) table of one metric, from :func:`player_season_metrics`.
+
+    ``kind``: ``points`` / ``makes`` (player-seasons with a point event),
+    ``misses``, ``fouls``, ``baskets`` (buzzer events) or ``ratio`` -- the same
+    rows as :func:`points_by_player_season`, :func:`makes_by_player_season`,
+    :func:`misses_by_player_season`, :func:`fouls_by_player_season`,
+    :func:`buzzer_by_player_season` and :func:`shooting_ratio`.
+    """
+    m = metrics
+    if kind == "points":
+        return m.where(F.col("point_events") > 0).select(*KEYS, "points")
+    if kind == "makes":
+        return m.where(F.col("point_events") > 0).select(*KEYS, "makes")
+    if kind == "misses":
+        return m.where(F.col("misses") > 0).select(*KEYS, "misses")
+    if kind == "fouls":
+        return m.where(F.col("fouls") > 0).select(*KEYS, "fouls")
+    if kind == "baskets":
+        return m.where(F.col("buzzer_events") > 0).select(*KEYS, F.col("buzzer_baskets").alias("baskets"))
+    if kind == "ratio":
+        attempts = F.col("makes") + F.col("misses")
+        return (m.where((F.col("point_events") > 0) & (F.col("misses") > 0) & (attempts > min_attempts))
+                .select(*KEYS, "makes", "misses", attempts.alias("attempts"),
+                        (F.col("makes") / attempts).alias("ratio")))
+    raise ValueError(f"unknown metric {kind!r}")

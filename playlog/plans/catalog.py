@@ -253,6 +253,11 @@ def ratio_trend_chain(spark, sf_dir):
                      S.season_label(F.col("e.season_start")).alias("season"), F.col("e.ratio").alias("ratio"))
 
 
+def player_season_metrics(spark, sf_dir):
+    """Every per-(player, season) count in one scan of the event table."""
+    return M.player_season_metrics(events_a(spark, sf_dir)).drop("season_start")
+
+
 def legacy_keys(spark, sf_dir):
     pts = M.points_by_player_season(events_a(spark, sf_dir))
     keyed = pts.select(S.legacy_key("player", "season", "points").alias("key"))
@@ -367,6 +372,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratio_trend": ratio_trend,
     "ratio_trend_chain": ratio_trend_chain,
     "legacy_keys": legacy_keys,
+    "player_season_metrics": player_season_metrics,
     "running_score": running_score_q,
     "match_ids": match_ids,
     "build_matches": build_matches_q,

@@ -299,6 +299,17 @@ inpair AS (
 )
 SELECT player, row_number() OVER (PARTITION BY player ORDER BY season_start) AS pos, season, ratio FROM inpair""",
 
+    "player_season_metrics": _with(_A) + """
+SELECT player, season,
+  CAST(sum(CASE WHEN type = 'point' THEN points END) AS BIGINT) AS points,
+  count(*) FILTER (WHERE type = 'point') AS point_events,
+  count(*) FILTER (WHERE is_made) AS makes,
+  count(*) FILTER (WHERE is_missed) AS misses,
+  count(*) FILTER (WHERE is_foul) AS fouls,
+  CAST(sum(CASE WHEN is_buzzer THEN buzzer_value END) AS BIGINT) AS buzzer_baskets,
+  count(*) FILTER (WHERE is_buzzer) AS buzzer_events
+FROM e WHERE player IS NOT NULL GROUP BY player, season""",
+
     "legacy_keys": _with(_A, _POINTS) + """
 SELECT player || ' ' || season || ' ' || CAST(points AS VARCHAR) AS key, player, season, points FROM p""",
 

@@ -104,6 +104,34 @@ def ratio_trend_chain(events: DataFrame, min_attempts: int = 300, seasons: Seque
     return T.chain(rows, "player", "season_start", "ratio")
 
 
+def season_reports(metrics: DataFrame, min_attempts: int = 300, n_top: int = 11, n_per_season: int = 3,
+                   seasons: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Q-1..Q-6 and Q-8 from one :func:`playlog.operators.metrics.player_season_metrics`
+    table -- the way to run the reports together with a single scan of the events."""
+    m = M.season_filter(metrics, seasons)
+    pts = M.metric_view(m, "points")
+    ratio = M.metric_view(m, "ratio", min_attempts)
+    fouls = M.metric_view(m, "fouls")
+    baskets = M.metric_view(m, "baskets")
+    return {
+        "top_scorers": R.top_overall(pts, "points", n_top, ["player", "season_start"]).select(
+            "rank", "player", "season", "points"),
+        "season_top_scorer": R.leader_per(pts, "points", "season", "all", ["player"]).select(
+            "season", "player", "points"),
+        "shooting_ratio_leaders": R.top_n(ratio, "ratio", n_per_season, "season", "first", ["player"]).select(
+            "season", "rank", "player", "makes", "misses", "ratio"),
+        "season_top_fouler": R.leader_per(fouls, "fouls", "season", "all", ["player"]).select(
+            "season", "player", "fouls"),
+        "point_trend": T.consecutive_diff(pts, "player", "season_start", "points", label="season").select(
+            "player", "season_from", "season_to", "points_from", "points_to", "diff",
+            S.trend_text("diff", "player", "season_from", "season_to").alias("trend")),
+        "buzzer_beaters": R.top_n(baskets, "baskets", n_per_season, "season", "first", ["player"]).select(
+            "season", "rank", "player", "baskets"),
+        "ratio_trend": T.consecutive_diff(ratio, "player", "season_start", "ratio", label="season").select(
+            "player", "season_from", "season_to", "ratio_from", "ratio_to", "diff"),
+    }
+
+
 # --- Q-9 .. Q-12 --------------------------------------------------------------
 
 def match_documents(raw_log: DataFrame, roster: DataFrame, id_offset: int = 0,

@@ -29,6 +29,11 @@ def test_cli_ingest_report_rewrite(spark, sf_small):
     assert len(top) == 11 and top[0].startswith("1 Supplier, ")
     lead = _run(["report", "season-top-fouler", "--events", events])
     assert lead and all(" Supplier, " in line for line in lead)
+    every = _run(["report-all", "--events", events, "--out", os.path.join(base, "reports"), "--min-attempts", "10"])
+    sections = [line[3:] for line in every if line.startswith("== ")]
+    assert sections == ["top_scorers", "season_top_scorer", "shooting_ratio_leaders", "season_top_fouler",
+                        "point_trend", "buzzer_beaters", "ratio_trend"]
+    assert every[1:12] == top
     audit = dict(line.split() for line in _run(["rewrite", "--log", log, "--roster", roster,
                                                   "--out", os.path.join(base, "clean")]))
     assert set(audit) == {"rewritten", "unmatched", "no_token"}

@@ -58,3 +58,15 @@ def test_ratio_join_form_equals_one_pass(spark, sf_small):
     one = M.shooting_ratio(ev, 10)
     two = M.shooting_ratio_by_join(M.makes_by_player_season(ev), M.misses_by_player_season(ev), 10)
     assert rows(one) == rows(two)
+
+
+def test_season_reports_from_one_metrics_pass(spark, sf_small):
+    ev = C.events_a(spark, sf_small)
+    rep = Q.season_reports(M.player_season_metrics(ev), min_attempts=10)
+    assert rows(rep["top_scorers"]) == rows(Q.top_scorers(ev))
+    assert rows(rep["season_top_scorer"]) == rows(Q.season_top_scorer(ev))
+    assert rows(rep["shooting_ratio_leaders"]) == rows(Q.shooting_ratio_leaders(ev, 3, 10))
+    assert rows(rep["season_top_fouler"]) == rows(Q.season_top_fouler(ev))
+    assert rows(rep["point_trend"]) == rows(Q.point_trend(ev))
+    assert rows(rep["buzzer_beaters"]) == rows(Q.buzzer_beaters(ev))
+    assert rows(rep["ratio_trend"]) == rows(Q.ratio_trend(ev, 10))
