@@ -69,11 +69,6 @@ def season_label(start) -> Column:
     return F.concat(s.cast("string"), F.lit("/"), (s + 1).cast("string"))
 
 
-def season_start_of_label(label) -> Column:
-    """``'2006/2007'`` -> ``2006`` (inverse of :func:`season_label`)."""
-    return F.split_part(_col(label), F.lit("/"), F.lit(1)).try_cast("int")
-
-
 # --- game id (PRJ-4) ---------------------------------------------------------
 
 def game_date_text(game_id) -> Column:

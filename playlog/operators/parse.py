@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
 
-_HELPERS = ("_pl_fields", "_pl_clock", "_pl_head", "_pl_has_prefix", "_pl_prefix", "_pl_w1", "_pl_w2",
-            "_pl_bracket", "_pl_side", "_pl_score")
-
-
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Split ``game_id \\t line_no \\t clock \\t entry`` lines into event columns.
 
