@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
 
+
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Split ``game_id \\t line_no \\t clock \\t entry`` lines into event columns.
 
