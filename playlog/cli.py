@@ -66,6 +66,7 @@ def main(argv=None) -> int:
     g.add_argument("--out", required=True)
     g.add_argument("--include-unresolved", action="store_true")
     g.add_argument("--with-scores", action="store_true", help="add running scores (unique line numbers)")
+    g.add_argument("--rebalance", action="store_true", help="one shuffle for fewer, larger files per season")
 
     r = sub.add_parser("report", help="run a report on an event table")
     r.add_argument("name", choices=sorted(REPORTS))
@@ -123,7 +124,7 @@ def main(argv=None) -> int:
 
     if a.cmd == "ingest":
         ingest(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.out,
-               include_unresolved=a.include_unresolved, with_scores=a.with_scores)
+               include_unresolved=a.include_unresolved, with_scores=a.with_scores, rebalance=a.rebalance)
     elif a.cmd == "report":
         if a.events:
             ev = read_events_table(spark, a.events)

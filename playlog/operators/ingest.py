@@ -36,9 +36,9 @@ def events_table(raw_log: DataFrame, roster: DataFrame, include_unresolved: bool
     return ev.select(*EVENT_COLUMNS)
 
 
-def write_events_table(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_events_table(events: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
     """Parquet, one folder per season: season filters prune whole folders."""
-    io.write_events(events, path, mode)
+    io.write_events(events, path, mode, rebalance)
 
 
 def read_events_table(spark: SparkSession, path: str) -> DataFrame:
@@ -46,7 +46,7 @@ def read_events_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest(raw_log: DataFrame, roster: DataFrame, path: str, include_unresolved: bool = False,
-           with_scores: bool = False, mode: str = "overwrite") -> DataFrame:
+           with_scores: bool = False, mode: str = "overwrite", rebalance: bool = False) -> DataFrame:
     """Build, write and re-open the event table."""
-    write_events_table(events_table(raw_log, roster, include_unresolved, with_scores), path, mode)
+    write_events_table(events_table(raw_log, roster, include_unresolved, with_scores), path, mode, rebalance)
     return read_events_table(raw_log.sparkSession, path)

@@ -72,8 +72,16 @@ def write_log(lines: DataFrame, path: str, mode: str = "overwrite", value_col: s
     lines.select(value_col).write.mode(mode).text(path)
 
 
-def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Flat event table partitioned by season, so season filters prune files."""
+def write_events(events: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = False) -> None:
+    """Flat event table partitioned by season, so season filters prune files.
+
+    Each write task writes one file per season in its input. Logs arrive by
+    date, so a task usually holds one season; when the input mixes seasons,
+    ``rebalance=True`` adds one shuffle (``REBALANCE(season_start)``, which AQE
+    splits to the advisory partition size) for fewer, larger files.
+    """
+    if rebalance:
+        events = events.hint("rebalance", "season_start")
     events.write.mode(mode).partitionBy("season_start").parquet(path)
 
 

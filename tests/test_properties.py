@@ -70,3 +70,18 @@ def test_season_reports_from_one_metrics_pass(spark, sf_small):
     assert rows(rep["point_trend"]) == rows(Q.point_trend(ev))
     assert rows(rep["buzzer_beaters"]) == rows(Q.buzzer_beaters(ev))
     assert rows(rep["ratio_trend"]) == rows(Q.ratio_trend(ev, 10))
+
+
+def test_rebalanced_ingest_same_rows(spark, sf_small):
+    import os
+    import tempfile
+
+    from playlog.operators.ingest import ingest
+    from playlog.sources import adapters as A
+
+    path = os.path.join(tempfile.mkdtemp(prefix="playlog-rebal-"), "events")
+    ev = ingest(C.log_a(spark, sf_small), A.corpus_a_roster(spark, sf_small), path, rebalance=True)
+    cols = ["game_id", "line_no", "type", "player", "points", "season_start"]
+    assert rows(ev, *cols) == rows(C.events_a(spark, sf_small), *cols)
+    files = [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert 0 < len(files)
