@@ -102,10 +102,13 @@ def _count() -> F.Column:
 # --- parsing and scalar checks (corpus A) ------------------------------------
 
 def parse_game_id(spark, sf_dir):
+    # distinct games by two-level grouping (per game, then per team pair)
     p = events_a(spark, sf_dir)
-    return p.groupBy("home", "away").agg(
-        _count().alias("n_lines"), F.count_distinct("game_id").cast("long").alias("n_games"),
-        F.sum("line_no").cast("long").alias("sum_line_no"),
+    per_game = p.groupBy("home", "away", "game_id").agg(
+        _count().alias("n_lines"), F.sum("line_no").cast("long").alias("sum_line_no"), F.min("date").alias("date"))
+    return per_game.groupBy("home", "away").agg(
+        F.sum("n_lines").cast("long").alias("n_lines"), F.count(F.lit(1)).cast("long").alias("n_games"),
+        F.sum("sum_line_no").cast("long").alias("sum_line_no"),
         F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
