@@ -101,8 +101,10 @@ def prefix_within(
         _c(chunk).alias(CHUNK),
         *[v.alias(f"_pl_sv_{k}") for k, v in sums.items()],
         *[v.alias(f"_pl_fv_{k}") for k, v in fills.items()],
-        # the order as one struct, to pick the last non-NULL value per chunk
-        F.struct(*order).alias("_pl_ord"),
+        # the order (one struct, or the column itself when there is one), to pick
+        # the last non-NULL value per chunk; a plain numeric order keeps the
+        # max_by buffer fixed-width, so the summary is a hash aggregate
+        (order[0] if len(order) == 1 else F.struct(*order)).alias("_pl_ord"),
     )
     # Non-NULL stand-ins for the group keys and the chunk, with is-NULL flags:
     # the windows and the equi-join below then never meet a NULL key.
