@@ -85,3 +85,13 @@ def test_rebalanced_ingest_same_rows(spark, sf_small):
     assert rows(ev, *cols) == rows(C.events_a(spark, sf_small), *cols)
     files = [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
     assert 0 < len(files)
+
+
+def test_running_score_independent_of_chunk_size(spark, sf_small):
+    from playlog.operators.matches import running_score
+    from playlog.operators.parse import parse_log
+
+    ev = parse_log(C.log_b(spark, sf_small))
+    cols = ["game_id", "line_no", "score_home", "score_away"]
+    small = running_score(ev, chunk_lines=3).select(*cols)
+    assert rows(small) == rows(C.events_b(spark, sf_small).select(*cols))
