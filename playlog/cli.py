@@ -159,7 +159,8 @@ def main(argv=None) -> int:
     elif a.cmd == "coverage":
         _print(Q.coverage(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.fallback))
     elif a.cmd == "count":
-        _print(Q.count_lines_containing(io.read_text(spark, a.text), a.needle))
+        # one pass with a conditional count per needle: nothing to cache
+        _print(Q.count_lines_containing(io.read_text(spark, a.text, cache=False), a.needle))
     return 0
 
 
