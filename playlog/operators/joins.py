@@ -22,7 +22,8 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, size_probe: DataFrame | None = None) -> DataFrame:
+                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                size_probe: DataFrame | None = None) -> DataFrame:
     """Equi-join ``left`` to a lookup table ``right`` on ``keys``.
 
     * If ``right`` has at most ``max_broadcast_rows`` rows, it is broadcast:
@@ -35,10 +36,13 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 
     ``size_probe`` is a cheaper table with at least as many rows as
     ``right`` (e.g. the raw roster before de-duplication) to run the check on.
+    ``max_broadcast_rows=None`` skips the check and the hint: Catalyst and AQE
+    then broadcast only under their byte thresholds (estimated, then measured).
     """
-    probe = size_probe if size_probe is not None else right
-    if row_count_at_most(probe, max_broadcast_rows):
-        return left.join(F.broadcast(right), on=keys, how=how)
+    if max_broadcast_rows is not None:
+        probe = size_probe if size_probe is not None else right
+        if row_count_at_most(probe, max_broadcast_rows):
+            return left.join(F.broadcast(right), on=keys, how=how)
     if how != "left":
         return left.join(right, on=keys, how=how)
 

@@ -15,7 +15,7 @@ def reduce_roster(roster: DataFrame) -> DataFrame:
 
 
 def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bool = False,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """JN-4: add ``player`` by (name_token, team); unresolved -> NULL.
 
     An empty true name counts as unresolved. ``include_unresolved=True``
@@ -41,7 +41,7 @@ def resolution_status(events: DataFrame) -> DataFrame:
 
 
 def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool = False,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q-10 / JN-5 / FN-9: replace the short name in each line by the full name.
 
     ``parsed`` is :func:`parse_log` output. Every roster match gives one output

@@ -68,6 +68,13 @@ def test_shuffle_path_matches_broadcast_path(spark):
     assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
 
 
+def test_lookup_join_left_to_spark(spark):
+    p = parse_log(_log(spark))
+    a = resolve_players(p, _roster(spark))
+    c = resolve_players(p, _roster(spark), max_broadcast_rows=None)
+    assert rows(a, "line_no", "player") == rows(c, "line_no", "player")
+
+
 def test_lookup_join_null_keys_bypass(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, k string")
     right = spark.createDataFrame([("a", 10)], "k string, v int")
