@@ -46,3 +46,25 @@ def test_golden_top3_per_season(metrics):
     for r in sorted(top, key=lambda r: (r["season"], r["rank"])):
         got.setdefault(r["season"], []).append((r["player"], r["makes"], r["misses"], round(r["ratio"], 6)))
     assert got == GOLDEN
+
+
+def test_ratio_edge_players(spark):
+    """Makes only / misses only / goaltending (point without PTS) plus misses /
+    300 and 301 attempts, at the event level (FIXTURES §4)."""
+    recs = []
+
+    def add(player, n, typ, made, missed):
+        recs.extend([(player, 2006, "2006/2007", typ, made, missed)] * n)
+
+    add("Makes, Only", 400, "point", True, False)
+    add("Misses, Only", 400, "generalEvent", False, True)
+    add("Goal, Tender", 1, "point", False, False)      # a point event without PTS: makes side with 0
+    add("Goal, Tender", 310, "generalEvent", False, True)
+    add("Three, Hundred", 150, "point", True, False)
+    add("Three, Hundred", 150, "generalEvent", False, True)
+    add("Three, Hundred One", 150, "point", True, False)
+    add("Three, Hundred One", 151, "generalEvent", False, True)
+    ev = spark.createDataFrame(
+        recs, "player string, season_start int, season string, type string, is_made boolean, is_missed boolean")
+    got = {r["player"]: (r["makes"], r["misses"], r["ratio"]) for r in M.shooting_ratio(ev, 300).collect()}
+    assert got == {"Goal, Tender": (0, 310, 0.0), "Three, Hundred One": (150, 151, 150 / 301)}
