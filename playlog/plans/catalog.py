@@ -77,9 +77,12 @@ def log_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus A event table (ingested once per application and input)."""
+    """Corpus A event table (ingested once per application and input).
+
+    Corpus A comes out of a join, so every task holds all seasons; the write
+    is rebalanced by season (fewer, larger files for every later report)."""
     path = _stored(spark, sf_dir, "events_a",
-                   lambda p: ingest(log_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir), p))
+                   lambda p: ingest(log_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir), p, rebalance=True))
     return spark.read.parquet(path)
 
 
@@ -91,7 +94,8 @@ def parsed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus B event table with running scores (ingested once)."""
     path = _stored(spark, sf_dir, "events_b",
-                   lambda p: ingest(log_b(spark, sf_dir), A.corpus_b_roster(spark, sf_dir), p, with_scores=True))
+                   lambda p: ingest(log_b(spark, sf_dir), A.corpus_b_roster(spark, sf_dir), p, with_scores=True,
+                                    rebalance=True))
     return spark.read.parquet(path)
 
 
