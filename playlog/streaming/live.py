@@ -8,7 +8,8 @@ current running score as state. Here:
   plus a stream-static roster join;
 * :func:`live_running_score` -- per-game running score as custom state
   (``applyInPandasWithState``): the last home/away score of each game is
-  kept between micro-batches;
+  kept between micro-batches, and dropped by an event-time timeout once
+  the watermark passes the game's day (``game_close_delay``);
 * :func:`live_points` -- per (player, season) points, updated every micro-batch;
 * :func:`write_events_stream` -- append the parsed events to a season-partitioned
   Parquet table, with the checkpoint in the shared folder.
@@ -45,11 +46,19 @@ def live_events(lines: DataFrame, roster: DataFrame) -> DataFrame:
     return resolve_players(parse_log(lines), roster)
 
 
-def live_running_score(events: DataFrame) -> DataFrame:
+DAY_MS = 24 * 3600 * 1000
+
+
+def live_running_score(events: DataFrame, game_close_delay: str | None = None) -> DataFrame:
     """Running score per game across micro-batches (WIN-5 as streaming state).
 
     State per game: (score_home, score_away) after its last processed line.
     Output: game_id, line_no, score_home, score_away for every event.
+
+    ``game_close_delay`` (e.g. ``"1 day"``) bounds the state: the game date is
+    the event time, the watermark trails the newest game date by the delay,
+    and a game's state is dropped once the watermark passes the end of its
+    day (event-time timeout). Without it the state keeps one row per game seen.
     """
     out_schema = T.StructType([
         T.StructField("game_id", T.StringType()),
@@ -62,18 +71,30 @@ def live_running_score(events: DataFrame) -> DataFrame:
         T.StructField("score_away", T.IntegerType()),
     ])
 
+    timed = game_close_delay is not None
+
     def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # the watermark passed the game's day: forget it
+            state.remove()
+            return
         home, away = state.get if state.exists else (0, 0)
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values("line_no", kind="stable")
         h = batch["score_home_token"].astype("Float64").ffill().fillna(home).astype("int32")
         a = batch["score_away_token"].astype("Float64").ffill().fillna(away).astype("int32")
         state.update((int(h.iloc[-1]), int(a.iloc[-1])))
+        if timed:
+            day_end = int(pd.Timestamp(batch["_pl_time"].max()).value // 1_000_000) + DAY_MS
+            state.setTimeoutTimestamp(max(day_end, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"game_id": batch["game_id"].values, "line_no": batch["line_no"].astype("int32").values,
                             "score_home": h.values, "score_away": a.values})
 
-    cols = events.select("game_id", "line_no", "score_home_token", "score_away_token")
-    return cols.groupBy("game_id").applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    cols = events.select("game_id", "line_no", "score_home_token", "score_away_token",
+                         F.col("game_date").cast("timestamp").alias("_pl_time"))
+    timeout = GroupStateTimeout.NoTimeout
+    if timed:
+        cols = cols.withWatermark("_pl_time", game_close_delay)
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return cols.groupBy("game_id").applyInPandasWithState(step, out_schema, state_schema, "append", timeout)
 
 
 def live_points(events: DataFrame) -> DataFrame:

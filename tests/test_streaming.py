@@ -53,3 +53,30 @@ def test_stream_appends_event_table(spark, sf_small):
     want = C.events_a(spark, sf_small)
     assert got.count() == want.count()
     assert rows(got.groupBy("season", "type").count()) == rows(want.groupBy("season", "type").count())
+
+
+def test_running_score_state_expires_after_game_day(spark):
+    from playlog.operators.parse import parse_log
+
+    base = tempfile.mkdtemp(prefix="playlog-ttl-")
+    src = os.path.join(base, "in")
+    batches = [
+        ["20240101AAABBB\t1\t00:48:00\t[AAA 2-0] X Jump Shot: Made (2 PTS)",
+         "20240105CCCDDD\t1\t00:48:00\t[CCC 3-0] Y 3pt Shot: Made (3 PTS)"],
+        ["20240105CCCDDD\t2\t00:40:00\t[DDD 2-3] Z Jump Shot: Made (2 PTS)"],
+        ["20240105CCCDDD\t3\t00:30:00\t[CCC 5-2] Y Jump Shot: Made (2 PTS)"],
+    ]
+    for i, lines in enumerate(batches):
+        spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(
+            os.path.join(src, f"b{i}"))
+    ev = parse_log(read_log_stream(spark, os.path.join(src, "b*", "*.txt"), max_files_per_trigger=1))
+    q = live_running_score(ev, game_close_delay="1 day").writeStream.format("memory").queryName("ttl_out") \
+        .outputMode("append").option("checkpointLocation", os.path.join(base, "ck")).start()
+    q.processAllAvailable()
+    state_rows = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    q.stop()
+    # the Jan 1 game closed once the watermark (Jan 5 - 1 day) passed its day; Jan 5 is still open
+    assert state_rows == 1
+    assert rows(spark.table("ttl_out"), "game_id", "line_no", "score_home", "score_away") == [
+        ("20240101AAABBB", 1, 2, 0), ("20240105CCCDDD", 1, 3, 0), ("20240105CCCDDD", 2, 3, 2),
+        ("20240105CCCDDD", 3, 5, 2)]
