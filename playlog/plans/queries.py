@@ -107,16 +107,21 @@ def ratio_trend_chain(events: DataFrame, min_attempts: int = 300, seasons: Seque
 def season_reports(metrics: DataFrame, min_attempts: int = 300, n_top: int = 11, n_per_season: int = 3,
                    seasons: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Q-1..Q-6 and Q-8 from one :func:`playlog.operators.metrics.player_season_metrics`
-    table -- the way to run the reports together with a single scan of the events."""
+    table -- the way to run the reports together with a single scan of the events.
+
+    ``seasons`` restricts the reports the source restricts (ratio leaders,
+    point trend, buzzer beaters, ratio trend); top scorers, season top scorer
+    and season top fouler cover every season, as in the source."""
     m = M.season_filter(metrics, seasons)
+    pts_all = M.metric_view(metrics, "points")
     pts = M.metric_view(m, "points")
     ratio = M.metric_view(m, "ratio", min_attempts)
-    fouls = M.metric_view(m, "fouls")
+    fouls = M.metric_view(metrics, "fouls")
     baskets = M.metric_view(m, "baskets")
     return {
-        "top_scorers": R.top_overall(pts, "points", n_top, ["player", "season_start"]).select(
+        "top_scorers": R.top_overall(pts_all, "points", n_top, ["player", "season_start"]).select(
             "rank", "player", "season", "points"),
-        "season_top_scorer": R.leader_per(pts, "points", "season", "all", ["player"]).select(
+        "season_top_scorer": R.leader_per(pts_all, "points", "season", "all", ["player"]).select(
             "season", "player", "points"),
         "shooting_ratio_leaders": R.top_n(ratio, "ratio", n_per_season, "season", "first", ["player"]).select(
             "season", "rank", "player", "makes", "misses", "ratio"),

@@ -95,3 +95,12 @@ def test_running_score_independent_of_chunk_size(spark, sf_small):
     cols = ["game_id", "line_no", "score_home", "score_away"]
     small = running_score(ev, chunk_lines=3).select(*cols)
     assert rows(small) == rows(C.events_b(spark, sf_small).select(*cols))
+
+
+def test_season_reports_filter_only_filtered_reports(spark, sf_small):
+    ev = C.events_a(spark, sf_small)
+    seasons = ["1996/1997", "1997/1998"]
+    rep = Q.season_reports(M.player_season_metrics(ev), min_attempts=10, seasons=seasons)
+    assert rows(rep["top_scorers"]) == rows(Q.top_scorers(ev))
+    assert rows(rep["buzzer_beaters"]) == rows(Q.buzzer_beaters(ev, seasons=seasons))
+    assert {r["season"] for r in rep["shooting_ratio_leaders"].collect()} <= set(seasons)
