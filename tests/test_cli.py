@@ -29,6 +29,10 @@ def test_cli_ingest_report_rewrite(spark, sf_small):
     assert len(top) == 11 and top[0].startswith("1 Supplier, ")
     lead = _run(["report", "season-top-fouler", "--events", events])
     assert lead and all(" Supplier, " in line for line in lead)
+    trend = _run(["report", "point-trend", "--events", events])
+    # player (two words), season_from, season_to, points_from, points_to, diff, trend text
+    diffs = [int(line.split(" ")[6]) for line in trend]
+    assert diffs == sorted(diffs, reverse=True) and len(diffs) > 0
     every = _run(["report-all", "--events", events, "--out", os.path.join(base, "reports"), "--min-attempts", "10"])
     sections = [line[3:] for line in every if line.startswith("== ")]
     assert sections == ["top_scorers", "season_top_scorer", "shooting_ratio_leaders", "season_top_fouler",
