@@ -28,9 +28,9 @@ def read_play_log(spark: SparkSession, path: str | list[str], with_source: bool
 def parse_roster(lines: DataFrame, ord_col: Column | None = None, value_col: str = "value") -> DataFrame:
     """SRC-3: TSV roster lines -> (name, true_name, team, ord).
 
-    ``ord`` keeps file order for the last-match-wins rule; without an explicit
-    column it is ``monotonically_increasing_id`` of the read, which follows
-    file order for one file.
+    ``ord`` (any orderable column) keeps file order for the last-match-wins
+    rule; without an explicit column it is ``monotonically_increasing_id``,
+    which follows line order inside one partition.
     """
     parts = F.split(F.col(value_col), FIELD_SEP)
     ord_expr = ord_col if ord_col is not None else F.monotonically_increasing_id()
@@ -38,13 +38,20 @@ def parse_roster(lines: DataFrame, ord_col: Column | None = None, value_col: str
         F.get(parts, ROSTER_NAME_FIELD).alias("name"),
         F.get(parts, ROSTER_TRUE_NAME_FIELD).alias("true_name"),
         F.get(parts, ROSTER_TEAM_FIELD).alias("team"),
-        ord_expr.cast("long").alias("ord"),
+        ord_expr.alias("ord"),
     )
 
 
-def read_roster(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3 from a file."""
-    return parse_roster(spark.read.text(path))
+def read_roster(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC-3 from one or more files.
+
+    ``ord`` is (file path, split start, row id): file-name order, then
+    position. Spark packs input files by size, so partition order alone
+    would not follow the files' order.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_pl_file"), F.col("_metadata.file_block_start").alias("_pl_at"))
+    return parse_roster(lines, ord_col=F.struct("_pl_file", "_pl_at", F.monotonically_increasing_id()))
 
 
 def read_text(spark: SparkSession, path: str | list[str], cache: bool = True) -> DataFrame:

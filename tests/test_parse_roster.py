@@ -114,3 +114,21 @@ def test_roster_coverage_with_fallback(spark):
     cov = roster_coverage(parse_log(log), _roster(spark), fallback=True)
     assert rows(cov, "team", "name_token", "matched", "fallback_name", "n") == [
         ("CHI", "o.brien", False, "O'Brien, Jermaine", 1), ("MIA", "Wade", True, None, 1)]
+
+
+def test_read_roster_last_file_wins(spark):
+    import os
+    import tempfile
+
+    from playlog.operators.roster import reduce_roster
+    from playlog.sources.io import read_roster
+
+    base = tempfile.mkdtemp(prefix="playlog-roster-")
+    with open(os.path.join(base, "a.tsv"), "w") as f:
+        f.write("0\tWade\tWade, First\tx\tMIA\n")
+    with open(os.path.join(base, "b.tsv"), "w") as f:  # larger: packed into an earlier partition
+        for i in range(2000):
+            f.write(f"{i}\tP{i}\tPlayer, {i}\tx\tBOS\n")
+        f.write("0\tWade\tWade, Second\tx\tMIA\n")
+    got = reduce_roster(read_roster(spark, base)).where("name = 'Wade'").first()["true_name"]
+    assert got == "Wade, Second"
