@@ -36,7 +36,7 @@ def parse_roster(lines: DataFrame, ord_col: Column | None = None, value_col: str
     ord_expr = ord_col if ord_col is not None else F.monotonically_increasing_id()
     return lines.select(
         F.get(parts, ROSTER_NAME_FIELD).alias("name"),
-        F.get(parts, ROSTER_TRUE_NAME_FIELD).alias("true_name"),
+        F.trim(F.get(parts, ROSTER_TRUE_NAME_FIELD)).alias("true_name"),  # FN-15: names compare trimmed
         F.get(parts, ROSTER_TEAM_FIELD).alias("team"),
         ord_expr.alias("ord"),
     )

@@ -132,3 +132,8 @@ def test_read_roster_last_file_wins(spark):
         f.write("0\tWade\tWade, Second\tx\tMIA\n")
     got = reduce_roster(read_roster(spark, base)).where("name = 'Wade'").first()["true_name"]
     assert got == "Wade, Second"
+
+
+def test_roster_full_names_are_trimmed(spark):
+    ro = parse_roster(spark.createDataFrame([("0\tWade\t Wade, Dwyane  \tx\tMIA",)], "value string"))
+    assert ro.first()["true_name"] == "Wade, Dwyane"
