@@ -169,6 +169,13 @@ def points_by_player_season(spark, sf_dir):
     return M.points_by_player_season(events_a(spark, sf_dir)).select("player", "season", "points")
 
 
+def points_with_unresolved(spark, sf_dir):
+    """SURVEY Q4: the source's blank-player bucket kept (``include_unresolved``):
+    unresolved events count under player ``''``."""
+    ev = events_a(spark, sf_dir).withColumn("player", F.coalesce(F.col("player"), F.lit("")))
+    return M.points_by_player_season(ev).select("player", "season", "points")
+
+
 def top_scorers(spark, sf_dir):
     return Q.top_scorers(events_a(spark, sf_dir))
 
@@ -357,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rewrite_log_names": rewrite_log_names_q,
     "rewrite_audit": rewrite_audit_q,
     "points_by_player_season": points_by_player_season,
+    "points_with_unresolved": points_with_unresolved,
     "top_scorers": top_scorers,
     "season_top_scorer": season_top_scorer,
     "misses_by_player_season": misses_by_player_season,

@@ -186,6 +186,10 @@ FROM a GROUP BY 1""",
 
     "points_by_player_season": _with(_A, _POINTS) + "SELECT player, season, points FROM p",
 
+    "points_with_unresolved": _with(_A) + """
+SELECT coalesce(player, '') AS player, season, CAST(sum(points) AS BIGINT) AS points
+FROM e WHERE type = 'point' GROUP BY 1, season""",
+
     "top_scorers": _with(_A, _POINTS) + """
 SELECT rank, player, season, points FROM (
   SELECT *, row_number() OVER (ORDER BY points DESC, player, season_start) AS rank FROM p
