@@ -180,6 +180,10 @@ def top_scorers(spark, sf_dir):
     return Q.top_scorers(events_a(spark, sf_dir))
 
 
+def top_scorers_collapse(spark, sf_dir):
+    return Q.top_scorers(events_a(spark, sf_dir), 11, ties="collapse")
+
+
 def season_top_scorer(spark, sf_dir):
     return Q.season_top_scorer(events_a(spark, sf_dir), ties="all")
 
@@ -366,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_by_player_season": points_by_player_season,
     "points_with_unresolved": points_with_unresolved,
     "top_scorers": top_scorers,
+    "top_scorers_collapse": top_scorers_collapse,
     "season_top_scorer": season_top_scorer,
     "misses_by_player_season": misses_by_player_season,
     "makes_by_player_season": makes_by_player_season,

@@ -195,6 +195,15 @@ SELECT rank, player, season, points FROM (
   SELECT *, row_number() OVER (ORDER BY points DESC, player, season_start) AS rank FROM p
 ) WHERE rank <= 11""",
 
+    "top_scorers_collapse": _with(_A, _POINTS) + """
+SELECT rank, player, season, points FROM (
+  SELECT *, row_number() OVER (ORDER BY points DESC, player, season_start) AS rank FROM (
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY points ORDER BY player, season_start) AS rn FROM p
+    ) WHERE rn = 1
+  )
+) WHERE rank <= 11""",
+
     "season_top_scorer": _with(_A, _POINTS) + """
 SELECT season, player, points FROM (
   SELECT *, rank() OVER (PARTITION BY season ORDER BY points DESC) AS rk FROM p

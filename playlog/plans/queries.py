@@ -33,10 +33,13 @@ def load_events(raw_log: DataFrame, roster: DataFrame, include_unresolved: bool
 
 # --- Q-1 .. Q-8 -----------------------------------------------------------------
 
-def top_scorers(events: DataFrame, n: int = 11) -> DataFrame:
-    """Q-1: best player-seasons by points; the source prints 11 rows."""
+def top_scorers(events: DataFrame, n: int = 11, ties: str = "first") -> DataFrame:
+    """Q-1: best player-seasons by points; the source prints 11 rows.
+
+    ``ties='collapse'`` keeps one player-season per distinct total (the
+    smallest player, season), as the source's value-keyed map does."""
     pts = M.points_by_player_season(events)
-    top = R.top_overall(pts, "points", n, tiebreak=["player", "season_start"])
+    top = R.top_n(pts, "points", n, None, ties, tiebreak=["player", "season_start"])
     return top.select("rank", "player", "season", "points")
 
 
