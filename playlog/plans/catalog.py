@@ -248,6 +248,16 @@ def season_top_scorer_collapse(spark, sf_dir):
     return Q.season_top_scorer(events_a(spark, sf_dir), ties="collapse", collapse_by=[])
 
 
+def season_top_fouler_collapse(spark, sf_dir):
+    """Q-4 with equal foul totals collapsed across all seasons."""
+    return Q.season_top_fouler(events_a(spark, sf_dir), ties="collapse", collapse_by=[])
+
+
+def quarter_point_leaders_collapse(spark, sf_dir):
+    """Q-7 with equal totals collapsed across all quarters and seasons."""
+    return Q.quarter_point_leaders(events_a(spark, sf_dir), 3, "collapse", collapse_by=[])
+
+
 def buzzer_beaters_collapse(spark, sf_dir):
     return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "collapse")
 
@@ -387,6 +397,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shooting_ratio_leaders_all": shooting_ratio_leaders_all,
     "quarter_point_leaders_all": quarter_point_leaders_all,
     "season_top_scorer_collapse": season_top_scorer_collapse,
+    "season_top_fouler_collapse": season_top_fouler_collapse,
+    "quarter_point_leaders_collapse": quarter_point_leaders_collapse,
     "quarter_points": quarter_points,
     "quarter_point_leaders": quarter_point_leaders,
     "ratio_trend": ratio_trend,

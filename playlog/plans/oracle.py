@@ -287,6 +287,32 @@ SELECT season, player, points FROM (
   SELECT *, row_number() OVER (PARTITION BY season ORDER BY points DESC, player) AS rk FROM one_per_total
 ) WHERE rk = 1""",
 
+    "season_top_fouler_collapse": _with(_A) + """,
+f AS (
+  SELECT player, season, count(*) AS fouls FROM e WHERE player IS NOT NULL AND is_foul GROUP BY player, season
+),
+one_per_total AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fouls ORDER BY player, season) AS rn FROM f) WHERE rn = 1
+)
+SELECT season, player, fouls FROM (
+  SELECT *, row_number() OVER (PARTITION BY season ORDER BY fouls DESC, player) AS rk FROM one_per_total
+) WHERE rk = 1""",
+
+    "quarter_point_leaders_collapse": _with(_A) + """,
+qp AS (
+  SELECT quarter, player, season, season_start, CAST(sum(points) AS BIGINT) AS points
+  FROM e WHERE player IS NOT NULL AND type = 'point' GROUP BY quarter, player, season, season_start
+),
+one_per_total AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY points ORDER BY player, season_start, quarter) AS rn FROM qp
+  ) WHERE rn = 1
+)
+SELECT quarter, rank, player, season, points FROM (
+  SELECT *, row_number() OVER (PARTITION BY quarter ORDER BY points DESC, player, season_start) AS rank
+  FROM one_per_total
+) WHERE rank <= 3""",
+
     "quarter_points": _with(_A) + """
 SELECT quarter, player, season, CAST(sum(points) AS BIGINT) AS points
 FROM e WHERE player IS NOT NULL AND type = 'point' GROUP BY quarter, player, season""",

@@ -60,10 +60,11 @@ def shooting_ratio_leaders(events: DataFrame, n: int = 3, min_attempts: int = 30
     return top.select("season", "rank", "player", "makes", "misses", "ratio")
 
 
-def season_top_fouler(events: DataFrame, ties: str = "all") -> DataFrame:
+def season_top_fouler(events: DataFrame, ties: str = "all", collapse_by=None) -> DataFrame:
     """Q-4: most personal fouls in each season."""
     fouls = M.fouls_by_player_season(events)
-    return R.leader_per(fouls, "fouls", "season", ties, tiebreak=["player"]).select("season", "player", "fouls")
+    return R.leader_per(fouls, "fouls", "season", ties, tiebreak=["player"], collapse_by=collapse_by).select(
+        "season", "player", "fouls")
 
 
 def point_trend(events: DataFrame, seasons: Sequence[str] | None = None) -> DataFrame:
@@ -84,11 +85,11 @@ def buzzer_beaters(events: DataFrame, n: int = 3, ties: str = "first", seasons:
 
 
 def quarter_point_leaders(events: DataFrame, n: int = 3, ties: str = "first",
-                          seasons: Sequence[str] | None = None) -> DataFrame:
+                          seasons: Sequence[str] | None = None, collapse_by=None) -> DataFrame:
     """Q-7: top ``n`` (player, season) per quarter across seasons; sort by
     ``quarter_ordinal`` for the 1ST..OT listing."""
     q = M.quarter_points(events, seasons)
-    top = R.top_n(q, "points", n, "quarter", ties, tiebreak=["player", "season_start"])
+    top = R.top_n(q, "points", n, "quarter", ties, tiebreak=["player", "season_start"], collapse_by=collapse_by)
     return top.select("quarter", "rank", "player", "season", "points")
 
 
