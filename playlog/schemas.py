@@ -2,15 +2,6 @@
 
 from pyspark.sql import types as T
 
-RAW_LOG = T.StructType([T.StructField("value", T.StringType())])
-
-ROSTER = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("true_name", T.StringType()),
-    T.StructField("team", T.StringType()),
-    T.StructField("ord", T.LongType()),
-])
-
 REPORT_EVENT = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("idLineEvent", T.StringType()),
