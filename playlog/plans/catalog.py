@@ -348,7 +348,9 @@ def merge_logs(spark, sf_dir):
     log = log_b(spark, sf_dir)
     early = parse_log(log.where(F.substring("value", 1, 8) < MERGE_SPLIT_DATE))
     late = parse_log(log.where(F.substring("value", 1, 8) >= MERGE_SPLIT_DATE))
-    ids_early = assign_match_ids(early)
+    # one row per game of the earlier load, read twice (union and id offset):
+    # checkpointed to the shared folder instead of numbered twice
+    ids_early = assign_match_ids(early).checkpoint()
     ids_late = append_match_ids(ids_early, late)
     ids = ids_early.unionByName(ids_late).select("game_id", "id_match")
     merged = early.unionByName(late)
