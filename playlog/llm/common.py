@@ -74,6 +74,18 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]],
     return df.mapInArrow(run, schema)
 
 
+def lowest_share(key: Column, unit_hash: Column, counts: dict, most: int) -> Column:
+    """Filter that keeps about four times ``most`` rows of each key: those in
+    the lowest part of the hash, given each key's row count. It runs before
+    the exact "first ``most`` by hash", which then moves few rows."""
+    share = F.lit(False)
+    for k, n in counts.items():
+        part = 4 * most / max(n, 1)
+        low = F.lit(True) if part >= 1 else unit_hash < int(-(1 << 63) + part * (1 << 64))
+        share = share | ((key == F.lit(k)) & low)
+    return share
+
+
 class Shared:
     """A broadcast value and what each worker builds from it once."""
 

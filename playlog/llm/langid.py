@@ -68,7 +68,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     sample = usable.select(F.col(lang).cast("string").alias("l"), F.col(text).substr(1, sample_chars).alias("t"),
                            F.xxhash64(F.col(id_col)).alias("h"))
     first = Window.partitionBy("l").orderBy("h", "t")
-    rows = sample.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).collect()
+    few = sample.filter(C.lowest_share(F.col("l"), F.col("h"), {r["l"]: r["count"] for r in shares}, sample_docs))
+    rows = few.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).collect()
     parts: dict[str, dict[bytes, None]] = {}
     for r in sorted(rows, key=lambda r: (r["l"], r["n"])):
         parts.setdefault(r["l"], {})[normalise(r["t"])] = None  # copies teach once

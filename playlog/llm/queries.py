@@ -9,6 +9,22 @@ from pyspark.sql import functions as F
 
 from playlog.llm import common as C
 from playlog.llm import langid
+from playlog.llm import simhash
+from playlog.llm import toxicity
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(C.read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_hex().alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, C.read(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", C.held_out("doc_id").alias("held_out"), F.col("toxic_score").alias("score"),
+                        F.col("toxic_pred").alias("predicted"), F.size("offending_index").alias("n_offending"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +37,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
+    "op6_toxicity": op6_toxicity,
     "op9_language_id": op9_language_id,
 }
 
