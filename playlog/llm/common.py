@@ -35,6 +35,13 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def row_keys(id_col: str, text: str) -> list[Column]:
+    """k1, k2: 128 bits that name a row by its id and text (never null).
+    Rows alike in both share them, so a decision holds for all of them."""
+    i, t = F.col(id_col).cast("string"), F.col(text).cast("string")
+    return [F.xxhash64(i, F.lit("|"), t, t.isNull()).alias("k1"), F.xxhash64(t, F.lit("#"), i, i.isNull()).alias("k2")]
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that carry a result column's name (any case)."""
     low = {n.lower() for n in names}

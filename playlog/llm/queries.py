@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlog.llm import common as C
+from playlog.llm import decontaminate
 from playlog.llm import langid
 from playlog.llm import simhash
+from playlog.llm import token_files
 from playlog.llm import toxicity
+from playlog.session import scratch_path
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +31,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("toxic_pred").alias("predicted"), F.size("offending_index").alias("n_offending"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    manifest = token_files.write(C.read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 end_id=2, folder=folder)
+    found = token_files.read(spark, manifest, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return token_files.located(found, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents")
     model = langid.fit(docs)
@@ -39,7 +58,40 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op6_toxicity": op6_toxicity,
+    "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+# Windows of 10 words (fewer where the item has fewer) as strings, matched at every position.
+_OP8_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS body
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+pos AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS body
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT pos.r, pos.i, pos.n, win.item FROM pos JOIN win USING (n, body)),
+cov AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op8_decontamination": _OP8_SQL,
+}
