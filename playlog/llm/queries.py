@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlog.llm import bpe
 from playlog.llm import common as C
 from playlog.llm import decontaminate
 from playlog.llm import langid
@@ -23,6 +24,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(C.read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, C.read(spark, sf_dir, "labels"))
@@ -57,6 +66,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_bpe": op3_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
