@@ -4,15 +4,25 @@
 returns a DataFrame; ``run`` writes each result as Parquet in the shared
 folder and the next stage reads it back. All stages but the last return the
 columns of ``documents``.
+
+Rows are told apart by id and text together (``common.row_keys``): rows alike
+in both share every decision, and the near-duplicate stage keeps one of them.
+Null and empty texts have no letter, so the first stage drops them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from playlog.llm import bpe
 from playlog.llm import common as C
+from playlog.llm import decontaminate
 from playlog.llm import langid
+from playlog.llm import pii
+from playlog.llm import simhash
+from playlog.llm.queries import PII_KEY
 from playlog.session import scratch_path
 
 
@@ -22,15 +32,50 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(~F.col("lang_rejected")).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group: the smallest doc_id."""
+    stay = simhash.representatives(simhash.near_duplicates(docs))
+    keyed = docs.withColumns({"k1": C.row_keys("doc_id", "text")[0], "k2": C.row_keys("doc_id", "text")[1]})
+    kept = keyed.join(stay, ["k1", "k2"], "left_semi")
+    one = Window.partitionBy("k1", "k2").orderBy("k1")
+    return kept.withColumn("n", F.row_number().over(one)).filter("n = 1").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    found = decontaminate.contamination(docs, C.read(spark, sf_dir, "benchmark"))
+    hit = found.filter("n_hit > 0").select("k1", "k2")
+    keyed = docs.withColumns({"k1": C.row_keys("doc_id", "text")[0], "k2": C.row_keys("doc_id", "text")[1]})
+    return keyed.join(hit, ["k1", "k2"], "left_anti").select(*docs.columns)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal numbers, dates and addresses within their format."""
+    return pii.pseudonymise(docs, PII_KEY).select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with digests of the ids and of what they decode to."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("pii", pseudonyms),
+    ("bpe", encoding),
 ]
 
-# language identification, fingerprints and encoding are not expressible in SQL
+# identification by compression, fingerprints, pseudonyms and BPE merges are not expressible in SQL
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's result over the whole of ``documents``."""
     docs = C.read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")

@@ -12,11 +12,15 @@ from playlog.llm import bpe
 from playlog.llm import common as C
 from playlog.llm import decontaminate
 from playlog.llm import langid
+from playlog.llm import pii
 from playlog.llm import simhash
 from playlog.llm import token_files
 from playlog.llm import toxicity
 from playlog.session import scratch_path
 
+# a deployment passes its own secret
+PII_KEY = "registered-query-key"
+
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(C.read(spark, sf_dir, "documents"))
@@ -32,6 +36,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(C.read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return found.select("doc_id", "text", F.size("pii").alias("n_pii"), "pii")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, C.read(spark, sf_dir, "labels"))
@@ -67,6 +76,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,

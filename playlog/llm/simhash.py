@@ -58,14 +58,13 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, text_hash, fp) of every row; text_hash tells repeated ids apart."""
-    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
-                      C.utf8(text).alias("body"))
-    out = [T.StructField("id", src.schema["id"].dataType), C.field("text_hash", "long"), C.field("fp", "long")]
+    """(id, k1, k2, fp) of every row; see ``common.row_keys`` for k1 and k2."""
+    src = docs.select(F.col(id_col).alias("id"), *C.row_keys(id_col, text), C.utf8(text).alias("body"))
+    out = [T.StructField("id", src.schema["id"].dataType), *[C.field(n, "long") for n in ("k1", "k2", "fp")]]
 
     def rows(batch):
-        yield {"id": batch.column(0), "text_hash": batch.column(1),
-               "fp": [fingerprint(b.as_py(), shingle) for b in batch.column(2)]}
+        yield {"id": batch.column(0), "k1": batch.column(1), "k2": batch.column(2),
+               "fp": [fingerprint(b.as_py(), shingle) for b in batch.column(3)]}
 
     return C.map_arrow(src, rows, out)
 
@@ -168,15 +167,23 @@ def links(fps: DataFrame, distance: int = 3, blocks: int = 6, bucket: int = 4096
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
                     distance: int = 3, blocks: int = 6, bucket: int = 4096) -> DataFrame:
-    """(id, text_hash, fp, component) of every row: component is the smallest
-    id reachable over links of at most ``distance`` bits, itself included."""
+    """(id, k1, k2, fp, root, component) of every row. Rows of one group share
+    root; component is the group's smallest id: the smallest reachable over
+    links of at most ``distance`` bits, itself included."""
     rows = C.cut(fingerprints(docs, id_col, text, shingle))
     nodes = rows.groupBy("fp").agg(F.min("id").alias("first"))
     roots = components(links(rows, distance, blocks, bucket)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("first").alias("component"))
-    group = named.join(least, "root").select("fp", "component")
-    return rows.join(group, "fp").select("id", "text_hash", "fp", "component")
+    group = named.join(least, "root").select("fp", "root", "component")
+    return rows.join(group, "fp").select("id", "k1", "k2", "fp", "root", "component")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """(k1, k2) of one row of each group of ``near_duplicates``: the smallest
+    id (nulls last), then the smallest k1, k2."""
+    first = F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2"))
+    return found.groupBy("root").agg(first.alias("f")).select("f.k1", "f.k2")
 
 
 def fingerprint_hex(fp: str = "fp"):
