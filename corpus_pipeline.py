@@ -13,7 +13,7 @@ Null and empty texts have no letter, so the first stage drops them.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlog.llm import bpe
@@ -35,18 +35,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: the smallest doc_id."""
     stay = simhash.representatives(simhash.near_duplicates(docs))
-    keyed = docs.withColumns({"k1": C.row_keys("doc_id", "text")[0], "k2": C.row_keys("doc_id", "text")[1]})
-    kept = keyed.join(stay, ["k1", "k2"], "left_semi")
-    one = Window.partitionBy("k1", "k2").orderBy("k1")
-    return kept.withColumn("n", F.row_number().over(one)).filter("n = 1").select(*docs.columns)
+    return C.keep_rows(docs, stay, "left_semi", "doc_id", "text", once=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     found = decontaminate.contamination(docs, C.read(spark, sf_dir, "benchmark"))
     hit = found.filter("n_hit > 0").select("k1", "k2")
-    keyed = docs.withColumns({"k1": C.row_keys("doc_id", "text")[0], "k2": C.row_keys("doc_id", "text")[1]})
-    return keyed.join(hit, ["k1", "k2"], "left_anti").select(*docs.columns)
+    return C.keep_rows(docs, hit, "left_anti", "doc_id", "text")
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,28 @@ def row_keys(id_col: str, text: str) -> list[Column]:
     return [F.xxhash64(i, F.lit("|"), t, t.isNull()).alias("k1"), F.xxhash64(t, F.lit("#"), i, i.isNull()).alias("k2")]
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until no column of ``df`` has it."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in taken:
+            n += "_"
+        found.append(n)
+    return found
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, how: str, id_col: str, text: str, once: bool = False) -> DataFrame:
+    """Rows of ``docs`` that have (left_semi) or lack (left_anti) their k1, k2
+    in ``keys``; ``once`` keeps one of the rows that share them."""
+    k1, k2, n = fresh(docs, "k1", "k2", "n")
+    keyed = docs.select("*", *[c.alias(x) for c, x in zip(row_keys(id_col, text), (k1, k2))])
+    keys = keys.select(F.col("k1").alias(k1), F.col("k2").alias(k2))
+    kept = keyed.join(keys, [k1, k2], how)
+    if once:
+        kept = kept.withColumn(n, F.row_number().over(Window.partitionBy(k1, k2).orderBy(k1))).filter(F.col(n) == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that carry a result column's name (any case)."""
     low = {n.lower() for n in names}

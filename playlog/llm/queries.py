@@ -12,6 +12,7 @@ from playlog.llm import bpe
 from playlog.llm import common as C
 from playlog.llm import decontaminate
 from playlog.llm import langid
+from playlog.llm import mih
 from playlog.llm import pii
 from playlog.llm import simhash
 from playlog.llm import token_files
@@ -41,6 +42,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("pii").alias("n_pii"), "pii")
 
 
+def op5_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mih.neighbours(C.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, C.read(spark, sf_dir, "labels"))
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op4_pii": op4_pii,
+    "op5_mih": op5_mih,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
