@@ -12,6 +12,7 @@ from playlog.llm import bpe
 from playlog.llm import common as C
 from playlog.llm import decontaminate
 from playlog.llm import langid
+from playlog.llm import masked_lm
 from playlog.llm import mih
 from playlog.llm import pii
 from playlog.llm import simhash
@@ -23,6 +24,13 @@ from playlog.session import scratch_path
 PII_KEY = "registered-query-key"
 
 
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = masked_lm.score(docs, masked_lm.fit(docs))
+    return found.select("doc_id", F.col("lm_tokens").alias("n_tokens"), F.col("lm_log_prob").alias("log_prob"),
+                        F.col("lm_mean").alias("mean_log_prob"), F.col("lm_perplexity").alias("perplexity"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(C.read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_hex().alias("fingerprint"),
@@ -80,6 +88,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_masked_lm": op1_masked_lm,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op4_pii": op4_pii,
