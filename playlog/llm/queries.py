@@ -16,6 +16,7 @@ from playlog.llm import masked_lm
 from playlog.llm import mih
 from playlog.llm import pii
 from playlog.llm import simhash
+from playlog.llm import suffix_dedup
 from playlog.llm import token_files
 from playlog.llm import toxicity
 from playlog.session import scratch_path
@@ -87,6 +88,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_rejected").alias("rejected"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated(C.read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes",
+                        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_masked_lm": op1_masked_lm,
     "op2_simhash": op2_simhash,
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 # Windows of 10 words (fewer where the item has fewer) as strings, matched at every position.
