@@ -7,9 +7,12 @@ uses of a word meet in one partition, which encodes each distinct word once
 and sends its ids back to every block that asked. The block's ids are joined
 to its positions, and the documents are reassembled in order.
 
-A frequent word costs one entry a block, however often it occurs. The
-exploded blocks are written once to the shared folder, so a lost executor
-never makes a block's numbering differ from the words that went out.
+A frequent word costs one entry a block, however often it occurs. The texts
+are exploded twice, once for the words and once for the positions: that moves
+less data than storing the positions in between. Both readings must see the
+same rows in the same order, so pass a stored table (files, or a
+checkpoint). A block is named by a digest of its words, so a reading that
+differs finds no words and stops the job instead of mixing up ids.
 
 Decoding joins each id to the token-byte table (as many rows as the rank file
 has; it is sent to every task and joined there inside each id array).
@@ -22,6 +25,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import zlib
 from array import array
@@ -46,6 +50,9 @@ def read_ranks(spark: SparkSession, rank_file: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(i) for t, i in (line.split() for line in f if line.strip())}
 
 
+_DIGEST = 8
+
+
 class _Words:
     """Pre-tokens of the texts of one block, numbered by first use."""
 
@@ -102,21 +109,14 @@ def _unpack(data: bytes) -> tuple[np.ndarray, bytes]:
     return np.cumsum(sizes, dtype=np.int64), raw[4 + 4 * n:]
 
 
-def _exploded(docs: DataFrame, id_col: str, text: str, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
-    """Rows of two kinds for each block. kind 0: the distinct words of one
-    bucket, in order of their numbers. kind 1: the documents (id, k1, k2, number
-    of words), the bucket of each word and the word numbers in text order."""
-    src = docs.select(F.col(id_col).alias("id"), *C.row_keys(id_col, text), C.utf8(text).alias("body"))
-    doc = T.StructType([T.StructField("id", src.schema["id"].dataType), C.field("k1", "long"), C.field("k2", "long"),
-                        C.field("n", "long")])
-    schema = T.StructType([C.field("block", "long"), C.field("kind", "int"), C.field("bucket", "int"),
-                           C.field("data", "binary"), T.StructField("docs", T.ArrayType(doc)),
-                           C.field("bucket_of", "binary")])
+def _blocks(src: DataFrame, pattern: str, buckets: int, block_bytes: int, emit, schema: T.StructType) -> DataFrame:
+    """``emit(block, rows, number of words of each text, word numbers, words,
+    bucket of each word, digest)`` of every block. Frequent words have small
+    numbers. The block's name and the digest come from its words in order;
+    blocks with the same words share both, and their words are the same."""
 
     def run(batches):
-        from pyspark import TaskContext
-
-        find, block = regex.compile(pattern).findall, TaskContext.get().partitionId() << 32
+        find = regex.compile(pattern).findall
         out = C.arrow_schema(*schema.fields)
         for batch in batches:
             for part in C.slices(batch, "body", block_bytes):
@@ -124,29 +124,49 @@ def _exploded(docs: DataFrame, id_col: str, text: str, pattern: str, buckets: in
                 texts = [words.text(b.as_py().decode("utf-8", "replace")) for b in part.column(3)]
                 codes = np.frombuffer(b"".join(texts), np.uint32)
                 names = [w.encode("utf-8", "replace") for w in words.number]
-                # frequent words get small numbers
                 order = np.argsort(-np.bincount(codes, minlength=len(names)), kind="stable") if names else []
                 rank = np.empty(len(names), np.uint32)
                 rank[order] = np.arange(len(names), dtype=np.uint32)
                 names = [names[i] for i in order]
                 bucket = np.fromiter((zlib.crc32(w) % buckets for w in names), np.uint16, len(names))
-                by = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[by])) + 1
-                groups = np.split(by, cuts) if len(by) else []
-                keep = [{"id": i, "k1": a, "k2": b, "n": len(t) // 4} for i, a, b, t in zip(
-                    *(part.column(k).to_pylist() for k in range(3)), texts)]
-                n = len(groups) + 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * n, pa.int64()), pa.array([0] * (n - 1) + [1], pa.int32()),
-                    pa.array([int(bucket[g[0]]) for g in groups] + [-1], pa.int32()),
-                    pa.array([_pack([names[i] for i in g]) for g in groups] + [_planes(rank[codes], 4)], pa.binary()),
-                    pa.array([None] * (n - 1) + [keep], out.field("docs").type),
-                    pa.array([None] * (n - 1) + [_planes(bucket, 2)], pa.binary())], schema=out)
-                block += 1
+                digest = hashlib.blake2b(_pack(names), digest_size=8 + _DIGEST).digest()
+                block, digest = int.from_bytes(digest[:8], "little", signed=True), digest[8:]
+                sizes = [len(t) // 4 for t in texts]
+                del words, texts
+                cols = emit(block, part, sizes, rank[codes], names, bucket, digest)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
 
     return src.mapInArrow(run, schema)
 
 
+def _words_of(src: DataFrame, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
+    """Each block's distinct words by bucket, in order of their numbers."""
+
+    def emit(block, part, sizes, codes, names, bucket, digest):
+        by = np.argsort(bucket, kind="stable")
+        groups = np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []
+        return ([block] * len(groups), [int(bucket[g[0]]) for g in groups],
+                [digest + _pack([names[i] for i in g]) for g in groups])
+
+    return _blocks(src, pattern, buckets, block_bytes, emit, T.StructType([
+        C.field("block", "long"), C.field("bucket", "int"), C.field("data", "binary")]))
+
+
+def _positions_of(src: DataFrame, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
+    """Each block's documents (id, k1, k2, number of words), the bucket of each
+    word, and the word numbers in text order."""
+    doc = T.StructType([*src.schema.fields[:3], C.field("n", "long")])
+
+    def emit(block, part, sizes, codes, names, bucket, digest):
+        docs = [{"id": i, "k1": a, "k2": b, "n": n} for i, a, b, n in zip(
+            *(part.column(k).to_pylist() for k in range(3)), sizes)]
+        return [block], [1], [-1], [digest + _planes(codes, 4)], [docs], [_planes(bucket, 2)]
+
+    return _blocks(src, pattern, buckets, block_bytes, emit, T.StructType([
+        C.field("block", "long"), C.field("kind", "int"), C.field("bucket", "int"), C.field("data", "binary"),
+        T.StructField("docs", T.ArrayType(doc)), C.field("bucket_of", "binary")]))
+
+
 class _Encoder:
     def __init__(self, value):
         import tiktoken
@@ -168,7 +188,8 @@ def _encoded_words(words: DataFrame, encoder: C.Shared) -> DataFrame:
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(2)):
                 if bucket != at:
                     at, known = bucket, {}
-                ends, body = _unpack(data.as_py())
+                data = data.as_py()
+                ends, body = _unpack(data[_DIGEST:])
                 ids, a = [], 0
                 for b in ends.tolist():
                     w = body[a:b]
@@ -177,7 +198,7 @@ def _encoded_words(words: DataFrame, encoder: C.Shared) -> DataFrame:
                         x = known[w] = np.asarray(encode(w.decode("utf-8", "replace")), np.uint32).tobytes()
                     ids.append(x)
                     a = b
-                found.append(zstandard.ZstdCompressor(level=3).compress(b"".join([
+                found.append(data[:_DIGEST] + zstandard.ZstdCompressor(level=3).compress(b"".join([
                     np.uint32(len(ids)).tobytes(), (np.fromiter(map(len, ids), np.uint32, len(ids)) // 4).tobytes(),
                     _planes(np.frombuffer(b"".join(ids), np.uint32), 4)])))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([0] * len(found), pa.int32()), batch.column(0),
@@ -187,45 +208,49 @@ def _encoded_words(words: DataFrame, encoder: C.Shared) -> DataFrame:
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text: str = "text",
-           block_bytes: int = 16 << 20, buckets: int | None = None) -> DataFrame:
+           block_bytes: int = 8 << 20, buckets: int | None = None) -> DataFrame:
     """One row for each document: id, k1, k2 (``common.row_keys``), n_tokens
     and ids (little-endian unsigned 32-bit integers)."""
     spark = docs.sparkSession
     buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     encoder = C.Shared(spark, (pattern, read_ranks(spark, rank_file)), _Encoder)
-    blocks = C.cut(_exploded(docs, id_col, text, pattern, buckets, block_bytes))
-    ids = _encoded_words(blocks.filter("kind = 0"), encoder)
-    doc = blocks.schema["docs"].dataType
-    both = ids.withColumn("docs", F.lit(None).cast(doc)).withColumn("bucket_of", F.lit(None).cast("binary")).unionByName(
-        blocks.filter("kind = 1"))
+    src = docs.select(F.col(id_col).alias("id"), *C.row_keys(id_col, text), C.utf8(text).alias("body"))
+    ids = _encoded_words(_words_of(src, pattern, buckets, block_bytes), encoder)
+    positions = _positions_of(src, pattern, buckets, block_bytes)
+    doc = positions.schema["docs"].dataType
+    both = ids.withColumns({"docs": F.lit(None).cast(doc), "bucket_of": F.lit(None).cast("binary")}).unionByName(
+        positions)
     dealt = both.repartition("block").sortWithinPartitions("block", "kind", "bucket")
     out = [*doc.elementType.fields[:3], C.field("n_tokens", "long"), C.field("ids", "binary")]
 
     def run(batches):
-        schema, mine, held = C.arrow_schema(*out), None, []
+        schema, mine, held = C.arrow_schema(*out), None, {}
         for batch in batches:
             for block, kind, bucket, data, of, words in zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),
                     batch.column(3), batch.column(5), batch.column(4)):
                 if block != mine:
-                    mine, held = block, []
+                    mine, held = block, {}
                 if kind == 0:
-                    held.append((bucket, data.as_py()))
+                    held[bucket] = data.as_py()
                 else:
                     yield from _assembled(held, words.as_py(), of.as_py(), data.as_py(), schema)
-                    held = []
 
     return dealt.mapInArrow(run, T.StructType(out))
 
 
-def _assembled(held, docs, bucket_of, data, schema, most: int = 8 << 20):
+def _assembled(held, docs, bucket_of, data, schema, most: int = 4 << 20):
     """Documents of one block, their words replaced by ids in order."""
     bucket = _unplanes(bucket_of, 2)
     size, start = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
     by = np.argsort(bucket, kind="stable")
     begin = np.searchsorted(bucket[by], np.arange(1 << 16))
     flat, base = [], 0
-    for b, packed in held:
+    data, digest = data[_DIGEST:], data[:_DIGEST]
+    if any(x[:_DIGEST] != digest for x in held.values()) or len(held) != len(np.unique(bucket)):
+        raise RuntimeError("the documents were read in another order the second time; pass a stored table")
+    for b, packed in held.items():
+        packed = packed[_DIGEST:]
         raw = zstandard.ZstdDecompressor().decompress(packed)
         n = int(np.frombuffer(raw, np.uint32, 1)[0])
         sizes = np.frombuffer(raw, np.uint32, n, 4).astype(np.int64)
