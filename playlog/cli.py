@@ -4,7 +4,7 @@
     python -m playlog.cli report top-scorers --events events/
     python -m playlog.cli report shooting-ratio-leaders --events events/ --min-attempts 300 --source-seasons
     python -m playlog.cli report-all --events events/ --out reports/
-    python -m playlog.cli build-matches --log logs/ --roster roster.tsv --out matches/ --format json --id-offset 6545
+    python -m playlog.cli build-matches --log logs/ --roster roster.tsv --out matches/ --max-events 10000 --id-offset 6545
     python -m playlog.cli rewrite --log logs/ --roster roster.tsv --out cleaned/
     python -m playlog.cli coverage --log logs/ --roster roster.tsv --fallback
     python -m playlog.cli count --text file.txt --needle a --needle b
@@ -18,14 +18,15 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from playlog.functions import scalars as S
 from playlog.operators import ranking as R
 from playlog.operators.ingest import ingest, read_events_table
 from playlog.operators.matches import events_from_documents
-from playlog.operators.roster import rewrite_audit
 from playlog.plans import queries as Q
+from playlog.session import DEFAULT_CONF
 from playlog.sources import io
 
 REPORTS = {
@@ -34,15 +35,26 @@ REPORTS = {
     "shooting-ratio-leaders": lambda ev, a: Q.shooting_ratio_leaders(
         ev, a.n or 3, a.min_attempts, _seasons(a), a.ties or "first"),
     "season-top-fouler": lambda ev, a: Q.season_top_fouler(ev, a.ties or "all"),
-    "point-trend": lambda ev, a: R.sort_desc(Q.point_trend(ev, _seasons(a)), ["diff"], ["player", "season_from"]),
+    "point-trend": lambda ev, a: Q.point_trend(ev, _seasons(a), "collapse" if a.ties == "collapse" else "all"),
     "buzzer-beaters": lambda ev, a: Q.buzzer_beaters(ev, a.n or 3, a.ties or "first", _seasons(a),
                                                      not a.no_overtime),
-    "quarter-point-leaders": lambda ev, a: Q.quarter_point_leaders(ev, a.n or 3, a.ties or "first", _seasons(a)),
-    "ratio-trend": lambda ev, a: R.sort_desc(Q.ratio_trend(ev, a.min_attempts, _seasons(a)), ["diff"],
-                                             ["player", "season_from"]),
+    "quarter-point-leaders": lambda ev, a: Q.quarter_point_leaders(
+        ev, a.n or 3, a.ties or "first", _seasons(a), [] if a.ties == "collapse" else None),
+    "ratio-trend": lambda ev, a: Q.ratio_trend(ev, a.min_attempts, _seasons(a),
+                                               "collapse" if a.ties == "collapse" else "all"),
 }
 
 
+def _in_order(name: str, df: DataFrame) -> DataFrame:
+    """The order a report is printed in: differences largest first, quarters
+    1ST..OT, seasons in time order."""
+    if name.endswith("trend"):
+        return R.sort_desc(df, ["diff"], ["player", "season_from"])
+    first = [F.col("rank")] if name == "top-scorers" else [
+        S.quarter_ordinal("quarter") if "quarter" in df.columns else F.col("season")]
+    return df.orderBy(*first, *[c for c in ("rank", "player") if c in df.columns])
+
+
 def _seasons(a):
     if a.source_seasons:
         return Q.SOURCE_SEASONS
@@ -97,7 +109,9 @@ def main(argv=None) -> int:
     b.add_argument("--id-offset", type=int, default=0)
     b.add_argument("--continue-ids", action="store_true",
                    help="number after the largest id_match already stored at --out (a later load)")
-    b.add_argument("--max-events", type=int, default=10_000)
+    b.add_argument("--max-events", type=int, required=True,
+                   help="lines that one document covers: a match with more becomes several documents, told apart by "
+                        "part (the grain is id_match, part)")
 
     w = sub.add_parser("rewrite", help="replace short names by true names in the log")
     w.add_argument("--log", required=True, nargs="+")
@@ -117,7 +131,7 @@ def main(argv=None) -> int:
     a = p.parse_args(argv)
     from pyspark.sql import SparkSession
 
-    builder = SparkSession.builder.appName("playlog")
+    builder = SparkSession.builder.appName("playlog").config(map=DEFAULT_CONF)
     if a.master:
         builder = builder.master(a.master)
     spark = builder.getOrCreate()
@@ -130,32 +144,36 @@ def main(argv=None) -> int:
             ev = read_events_table(spark, a.events)
         else:
             ev = events_from_documents(io.read_matches(spark, a.documents, fmt=a.documents_format))
-        _print(REPORTS[a.name](ev, a))
+        _print(_in_order(a.name, REPORTS[a.name](ev, a)))
     elif a.cmd == "report-all":
         # one scan + one shuffle of the events; the reports read the small metrics table
         from playlog.operators.metrics import player_season_metrics
 
         metrics_path = a.out.rstrip("/") + "/metrics"
-        player_season_metrics(read_events_table(spark, a.events)).write.mode("overwrite").parquet(metrics_path)
+        player_season_metrics(read_events_table(spark, a.events), by_quarter=True).write.mode(
+            "overwrite").parquet(metrics_path)
         reports = Q.season_reports(spark.read.parquet(metrics_path), a.min_attempts, seasons=_seasons(a))
         for name, df in reports.items():
             sys.stdout.write(f"== {name}\n")
-            if name in ("point_trend", "ratio_trend"):
-                df = R.sort_desc(df, ["diff"], ["player", "season_from"])
-            _print(df)
+            _print(_in_order(name.replace("_", "-"), df))
     elif a.cmd == "build-matches":
         offset = a.id_offset
         if a.continue_ids:
             stored = io.read_matches(spark, a.out, fmt=a.format).agg(F.max("id_match")).first()[0]
             offset = max(offset, stored or 0)
         docs = Q.match_documents(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster),
-                                 offset, a.max_events)
+                                 a.max_events, offset)
         io.write_matches(docs, a.out, fmt=a.format, mode=a.mode)
     elif a.cmd == "rewrite":
         out = Q.rewrite_names(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.literal_token)
+        # the source's written/error counters, observed while the lines are written
+        seen = Observation()
+        names = ("rewritten", "unmatched", "no_token", "malformed")
+        out = out.observe(seen, *[F.count_if(F.col("status") == n).alias(n) for n in names])
         io.write_log(out, a.out)
-        # the source's written/error counters (a second pass over the log)
-        _print(rewrite_audit(out))
+        for n in names:
+            if seen.get[n]:
+                sys.stdout.write(f"{n} {seen.get[n]}\n")
     elif a.cmd == "coverage":
         _print(Q.coverage(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.fallback))
     elif a.cmd == "count":

@@ -56,11 +56,12 @@ def season_start(date_text) -> Column:
     """First calendar year of the season of a ``yyyyMMdd`` string (FN-1).
 
     Month before August belongs to the season that started the year before.
+    NULL when year or month is no number or the month is above 12.
     """
     d = _col(date_text)
     year = F.substring(d, 1, 4).try_cast("int")
     month = F.substring(d, 5, 2).try_cast("int")
-    return F.when(month < SEASON_START_MONTH, year - 1).otherwise(year)
+    return F.when(month < SEASON_START_MONTH, year - 1).when(month <= 12, year)
 
 
 def season_label(start) -> Column:
@@ -200,7 +201,8 @@ def score_side(entry) -> Column:
 
 
 def score_side_from(head) -> Column:
-    return F.substring(F.split_part(_col(head), F.lit(" "), F.lit(1)), 2, 1 << 20)
+    side = F.split_part(_col(head), F.lit(" "), F.lit(1))
+    return F.substring(side, F.lit(2), F.length(side))
 
 
 def score_token(entry) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playlog.operators.matches import running_score
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players
+from playlog.session import drop_path, scratch_path
 from playlog.sources import io
 
 # Columns of the stored event table (season_start is the partition column).
@@ -47,6 +48,20 @@ def read_events_table(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest(raw_log: DataFrame, roster: DataFrame, path: str, include_unresolved: bool = False,
            with_scores: bool = False, mode: str = "overwrite", rebalance: bool = False) -> DataFrame:
-    """Build, write and re-open the event table."""
-    write_events_table(events_table(raw_log, roster, include_unresolved, with_scores), path, mode, rebalance)
-    return read_events_table(raw_log.sparkSession, path)
+    """Build, write and re-open the event table.
+
+    Running scores need the events twice (the rows and, for what earlier
+    chunks carry forward, their ids and score tokens). The parsed and resolved
+    events are therefore written first and read back, so the raw log is read,
+    split and resolved once."""
+    spark = raw_log.sparkSession
+    events = events_table(raw_log, roster, include_unresolved)
+    if not with_scores:
+        write_events_table(events, path, mode, rebalance)
+        return read_events_table(spark, path)
+    parsed = scratch_path(spark, "parsed")
+    events.write.parquet(parsed)
+    scored = running_score(read_events_table(spark, parsed)).select(*ORDERED_COLUMNS)
+    write_events_table(scored, path, mode, rebalance)
+    drop_path(spark, parsed)
+    return read_events_table(spark, path)

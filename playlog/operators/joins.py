@@ -1,62 +1,42 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Lookup join: one plan whatever the size of the lookup table."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table (rows) that may be broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 # NULL-key rows of a shuffled left join are spread over this many salt values.
 NULL_KEY_SALTS = 1024
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()``: each partition stops after
-    ``max_rows + 1`` rows, so the check reads at most that many rows per
-    partition of the lookup table (a dimension table) and ships one number.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                size_probe: DataFrame | None = None) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join ``left`` to a lookup table ``right`` on ``keys``.
 
-    * If ``right`` has at most ``max_broadcast_rows`` rows, it is broadcast:
-      no shuffle of ``left``, and a hot key costs nothing extra.
-    * Otherwise a shuffled join. For a left join, rows of ``left`` with a NULL
-      key cannot match; instead of all hashing to one reducer they get a salted
-      stand-in key (a hash of the row) plus a flag that no ``right`` row carries,
-      so they spread evenly and still find no partner. Hot non-NULL keys are
-      split by AQE's skew-join handling.
-
-    ``size_probe`` is a cheaper table with at least as many rows as
-    ``right`` (e.g. the raw roster before de-duplication) to run the check on.
-    ``max_broadcast_rows=None`` skips the check and the hint: Catalyst and AQE
-    then broadcast only under their byte thresholds (estimated, then measured).
+    Keys compare as Spark compares them (an int key meets an equal double).
+    The result has the columns of ``left`` in order, then those of ``right``
+    that are not keys. Catalyst and AQE choose broadcast or shuffle by their
+    byte thresholds (estimated, then measured); rows and columns do not
+    depend on the choice.
+
+    When shuffled, rows of ``left`` with a NULL key cannot match; a salt column
+    (0 for all other rows and for ``right``) spreads them over many tasks
+    instead of hashing them all to one. Hot non-NULL keys are split by AQE's
+    skew-join handling.
     """
-    if max_broadcast_rows is not None:
-        probe = size_probe if size_probe is not None else right
-        if row_count_at_most(probe, max_broadcast_rows):
-            return left.join(F.broadcast(right), on=keys, how=how)
-    if how != "left":
-        return left.join(right, on=keys, how=how)
-
-    any_null = None
-    for k in keys:
-        cond = F.col(k).isNull()
-        any_null = cond if any_null is None else (any_null | cond)
-    salt = F.concat(F.lit("~"), F.pmod(F.hash(*[F.col(c) for c in left.columns]), F.lit(NULL_KEY_SALTS)).cast("string"))
-    lk = left.select("*", any_null.alias("_pl_null_key"),
-                     *[F.coalesce(F.col(k).cast("string"), salt).alias(f"_pl_k{i}") for i, k in enumerate(keys)])
     extra = [c for c in right.columns if c not in keys]
-    rk = right.select(F.lit(False).alias("_pl_null_key"),
-                      *[F.col(k).cast("string").alias(f"_pl_k{i}") for i, k in enumerate(keys)],
-                      *[F.col(c) for c in extra])
-    join_keys = ["_pl_null_key"] + [f"_pl_k{i}" for i in range(len(keys))]
-    joined = lk.join(rk, on=join_keys, how="left")
-    return joined.select(*[F.col(c) for c in left.columns], *[F.col(c) for c in extra])
+    null_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(F.hash(*[F.col(c) for c in left.columns]), F.lit(NULL_KEY_SALTS)) + 1
+    salted = left.withColumn("_pl_salt", F.when(null_key, spread).otherwise(F.lit(0))) if how == "left" else left
+    lookup = right.select(*keys, *extra)
+    on = list(keys)
+    if how == "left":
+        # always 0, but not a literal: the optimizer keeps it as a join key
+        lookup = lookup.withColumn("_pl_salt", F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(1)))
+        on.append("_pl_salt")
+    a, b = salted.alias("_pl_l"), lookup.alias("_pl_r")
+    cond = reduce(lambda x, y: x & y, [F.col(f"_pl_l.{k}") == F.col(f"_pl_r.{k}") for k in on])
+    return a.join(b, cond, how).select(*[F.col(f"_pl_l.{c}") for c in left.columns],
+                                       *[F.col(f"_pl_r.{c}") for c in extra])

@@ -2,9 +2,9 @@
 PRJ-2, FN-16, SET-3; Q-9).
 
 Ordered per-game work is chunked by line number (:mod:`playlog.operators.sequence`),
-so one very long game is spread over many tasks. A document holds at most
-``max_events`` events: a longer game becomes several parts
-(``part`` 0, 1, ...) instead of one unbounded row.
+so one very long game is spread over many tasks. The grain of the documents
+is (id_match, part): the caller states how many lines a part covers, and a
+game with more becomes parts 0, 1, ... instead of one unbounded row.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from playlog.functions import scalars as S
 from playlog.operators.sequence import prefix_within
 
 DEFAULT_CHUNK_LINES = 4096
-DEFAULT_MAX_EVENTS = 10_000
 
 
 def running_score(events: DataFrame, chunk_lines: int = DEFAULT_CHUNK_LINES) -> DataFrame:
@@ -50,10 +49,13 @@ def assign_match_ids(events: DataFrame, offset: int = 0) -> DataFrame:
     ``game_id`` starts with the date, so its order is (date, game_id). The
     numbering runs over the game table (one row per game), chunked by date:
     one task numbers the games of one date (bounded by the number of team
-    pairs), and only the per-date counts are carried across dates.
+    pairs), and only the per-date counts are carried across dates, by one
+    task over at most as many rows as the calendar has days. Games whose
+    date is no calendar day form one chunk, numbered first.
     """
     g = games(events)
-    numbered = prefix_within(g, [], ["game_id"], F.col("date"), counter="_pl_seq")
+    day = F.when(S.game_date("game_id").isNotNull(), F.col("date"))
+    numbered = prefix_within(g, [], ["game_id"], day, counter="_pl_seq")
     return numbered.select("game_id", "date", "home", "away",
                            (F.col("_pl_seq") + F.lit(offset)).cast("long").alias("id_match"))
 
@@ -66,15 +68,25 @@ def append_match_ids(earlier: DataFrame, later_events: DataFrame) -> DataFrame:
         "game_id", "date", "home", "away", (F.col("id_match") + F.col("_pl_base")).alias("id_match"))
 
 
-def build_matches(events: DataFrame, match_ids: DataFrame, max_events: int = DEFAULT_MAX_EVENTS) -> DataFrame:
+def build_matches(events: DataFrame, match_ids: DataFrame, max_events: int) -> DataFrame:
     """AGG-10: nested documents ``(id_match, game_id, part, date, home, away, report)``.
 
-    ``events`` needs line_no, type, time_remaining, entry, score_home,
-    score_away and player. ``report`` is ordered by line number.
+    One document for each game and part of ``max_events`` line numbers (a
+    number above the longest game gives one document a match). ``events``
+    needs line_no, type, time_remaining, entry, score_home, score_away and
+    player. ``report`` is ordered by line number.
+
+    The documents are grouped by (game, part), so a hot game spreads over its
+    parts; the ids come as one small row for each (game, part) and join on the
+    same keys, so the documents do not move again. A line without a game id
+    or line number lands in a document of its own kind (NULL id or part).
     """
+    part = F.floor((F.col("line_no") - 1) / max_events).cast("int")
+    keys = ["_pl_gn", "_pl_g", "_pl_pn", "_pl_p"]
     ev = events.select(
-        "game_id",
-        F.floor((F.col("line_no") - 1) / max_events).cast("int").alias("part"),
+        # NULL-free stand-ins: equal keys for the grouping and the join
+        F.col("game_id").isNull().alias("_pl_gn"), F.coalesce("game_id", F.lit("")).alias("_pl_g"),
+        part.isNull().alias("_pl_pn"), F.coalesce(part, F.lit(0)).alias("_pl_p"),
         F.struct(
             F.col("line_no").alias("_pl_line"),
             F.col("type"),
@@ -88,13 +100,15 @@ def build_matches(events: DataFrame, match_ids: DataFrame, max_events: int = DEF
             F.col("player").alias("playerName"),
         ).alias("_pl_ev"),
     )
-    grouped = ev.groupBy("game_id", "part").agg(F.sort_array(F.collect_list("_pl_ev")).alias("_pl_report"))
+    grouped = ev.groupBy(*keys).agg(F.sort_array(F.collect_list("_pl_ev")).alias("_pl_report"))
     fields = [f.name for f in schemas.REPORT_EVENT.fields]
     report = F.transform(F.col("_pl_report"), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-    ids = match_ids.select(F.col("game_id").alias("_pl_gid"), "id_match", "date", "home", "away")
-    # NULL-safe: a line without a game id still lands in a (NULL-id) document
-    return grouped.join(ids, grouped["game_id"].eqNullSafe(ids["_pl_gid"])).select(
-        "id_match", "game_id", "part", "date", "home", "away", report.alias("report"))
+    ids = match_ids.select(F.col("game_id").isNull().alias("_pl_gn"), F.coalesce("game_id", F.lit("")).alias("_pl_g"),
+                           "id_match", "date", "home", "away")
+    parts = ev.select(*keys).distinct().join(ids, ["_pl_gn", "_pl_g"])
+    return grouped.join(parts.hint("shuffle_hash"), keys).select(
+        "id_match", F.when(~F.col("_pl_gn"), F.col("_pl_g")).alias("game_id"),
+        F.when(~F.col("_pl_pn"), F.col("_pl_p")).alias("part"), "date", "home", "away", report.alias("report"))
 
 
 def flatten_matches(docs: DataFrame) -> DataFrame:
@@ -148,7 +162,8 @@ def events_from_documents(docs: DataFrame) -> DataFrame:
 def events_from_json(df: DataFrame, col: str = "value") -> DataFrame:
     """PRJ-2 / FN-16: event records that arrive as JSON text -> typed columns."""
     parsed = F.from_json(F.col(col), schemas.REPORT_EVENT)
-    return df.select(parsed.alias("_pl_e")).select("_pl_e.*")
+    return df.select(*[c for c in df.columns if c != col], parsed.alias("_pl_e")).select(
+        *[c for c in df.columns if c != col], "_pl_e.*")
 
 
 def documents_as_json(docs: DataFrame) -> DataFrame:

@@ -111,14 +111,17 @@ def shooting_ratio_by_join(makes: DataFrame, misses: DataFrame, min_attempts: in
                                                    (F.col("makes") / attempts).alias("ratio"))
 
 
-def player_season_metrics(events: DataFrame, seasons: Sequence[str] | None = None) -> DataFrame:
-    """All per-(player, season) counts in one scan and one shuffle.
+def player_season_metrics(events: DataFrame, seasons: Sequence[str] | None = None,
+                          by_quarter: bool = False) -> DataFrame:
+    """All per-(player, season) counts in one scan and one shuffle; with
+    ``by_quarter`` a row for each quarter (NULL: unparsable clock).
 
     When several reports run together, compute this once (one row per
     player-season, small) and derive each report from it with
     :func:`metric_view`, instead of scanning the events once per report."""
     is_point = F.col("type") == TYPE_POINT
-    return _resolved(events, seasons).groupBy(*KEYS).agg(
+    keys = [*KEYS, "quarter"] if by_quarter else KEYS
+    return _resolved(events, seasons).groupBy(*keys).agg(
         F.sum(F.when(is_point, F.col("points"))).cast("long").alias("points"),
         _count_if(is_point).alias("point_events"),
         _count_if(F.col("is_made")).alias("makes"),
@@ -129,6 +132,12 @@ def player_season_metrics(events: DataFrame, seasons: Sequence[str] | None = Non
     )
 
 
+def over_quarters(metrics: DataFrame) -> DataFrame:
+    """:func:`player_season_metrics` by quarter, summed to one row per (player, season)."""
+    names = [c for c in metrics.columns if c not in (*KEYS, "quarter")]
+    return metrics.groupBy(*KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in names])
+
+
 def metric_view(metrics: DataFrame, kind: str, min_attempts: int = 300) -> DataFrame:
     """The per-(player, season) table of one metric, from :func:`player_season_metrics`.
 
@@ -141,6 +150,8 @@ def metric_view(metrics: DataFrame, kind: str, min_attempts: int = 300) -> DataF
     m = metrics
     if kind == "points":
         return m.where(F.col("point_events") > 0).select(*KEYS, "points")
+    if kind == "quarter_points":
+        return m.where((F.col("point_events") > 0) & F.col("quarter").isNotNull()).select("quarter", *KEYS, "points")
     if kind == "makes":
         return m.where(F.col("point_events") > 0).select(*KEYS, "makes")
     if kind == "misses":

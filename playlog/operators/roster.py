@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
-from playlog.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from playlog.operators.joins import lookup_join
 
 
 def reduce_roster(roster: DataFrame) -> DataFrame:
@@ -14,8 +14,7 @@ def reduce_roster(roster: DataFrame) -> DataFrame:
     return roster.groupBy("name", "team").agg(F.max_by("true_name", "ord").alias("true_name"))
 
 
-def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bool = False,
-                    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bool = False) -> DataFrame:
     """JN-4: add ``player`` by (name_token, team); unresolved -> NULL.
 
     An empty true name counts as unresolved. ``include_unresolved=True``
@@ -23,7 +22,7 @@ def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bo
     """
     lookup = reduce_roster(roster).select(
         F.col("name").alias("name_token"), "team", F.col("true_name").alias("_pl_true_name"))
-    joined = lookup_join(events, lookup, ["name_token", "team"], "left", max_broadcast_rows, size_probe=roster)
+    joined = lookup_join(events, lookup, ["name_token", "team"])
     player = F.nullif(F.col("_pl_true_name"), F.lit(""))
     if include_unresolved:
         player = F.coalesce(player, F.lit(""))
@@ -40,8 +39,7 @@ def resolution_status(events: DataFrame) -> DataFrame:
     )
 
 
-def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool = False,
-                      max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool = False) -> DataFrame:
     """Q-10 / JN-5 / FN-9: replace the short name in each line by the full name.
 
     ``parsed`` is :func:`parse_log` output. Every roster match gives one output
@@ -58,7 +56,7 @@ def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool
     """
     lookup = roster.select(F.col("name").alias("name_token"), "team", F.col("true_name").alias("_pl_true_name"))
     joined = lookup_join(parsed.select("value", "entry", "team", "name_token", "name_text"),
-                         lookup, ["name_token", "team"], "left", max_broadcast_rows)
+                         lookup, ["name_token", "team"])
     new_name = S.remove_first_space(F.col("_pl_true_name"))
     if literal_token:
         rewritten = S.replace_first(F.col("value"), F.col("name_token"), new_name)

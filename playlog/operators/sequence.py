@@ -18,7 +18,7 @@ is cut into chunks (a column that never decreases along the order):
 Chunks come from a column with a bounded number of rows per value (e.g.
 ``line_no div 4096``) or, when the order has no such column, from a range
 repartition on the order (:func:`with_range_chunks`), whose partitions are
-contiguous slices of the order and are sized by Spark's sampler. Range
+contiguous slices of the order; their number follows the input's size. Range
 bounds come from sampling and may differ between two evaluations of the
 same plan, so range chunks are checkpointed (written once to the shared
 checkpoint folder) before both branches read them.
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_pl_chunk"
+# Bytes of input that make one range chunk, about.
+CHUNK_BYTES = 64 << 20
 
 
 def _c(c) -> Column:
@@ -63,15 +65,24 @@ def with_range_chunks(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
 
     Partition ``i`` holds a contiguous slice of the total order, so the id
     never decreases along the order inside a group, and a group larger than
-    one partition is spread over several.
+    one partition is spread over several. Without ``n`` the number of slices
+    follows the input: one for each ``CHUNK_BYTES`` of it, at least the
+    session's shuffle partitions.
     """
-    spark = df.sparkSession
     if n is None:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = max(least, -(-input_bytes(df) // CHUNK_BYTES))
     keys = [_c(g) for g in group_cols] + [_c(o) for o in order_cols]
     return df.repartitionByRange(n, *keys).withColumn(chunk_col, F.spark_partition_id())
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the rows, about: text and binary columns by length, others 8 each (one aggregate)."""
+    sized = [F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType))
+             else F.lit(8) for f in df.schema.fields]
+    return df.agg(F.sum(sum(sized, F.lit(16)).cast("long"))).first()[0] or 0
+
+
 def prefix_within(
     df: DataFrame,
     group_cols: Sequence[str],

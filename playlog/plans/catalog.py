@@ -8,8 +8,7 @@ depend on element order.
 
 from __future__ import annotations
 
-import glob
-import os
+import hashlib
 import threading
 from collections.abc import Callable
 
@@ -19,13 +18,15 @@ from pyspark.sql import functions as F
 from playlog.functions import scalars as S
 from playlog.operators import metrics as M
 from playlog.operators.ingest import ingest
+from playlog.operators import trends as T
 from playlog.operators.matches import (
-    append_match_ids, assign_match_ids, build_matches, events_from_documents, flatten_matches, report_summary)
+    append_match_ids, assign_match_ids, build_matches, documents_as_json, events_from_documents, events_from_json,
+    flatten_matches, report_summary)
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import (
-    resolution_status, rewrite_audit, rewrite_log_names, roster_coverage)
+    resolution_status, resolve_players, rewrite_audit, rewrite_log_names, roster_coverage)
 from playlog.plans import queries as Q
-from playlog.session import scratch_path, table_path
+from playlog.session import ensure_checkpoint_dir, folder_state, path_exists, table_path
 from playlog.sources import adapters as A
 from playlog.sources import io
 
@@ -37,30 +38,26 @@ DRIVER_SEASONS = ("1995/1996", "1996/1997", "1997/1998", "1998/1999", "1999/2000
 # Corpus B is split into two loads at this date for the append check (SET-3).
 MERGE_SPLIT_DATE = "20240116"
 NEEDLES = ("a", "b")
+# Lines that one stored document covers; and a size that games of corpus B exceed.
+DOCUMENT_EVENTS = 10_000
+SMALL_DOCUMENT_EVENTS = 5
 
 
-# Tables already built in this application: (app id, kind, input, input
-# fingerprint) -> path in the shared checkpoint folder. The raw logs are
-# written once as text (as a loader would receive them); the event tables are
-# ingested once from those files; every report reads the stored tables.
-_STORED: dict[tuple, str] = {}
-_STORED_LOCK = threading.RLock()
-
-
-def _fingerprint(sf_dir: str) -> tuple:
-    """Sizes and times of the input files (empty for non-local paths)."""
-    files = sorted(glob.glob(os.path.join(sf_dir, "*.parquet")))
-    return tuple((os.path.basename(f), os.path.getsize(f), int(os.path.getmtime(f))) for f in files)
+# The raw logs are written once as text (as a loader would receive them); the
+# event tables are ingested once from those files; every report reads the
+# stored tables. A stored table's place follows from the application, its kind
+# and the state of its input, so nothing is remembered in the process and a
+# changed input is a new table.
+_BUILDING = threading.RLock()  # one build per table even when queries run from several threads
 
 
 def _stored(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, kind, os.path.abspath(sf_dir), _fingerprint(sf_dir))
-    with _STORED_LOCK:  # one build per table even when queries run from several threads
-        path = _STORED.get(key)
-        if path is None:
-            path = scratch_path(spark, kind)
+    state = repr((spark.sparkContext.applicationId, kind, folder_state(spark, sf_dir)))
+    name = f"{kind}-{hashlib.sha256(state.encode()).hexdigest()[:24]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    with _BUILDING:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
             build(path)
-            _STORED[key] = path
     return path
 
 
@@ -150,13 +147,47 @@ def roster_coverage_q(spark, sf_dir):
     return roster_coverage(events_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
 
 
+def _messy_roster_a(spark, sf_dir):
+    """The careless roster, written as a TSV file and read back (SRC-3, FN-15)."""
+    path = _stored(spark, sf_dir, "roster_a", lambda p: A.corpus_a_messy_roster_lines(spark, sf_dir).orderBy("ord")
+                   .coalesce(1).select("value").write.mode("overwrite").text(p))
+    return io.read_roster(spark, path)
+
+
+def resolve_players_last_wins(spark, sf_dir):
+    """JN-4 on a roster file with two lines for some players: the last one's name."""
+    ev = resolve_players(events_a(spark, sf_dir).drop("player"), _messy_roster_a(spark, sf_dir))
+    return ev.where(F.col("name_token").isNotNull()).groupBy("team", "name_token", "player").agg(_count())
+
+
+def roster_coverage_fallback(spark, sf_dir):
+    """Q-11 with the normalised second match for pairs the exact key misses."""
+    return roster_coverage(events_a(spark, sf_dir), _messy_roster_a(spark, sf_dir), fallback=True)
+
+
 def _rewritten_a(spark, sf_dir):
     return rewrite_log_names(parsed_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
 
 
+def _lines(rewritten: DataFrame) -> DataFrame:
+    return rewritten.groupBy("status", "team", F.col("value").alias("line")).agg(_count())
+
+
 def rewrite_log_names_q(spark, sf_dir):
-    rw = _rewritten_a(spark, sf_dir)
-    return rw.groupBy("status", "team").agg(_count(), F.sum(F.length("value")).cast("long").alias("total_chars"))
+    return _lines(_rewritten_a(spark, sf_dir))
+
+
+def rewrite_log_names_literal(spark, sf_dir):
+    """The source's search for the glued token in the whole line."""
+    return _lines(rewrite_log_names(parsed_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir), literal_token=True))
+
+
+def rewrite_log_names_every_match(spark, sf_dir):
+    """JN-5: every roster line that matches gives an output line. The lines are
+    written as text and read back (SNK-3)."""
+    path = _stored(spark, sf_dir, "rewritten_a", lambda p: io.write_log(
+        rewrite_log_names(parsed_a(spark, sf_dir), _messy_roster_a(spark, sf_dir)), p))
+    return io.read_play_log(spark, path).groupBy(F.col("value").alias("line")).agg(_count())
 
 
 def rewrite_audit_q(spark, sf_dir):
@@ -172,7 +203,8 @@ def points_by_player_season(spark, sf_dir):
 def points_with_unresolved(spark, sf_dir):
     """SURVEY Q4: the source's blank-player bucket kept (``include_unresolved``):
     unresolved events count under player ``''``."""
-    ev = events_a(spark, sf_dir).withColumn("player", F.coalesce(F.col("player"), F.lit("")))
+    ev = resolve_players(events_a(spark, sf_dir).drop("player"), A.corpus_a_roster(spark, sf_dir),
+                         include_unresolved=True)
     return M.points_by_player_season(ev).select("player", "season", "points")
 
 
@@ -222,6 +254,36 @@ def point_trend(spark, sf_dir):
     return Q.point_trend(events_a(spark, sf_dir))
 
 
+def point_trend_collapse(spark, sf_dir):
+    """Q-5 as the source's value-keyed maps give it."""
+    return Q.point_trend(events_a(spark, sf_dir), ties="collapse")
+
+
+def point_trend_ranked(spark, sf_dir):
+    """SRT-4: all differences, largest first, with their place."""
+    return Q.ranked_trend(Q.point_trend(events_a(spark, sf_dir))).select("rank", "player", "season_from", "diff", "trend")
+
+
+def consecutive_points_by_join(spark, sf_dir):
+    """JN-2 in its self-join form."""
+    return T.consecutive_join(M.points_by_player_season(events_a(spark, sf_dir)), "player", "season_start", "points")
+
+
+def seasons_in_pairs(spark, sf_dir):
+    """JN-3: the (player, season, ratio) rows that take part in a pair."""
+    ratio = M.shooting_ratio(events_a(spark, sf_dir), DRIVER_MIN_ATTEMPTS).select("player", "season_start", "ratio")
+    pairs = T.consecutive_join(ratio, "player", "season_start", "ratio")
+    return T.periods_in_pairs(pairs, "player", "season_start_from", "season_start_to", "ratio_from", "ratio_to",
+                              "season_start", "ratio")
+
+
+def shooting_ratio_by_join(spark, sf_dir):
+    """JN-1 in its join form."""
+    ev = events_a(spark, sf_dir)
+    return M.shooting_ratio_by_join(M.makes_by_player_season(ev), M.misses_by_player_season(ev),
+                                    DRIVER_MIN_ATTEMPTS).drop("season_start")
+
+
 def buzzer_by_player_season(spark, sf_dir):
     return M.buzzer_by_player_season(events_a(spark, sf_dir)).select("player", "season", "baskets")
 
@@ -230,6 +292,40 @@ def buzzer_beaters(spark, sf_dir):
     return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "first")
 
 
+def buzzer_beaters_no_overtime(spark, sf_dir):
+    """FLT-5 without the last seconds of overtimes."""
+    return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "first", include_overtime=False)
+
+
+def shooting_ratio_leaders_collapse(spark, sf_dir):
+    """Q-3 with equal ratios collapsed over all seasons, then the season filter."""
+    return Q.shooting_ratio_leaders(events_a(spark, sf_dir), 3, DRIVER_MIN_ATTEMPTS, seasons=DRIVER_SEASONS,
+                                    ties="collapse")
+
+
+def ratio_trend_collapse(spark, sf_dir):
+    """Q-8 with equal ratios collapsed over all seasons."""
+    return Q.ratio_trend(events_a(spark, sf_dir), DRIVER_MIN_ATTEMPTS, ties="collapse")
+
+
+def quarter_point_leaders_collapse_seasons(spark, sf_dir):
+    """Q-7 as the source runs it: totals collapse over all seasons, then six seasons stay."""
+    return Q.quarter_point_leaders(events_a(spark, sf_dir), 3, "collapse", seasons=DRIVER_SEASONS, collapse_by=[])
+
+
+def quarter_point_listing(spark, sf_dir):
+    """SET-2, SNK-4: the printed lines of Q-7, quarters in playing order."""
+    top = Q.quarter_point_leaders(events_a(spark, sf_dir), 3, "first")
+    return Q.listing(top, "quarter", "rank", template="%s %d %s %s %d",
+                     cols=["quarter", "rank", "player", "season", "points"])
+
+
+def buzzer_listing(spark, sf_dir):
+    """SET-1, SNK-4: the printed lines of Q-6, seasons in time order."""
+    top = Q.buzzer_beaters(events_a(spark, sf_dir), 3, "first")
+    return Q.listing(top, "season", "rank", template="%s %d %s %d", cols=["season", "rank", "player", "baskets"])
+
+
 def buzzer_beaters_all(spark, sf_dir):
     return Q.buzzer_beaters(events_a(spark, sf_dir), 3, "all")
 
@@ -309,25 +405,60 @@ def match_ids(spark, sf_dir):
     return ids.select("game_id", "id_match")
 
 
-def _docs_b(spark, sf_dir):
+def _docs_b(spark, sf_dir, max_events=DOCUMENT_EVENTS):
     ev = events_b(spark, sf_dir)
-    return build_matches(ev, assign_match_ids(ev, Q.LATER_LOAD_ID_OFFSET))
+    return build_matches(ev, assign_match_ids(ev, Q.LATER_LOAD_ID_OFFSET), max_events)
+
+
+def _stored_docs_b(spark, sf_dir, fmt):
+    path = _stored(spark, sf_dir, f"matches_b_{fmt}",
+                   lambda p: io.write_matches(_docs_b(spark, sf_dir), p, fmt=fmt, mode="overwrite"))
+    return io.read_matches(spark, path, fmt=fmt)
+
+
+def _report_rows(docs: DataFrame) -> DataFrame:
+    """Every event of every document with its part and place."""
+    e = docs.select("id_match", "game_id", "part", "date", "home", "away", F.posexplode("report").alias("pos", "e"))
+    return e.select(
+        "id_match", "game_id", "part", (F.col("pos") + 1).cast("long").alias("pos"), "date", "home", "away",
+        F.col("e.idLineEvent").try_cast("int").alias("line_no"), F.col("e.type").alias("type"),
+        F.col("e.home").alias("event_home"), F.col("e.away").alias("event_away"),
+        F.col("e.timeRemaining").alias("time_remaining"), F.col("e.entry").alias("entry"),
+        F.col("e.scoreHome").alias("score_home"), F.col("e.scoreAway").alias("score_away"),
+        F.col("e.playerName").alias("player"))
 
 
 def build_matches_q(spark, sf_dir):
-    s = report_summary(_docs_b(spark, sf_dir))
+    return _report_rows(_docs_b(spark, sf_dir))
+
+
+def build_matches_parts(spark, sf_dir):
+    """Documents of few lines, so that games have several parts."""
+    return _report_rows(_docs_b(spark, sf_dir, SMALL_DOCUMENT_EVENTS))
+
+
+def match_summary(spark, sf_dir):
+    s = report_summary(_stored_docs_b(spark, sf_dir, "parquet"))
     return s.groupBy("id_match", "game_id").agg(
         F.sum("n_events").cast("long").alias("n_events"),
         F.max_by("last_home", "part").alias("final_home"),
         F.max_by("last_away", "part").alias("final_away"))
 
 
+def documents_json_round_trip(spark, sf_dir):
+    """FN-16: documents as JSON texts, their events read back from JSON."""
+    texts = documents_as_json(_stored_docs_b(spark, sf_dir, "parquet"))
+    records = F.from_json("value", "game_id string, report array<string>")
+    each = texts.select(records.alias("d")).select("d.game_id", F.explode("d.report").alias("value"))
+    e = events_from_json(each)
+    return e.select("game_id", F.col("idLineEvent").try_cast("int").alias("line_no"), "type",
+                    F.col("scoreHome").alias("score_home"), F.col("playerName").alias("player"))
+
+
 def flatten_matches_q(spark, sf_dir):
-    """Documents written to the shared folder as JSON, read back with the
+    """Documents written once to the shared folder as JSON, read back with the
     fixed schema, and flattened (SNK-1/SNK-2 -> SRC-1 -> PRJ-1)."""
-    path = scratch_path(spark, "matches")
-    io.write_matches(_docs_b(spark, sf_dir), path, fmt="json", mode="overwrite")
-    flat = flatten_matches(io.read_matches(spark, path, fmt="json"))
+    flat = flatten_matches(_stored_docs_b(spark, sf_dir, "json"))
     return flat.select("id_match", "game_id", F.col("idLineEvent").try_cast("int").alias("line_no"), "type",
                        F.col("timeRemaining").alias("time_remaining"), F.col("scoreHome").alias("score_home"),
                        F.col("scoreAway").alias("score_away"), F.col("playerName").alias("player"))
@@ -336,32 +467,37 @@ def flatten_matches_q(spark, sf_dir):
 def points_from_documents(spark, sf_dir):
     """The reports' input as the source reads it: match documents from a
     stored collection (Parquet in the shared folder), flattened, then AGG-2."""
-    path = _stored(spark, sf_dir, "matches_b",
-                   lambda p: io.write_matches(_docs_b(spark, sf_dir), p, fmt="parquet", mode="overwrite"))
-    ev = events_from_documents(io.read_matches(spark, path, fmt="parquet"))
+    ev = events_from_documents(_stored_docs_b(spark, sf_dir, "parquet"))
     return M.points_by_player_season(ev).select("player", "season", "points")
 
 
+def _loads_b(spark, sf_dir):
+    """Corpus B parsed once into a stored table with the load each line came in."""
+    def build(path):
+        load = F.when(F.col("date") < MERGE_SPLIT_DATE, 0).otherwise(1)
+        parsed = parse_log(log_b(spark, sf_dir)).select("game_id", "line_no", "type", "date", "home", "away")
+        parsed.withColumn("load", load).write.mode("overwrite").partitionBy("load").parquet(path)
+
+    return spark.read.parquet(_stored(spark, sf_dir, "loads_b", build))
+
+
 def merge_logs(spark, sf_dir):
     """SET-1/SET-3: the log arrives as two loads; the later load's match ids
     continue after the earlier one's."""
-    log = log_b(spark, sf_dir)
-    early = parse_log(log.where(F.substring("value", 1, 8) < MERGE_SPLIT_DATE))
-    late = parse_log(log.where(F.substring("value", 1, 8) >= MERGE_SPLIT_DATE))
-    # one row per game of the earlier load, read twice (union and id offset):
-    # checkpointed to the shared folder instead of numbered twice
-    ids_early = assign_match_ids(early).checkpoint()
-    ids_late = append_match_ids(ids_early, late)
+    loads = _loads_b(spark, sf_dir)
+    ids_early = assign_match_ids(loads.where("load = 0"))
+    ids_late = append_match_ids(ids_early, loads.where("load = 1"))
     ids = ids_early.unionByName(ids_late).select("game_id", "id_match")
-    merged = early.unionByName(late)
-    return merged.join(ids, "game_id").select("game_id", "line_no", "id_match", "type")
+    return loads.join(ids, "game_id").select("game_id", "line_no", "id_match", "type")
 
 
 # --- other tables ------------------------------------------------------------------
 
 def count_lines_containing(spark, sf_dir):
-    docs = spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("text").alias("value"))
-    return Q.count_lines_containing(docs, NEEDLES)
+    """Q-12 over the lines of all document texts, as a text file (SRC-4)."""
+    path = _stored(spark, sf_dir, "document_lines", lambda p: spark.read.parquet(table_path(sf_dir, "documents"))
+                   .select(F.col("text").alias("value")).write.mode("overwrite").text(p))
+    return Q.count_lines_containing(io.read_text(spark, path, cache=False), NEEDLES)
 
 
 def generic_top_n(spark, sf_dir):
@@ -376,8 +512,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "season_of": season_of,
     "point_value": point_value,
     "resolve_players": resolve_players_q,
+    "resolve_players_last_wins": resolve_players_last_wins,
     "roster_coverage": roster_coverage_q,
+    "roster_coverage_fallback": roster_coverage_fallback,
     "rewrite_log_names": rewrite_log_names_q,
+    "rewrite_log_names_literal": rewrite_log_names_literal,
+    "rewrite_log_names_every_match": rewrite_log_names_every_match,
     "rewrite_audit": rewrite_audit_q,
     "points_by_player_season": points_by_player_season,
     "points_with_unresolved": points_with_unresolved,
@@ -392,6 +532,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fouls_by_player_season": fouls_by_player_season,
     "season_top_fouler": season_top_fouler,
     "point_trend": point_trend,
+    "point_trend_collapse": point_trend_collapse,
+    "point_trend_ranked": point_trend_ranked,
+    "consecutive_points_by_join": consecutive_points_by_join,
+    "seasons_in_pairs": seasons_in_pairs,
+    "shooting_ratio_by_join": shooting_ratio_by_join,
+    "shooting_ratio_leaders_collapse": shooting_ratio_leaders_collapse,
+    "ratio_trend_collapse": ratio_trend_collapse,
+    "quarter_point_leaders_collapse_seasons": quarter_point_leaders_collapse_seasons,
+    "quarter_point_listing": quarter_point_listing,
+    "buzzer_listing": buzzer_listing,
+    "buzzer_beaters_no_overtime": buzzer_beaters_no_overtime,
     "buzzer_by_player_season": buzzer_by_player_season,
     "buzzer_beaters": buzzer_beaters,
     "buzzer_beaters_collapse": buzzer_beaters_collapse,
@@ -410,6 +561,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_score": running_score_q,
     "match_ids": match_ids,
     "build_matches": build_matches_q,
+    "build_matches_parts": build_matches_parts,
+    "match_summary": match_summary,
+    "documents_json_round_trip": documents_json_round_trip,
     "flatten_matches": flatten_matches_q,
     "merge_logs": merge_logs,
     "points_from_documents": points_from_documents,

@@ -116,16 +116,20 @@ bz AS (
   GROUP BY player, season
 )"""
 
-# The rewritten line, built from the columns: the token text is replaced by the
-# supplier name with ', ' -> ','.
-_LINES = """
+# The supplier's full name.
+_FULL = "replace(s_name, '#', ', ')"
+
+
+def _lines(who: str) -> str:
+    """CTE ``lt``: the log line built from the columns, with ``who`` as the name."""
+    return f"""
 ln AS (
   SELECT *,
     CASE WHEN mi < 0 THEN '-00:' || lpad(CAST(-mi - 1 AS VARCHAR), 2, '0')
          ELSE '00:' || lpad(CAST(mi AS VARCHAR), 2, '0') END || ':' || lpad(CAST(se AS VARCHAR), 2, '0') AS clock,
     CASE WHEN no_token THEN 'no_token' WHEN suppkey % 25 = 0 THEN 'unmatched' ELSE 'rewritten' END AS rstatus,
-    CASE WHEN no_token OR suppkey % 25 = 0 THEN token_text ELSE replace(s_name, '#', ',') END AS who
-  FROM a
+    {who} AS who
+  FROM named
 ),
 lt AS (
   SELECT *,
@@ -144,6 +148,82 @@ lt AS (
 )"""
 
 
+# One roster line for each player (clean), or a second one for every tenth (careless file).
+_ONE_NAME = "named AS (SELECT *, '' AS suffix FROM a)"
+_EVERY_NAME = """
+named AS (
+  SELECT *, '' AS suffix FROM a
+  UNION ALL
+  SELECT *, ' Jr' AS suffix FROM a WHERE NOT no_token AND suppkey % 10 = 0 AND suppkey % 25 <> 0
+)"""
+# The name in the line: blanks after the comma go; the literal search misses dotted names.
+_REWRITTEN = ("CASE WHEN no_token OR suppkey % 25 = 0 THEN token_text ELSE replace(s_name, '#', ',') || suffix END")
+_LITERAL = ("CASE WHEN no_token OR suppkey % 25 = 0 OR suppkey % 2 = 0 THEN token_text "
+            "ELSE replace(s_name, '#', ',') END")
+
+# One row per value over all seasons, the smallest player and season.
+_ONE_RATIO = """
+q1 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ratio ORDER BY player, season_start) AS one FROM q) WHERE one = 1
+)"""
+_ONE_TOTAL = """
+p1 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY points ORDER BY player, season_start) AS one FROM p) WHERE one = 1
+)"""
+_SIX = "('1995/1996', '1996/1997', '1997/1998', '1998/1999', '1999/2000', '2000/2001')"
+
+
+def _trend(table: str) -> str:
+    return f"""
+SELECT a.player, a.season AS season_from, b.season AS season_to, a.points AS points_from, b.points AS points_to,
+  b.points - a.points AS diff,
+  CAST(b.points - a.points AS VARCHAR) || ' ' || a.player || ' between ' || a.season || ' and ' || b.season AS trend
+FROM {table} a JOIN {table} b ON a.player = b.player AND b.season_start = a.season_start + 1"""
+
+
+def _ratio_trend(table: str) -> str:
+    return f"""
+SELECT a.player, a.season AS season_from, b.season AS season_to, a.ratio AS ratio_from, b.ratio AS ratio_to,
+  b.ratio - a.ratio AS diff
+FROM {table} a JOIN {table} b ON a.player = b.player AND b.season_start = a.season_start + 1"""
+
+
+_QUARTER_POINTS = """
+qp AS (
+  SELECT quarter, player, season, season_start, CAST(sum(points) AS BIGINT) AS points
+  FROM e WHERE player IS NOT NULL AND type = 'point' GROUP BY quarter, player, season, season_start
+),
+qp1 AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY points ORDER BY player, season_start, quarter) AS one FROM qp
+  ) WHERE one = 1
+)"""
+
+
+def _report_rows(size: int) -> str:
+    """Corpus B's documents of ``size`` lines, event by event."""
+    return _with(_B) + f"""
+SELECT g.id_match, b.game_id, CAST((b.line_no - 1) // {size} AS INTEGER) AS part,
+  CAST((b.line_no - 1) % {size} + 1 AS BIGINT) AS pos,
+  substr(b.game_id, 1, 8) AS date, substr(b.game_id, 9, 3) AS home, substr(b.game_id, 12, 3) AS away,
+  CAST(b.line_no AS INTEGER) AS line_no,
+  CASE WHEN b.pts > 0 THEN 'point' WHEN b.event_type = 'view' THEN 'generalEvent' ELSE 'gameDescription' END AS type,
+  substr(b.game_id, 9, 3) AS event_home, substr(b.game_id, 12, 3) AS event_away,
+  '00:' || lpad(CAST(b.event_id % 48 AS VARCHAR), 2, '0') || ':' || lpad(CAST(b.event_id % 60 AS VARCHAR), 2, '0')
+    AS time_remaining,
+  CASE WHEN b.pts > 0 THEN '[' || substr(b.game_id, CASE WHEN home_side THEN 9 ELSE 12 END, 3) || ' ' ||
+         CAST(CASE WHEN home_side THEN score_home ELSE score_away END AS VARCHAR) || '-' ||
+         CAST(CASE WHEN home_side THEN score_away ELSE score_home END AS VARCHAR) || '] U' || CAST(b.user_id AS VARCHAR) ||
+         CASE b.pts WHEN 1 THEN ' Free Throw 1 of 1 (1 PTS)' WHEN 2 THEN ' Jump Shot: Made (2 PTS)'
+                    ELSE ' 3pt Shot: Made (3 PTS)' END
+       WHEN b.event_type = 'view' THEN '[' || substr(b.game_id, CASE WHEN home_side THEN 9 ELSE 12 END, 3) || '] U' ||
+         CAST(b.user_id AS VARCHAR) || ' Jump Shot: Missed'
+       ELSE 'Timeout: Regular' END AS entry,
+  CAST(b.score_home AS INTEGER) AS score_home, CAST(b.score_away AS INTEGER) AS score_away,
+  CASE WHEN b.pts > 0 OR b.event_type = 'view' THEN 'User, ' || CAST(b.user_id AS VARCHAR) END AS player
+FROM b JOIN g ON b.game_id = g.game_id"""
+
+
 ORACLE: dict[str, str] = {
     "parse_game_id": _with(_A) + """
 SELECT home, away, count(*) AS n_lines, count(DISTINCT game_id) AS n_games,
@@ -174,10 +254,28 @@ FROM e GROUP BY 1""",
 SELECT home AS team, name_token, suppkey % 25 <> 0 AS matched, count(*) AS n
 FROM e WHERE name_token IS NOT NULL GROUP BY home, name_token, suppkey % 25 <> 0""",
 
-    "rewrite_log_names": _with(_A, _LINES) + """
-SELECT rstatus AS status, CASE WHEN no_token THEN NULL ELSE home END AS team, count(*) AS n,
-  CAST(sum(length(line)) AS BIGINT) AS total_chars
-FROM lt GROUP BY 1, 2""",
+    "resolve_players_last_wins": _with(_A) + f"""
+SELECT home AS team, name_token,
+  CASE WHEN suppkey % 25 = 0 THEN NULL WHEN suppkey % 10 = 0 THEN {_FULL} || ' Jr' ELSE {_FULL} END AS player,
+  count(*) AS n
+FROM e WHERE name_token IS NOT NULL GROUP BY 1, 2, 3""",
+
+    "roster_coverage_fallback": _with(_A) + f"""
+SELECT home AS team, name_token, suppkey % 25 <> 0 AS matched,
+  CASE WHEN suppkey % 25 <> 0 THEN NULL WHEN suppkey % 10 = 0 THEN {_FULL} || ' Jr' ELSE {_FULL} END AS fallback_name,
+  count(*) AS n
+FROM e WHERE name_token IS NOT NULL GROUP BY 1, 2, 3, 4""",
+
+    "rewrite_log_names": _with(_A, _ONE_NAME, _lines(_REWRITTEN)) + """
+SELECT rstatus AS status, CASE WHEN no_token THEN NULL ELSE home END AS team, line, count(*) AS n
+FROM lt GROUP BY 1, 2, 3""",
+
+    "rewrite_log_names_literal": _with(_A, _ONE_NAME, _lines(_LITERAL)) + """
+SELECT rstatus AS status, CASE WHEN no_token THEN NULL ELSE home END AS team, line, count(*) AS n
+FROM lt GROUP BY 1, 2, 3""",
+
+    "rewrite_log_names_every_match": _with(_A, _EVERY_NAME, _lines(_REWRITTEN)) + """
+SELECT line, count(*) AS n FROM lt GROUP BY line""",
 
     "rewrite_audit": _with(_A) + """
 SELECT CASE WHEN no_token THEN 'no_token' WHEN suppkey % 25 = 0 THEN 'unmatched' ELSE 'rewritten' END AS status,
@@ -239,12 +337,62 @@ SELECT season, player, fouls FROM (
   )
 ) WHERE rk = 1""",
 
-    "point_trend": _with(_A, _POINTS) + """
-SELECT a.player, a.season AS season_from, b.season AS season_to, a.points AS points_from, b.points AS points_to,
-  b.points - a.points AS diff,
-  CAST(b.points - a.points AS VARCHAR) || ' ' || a.player || ' between ' || a.season || ' and ' || b.season AS trend
+    "point_trend": _with(_A, _POINTS) + _trend("p"),
+
+    "point_trend_collapse": _with(_A, _POINTS, _ONE_TOTAL) + f"""
+SELECT player, season_from, season_to, points_from, points_to, diff, trend FROM (
+  SELECT *, row_number() OVER (PARTITION BY diff ORDER BY player, season_from) AS one FROM ({_trend("p1")})
+) WHERE one = 1""",
+
+    "point_trend_ranked": _with(_A, _POINTS) + f"""
+SELECT row_number() OVER (ORDER BY diff DESC, player, season_from) AS rank, player, season_from, diff, trend
+FROM ({_trend("p")})""",
+
+    "consecutive_points_by_join": _with(_A, _POINTS) + """
+SELECT a.player, CAST(a.season_start AS INTEGER) AS season_start_from, CAST(b.season_start AS INTEGER) AS season_start_to,
+  a.points AS points_from, b.points AS points_to, b.points - a.points AS diff
 FROM p a JOIN p b ON a.player = b.player AND b.season_start = a.season_start + 1""",
 
+    "seasons_in_pairs": _with(_A, _RATIO) + """
+SELECT player, CAST(season_start AS INTEGER) AS season_start, ratio FROM q x
+WHERE EXISTS (SELECT 1 FROM q y WHERE y.player = x.player AND abs(y.season_start - x.season_start) = 1)""",
+
+    "shooting_ratio_by_join": _with(_A, _RATIO) + "SELECT player, season, makes, misses, attempts, ratio FROM q",
+
+    "shooting_ratio_leaders_collapse": _with(_A, _RATIO, _ONE_RATIO) + f"""
+SELECT season, rank, player, makes, misses, ratio FROM (
+  SELECT *, row_number() OVER (PARTITION BY season ORDER BY ratio DESC, player) AS rank FROM q1 WHERE season IN {_SIX}
+) WHERE rank <= 3""",
+
+    "ratio_trend_collapse": _with(_A, _RATIO, _ONE_RATIO) + _ratio_trend("q1"),
+
+    "quarter_point_leaders_collapse_seasons": _with(_A, _QUARTER_POINTS) + f"""
+SELECT quarter, rank, player, season, points FROM (
+  SELECT *, row_number() OVER (PARTITION BY quarter ORDER BY points DESC, player, season_start) AS rank
+  FROM qp1 WHERE season IN {_SIX}
+) WHERE rank <= 3""",
+
+    "quarter_point_listing": _with(_A, _QUARTER_POINTS) + """
+SELECT row_number() OVER (ORDER BY CASE quarter WHEN 'OT' THEN 5 ELSE CAST(substr(quarter, 1, 1) AS INTEGER) END, rank)
+    AS line_no,
+  quarter || ' ' || CAST(rank AS VARCHAR) || ' ' || player || ' ' || season || ' ' || CAST(points AS VARCHAR) AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY quarter ORDER BY points DESC, player, season_start) AS rank FROM qp)
+WHERE rank <= 3""",
+
+    "buzzer_listing": _with(_A, _BUZZ) + """
+SELECT row_number() OVER (ORDER BY season, rank) AS line_no,
+  season || ' ' || CAST(rank AS VARCHAR) || ' ' || player || ' ' || CAST(baskets AS VARCHAR) AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY season ORDER BY baskets DESC, player) AS rank FROM bz)
+WHERE rank <= 3""",
+
+    "buzzer_beaters_no_overtime": _with(_A) + """
+SELECT season, rank, player, baskets FROM (
+  SELECT *, row_number() OVER (PARTITION BY season ORDER BY baskets DESC, player) AS rank FROM (
+    SELECT player, season, CAST(sum(buzzer_value) AS BIGINT) AS baskets
+    FROM e WHERE player IS NOT NULL AND is_buzzer AND mi >= 0 GROUP BY player, season
+  )
+) WHERE rank <= 3""",
+
     "buzzer_by_player_season": _with(_A, _BUZZ) + "SELECT player, season, baskets FROM bz",
 
     "buzzer_beaters": _with(_A, _BUZZ) + """
@@ -325,10 +473,7 @@ SELECT quarter, rank, player, season, points FROM (
   )
 ) WHERE rank <= 3""",
 
-    "ratio_trend": _with(_A, _RATIO) + """
-SELECT a.player, a.season AS season_from, b.season AS season_to, a.ratio AS ratio_from, b.ratio AS ratio_to,
-  b.ratio - a.ratio AS diff
-FROM q a JOIN q b ON a.player = b.player AND b.season_start = a.season_start + 1""",
+    "ratio_trend": _with(_A, _RATIO) + _ratio_trend("q"),
 
     "ratio_trend_chain": _with(_A, _RATIO) + """,
 inpair AS (
@@ -357,7 +502,18 @@ SELECT game_id, CAST(line_no AS INTEGER) AS line_no, CAST(score_home AS INTEGER)
 
     "match_ids": _with(_B) + "SELECT game_id, id_match FROM g",
 
-    "build_matches": _with(_B) + """
+    "build_matches": _report_rows(10_000),
+
+    "build_matches_parts": _report_rows(5),
+
+    "documents_json_round_trip": _with(_B) + """
+SELECT b.game_id, CAST(b.line_no AS INTEGER) AS line_no,
+  CASE WHEN b.pts > 0 THEN 'point' WHEN b.event_type = 'view' THEN 'generalEvent' ELSE 'gameDescription' END AS type,
+  CAST(b.score_home AS INTEGER) AS score_home,
+  CASE WHEN b.pts > 0 OR b.event_type = 'view' THEN 'User, ' || CAST(b.user_id AS VARCHAR) END AS player
+FROM b""",
+
+    "match_summary": _with(_B) + """
 SELECT g.id_match, b.game_id, count(*) AS n_events,
   CAST(max(b.score_home) AS INTEGER) AS final_home, CAST(max(b.score_away) AS INTEGER) AS final_away
 FROM b JOIN g ON b.game_id = g.game_id GROUP BY g.id_match, b.game_id""",
@@ -384,20 +540,21 @@ SELECT b.game_id, CAST(b.line_no AS INTEGER) AS line_no, g.id_match - 6545 AS id
 FROM b JOIN g ON b.game_id = g.game_id""",
 
     "count_lines_containing": """
-SELECT 'a' AS needle, count(*) FILTER (WHERE contains(text, 'a')) AS n FROM documents
+WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT 'a' AS needle, count(*) FILTER (WHERE contains(line, 'a')) AS n FROM l
 UNION ALL
-SELECT 'b' AS needle, count(*) FILTER (WHERE contains(text, 'b')) AS n FROM documents""",
+SELECT 'b' AS needle, count(*) FILTER (WHERE contains(line, 'b')) AS n FROM l""",
 
     "generic_top_n": """
 WITH per AS (
   SELECT CASE WHEN month(o_orderdate) < 8 THEN year(o_orderdate) - 1 ELSE year(o_orderdate) END AS season_start,
-    o_custkey, round(sum(o_totalprice), 2) AS total
+    o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total
   FROM orders GROUP BY 1, 2
 )
 SELECT season, rank, custkey, total FROM (
   SELECT CAST(season_start AS VARCHAR) || '/' || CAST(season_start + 1 AS VARCHAR) AS season,
     row_number() OVER (PARTITION BY season_start ORDER BY total DESC, o_custkey) AS rank,
-    o_custkey AS custkey, total
+    o_custkey AS custkey, CAST(total AS DOUBLE) AS total
   FROM per
 ) WHERE rank <= 3""",
 }

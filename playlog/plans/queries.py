@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
@@ -19,10 +19,12 @@ from playlog.operators import trends as T
 from playlog.operators.matches import assign_match_ids, build_matches, running_score
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players, rewrite_log_names, roster_coverage
+from playlog.operators.sequence import number_rows
+from playlog.sources.io import format_rows
 
-# Six seasons the source restricts some reports to (FLT-9).
+# Six seasons the source restricts some reports to (FLT-9), and the
+# offset of the later season's match numbering (SET-3).
 SOURCE_SEASONS = ("2006/2007", "2007/2008", "2008/2009", "2009/2010", "2010/2011", "2011/2012")
-# Offset of the later season's match numbering (SET-3).
 LATER_LOAD_ID_OFFSET = 6545
 
 
@@ -51,11 +53,14 @@ def season_top_scorer(events: DataFrame, ties: str = "all", collapse_by=None) ->
 
 
 def shooting_ratio_leaders(events: DataFrame, n: int = 3, min_attempts: int = 300,
-                           seasons: Sequence[str] | None = None, ties: str = "first") -> DataFrame:
+                           seasons: Sequence[str] | None = None, ties: str = "first",
+                           collapse_by=()) -> DataFrame:
     """Q-3: top ``n`` shooting ratio per season among player-seasons with more
     than ``min_attempts`` attempts. ``seasons=SOURCE_SEASONS`` reproduces the
-    source's season filter."""
-    ratio = M.shooting_ratio(events, min_attempts, seasons)
+    source's season filter; ``ties='collapse'`` keeps one player-season per
+    ratio inside ``collapse_by`` (over all seasons by default, before the filter)."""
+    ratio, ties = _scoped(M.shooting_ratio(events, min_attempts, None if ties == "collapse" else seasons), "ratio",
+                          ties, collapse_by, ["player", "season_start"], seasons)
     top = R.top_n(ratio, "ratio", n, "season", ties, tiebreak=["player"])
     return top.select("season", "rank", "player", "makes", "misses", "ratio")
 
@@ -67,15 +72,38 @@ def season_top_fouler(events: DataFrame, ties: str = "all", collapse_by=None) ->
         "season", "player", "fouls")
 
 
-def point_trend(events: DataFrame, seasons: Sequence[str] | None = None) -> DataFrame:
+def point_trend(events: DataFrame, seasons: Sequence[str] | None = None, ties: str = "all") -> DataFrame:
     """Q-5: change in points between consecutive seasons of a player, with the
-    printable text; sort with :func:`playlog.operators.ranking.sort_desc`."""
-    pts = M.points_by_player_season(events, seasons)
+    printable text; sort with :func:`playlog.operators.ranking.sort_desc` or
+    number with :func:`ranked_trend`.
+
+    ``ties='collapse'`` is the source's pair of value-keyed maps: one
+    player-season per total over all seasons (before the season filter), then
+    one pair per difference."""
+    pts, ties = _scoped(M.points_by_player_season(events, None if ties == "collapse" else seasons), "points",
+                        ties, (), ["player", "season_start"], seasons)
     pairs = T.consecutive_diff(pts, "player", "season_start", "points", label="season")
+    if ties == "first":
+        pairs = R.collapse_ties(pairs, "diff", None, ["player", "season_from"])
     return pairs.select("player", "season_from", "season_to", "points_from", "points_to", "diff",
                         S.trend_text("diff", "player", "season_from", "season_to").alias("trend"))
 
 
+def ranked_trend(trend: DataFrame) -> DataFrame:
+    """SRT-4: every difference numbered, largest first (ties by player, season),
+    without one task over all pairs."""
+    return number_rows(trend, [], [F.desc("diff"), F.col("player"), F.col("season_from")], "rank")
+
+
+def _scoped(df: DataFrame, value: str, ties: str, scope, tiebreak: list[str],
+            seasons: Sequence[str] | None) -> tuple[DataFrame, str]:
+    """For ``ties='collapse'``: one row per value inside ``scope`` over all
+    seasons, then the season filter; the tie rule left for the ranking."""
+    if ties != "collapse":
+        return df, ties
+    return M.season_filter(R.collapse_ties(df, value, scope, tiebreak), seasons), "first"
+
+
 def buzzer_beaters(events: DataFrame, n: int = 3, ties: str = "first", seasons: Sequence[str] | None = None,
                    include_overtime: bool = True) -> DataFrame:
     """Q-6 (WIN-2): top ``n`` per season by baskets in the last 12 seconds."""
@@ -86,16 +114,22 @@ def buzzer_beaters(events: DataFrame, n: int = 3, ties: str = "first", seasons:
 
 def quarter_point_leaders(events: DataFrame, n: int = 3, ties: str = "first",
                           seasons: Sequence[str] | None = None, collapse_by=None) -> DataFrame:
-    """Q-7: top ``n`` (player, season) per quarter across seasons; sort by
-    ``quarter_ordinal`` for the 1ST..OT listing."""
-    q = M.quarter_points(events, seasons)
-    top = R.top_n(q, "points", n, "quarter", ties, tiebreak=["player", "season_start"], collapse_by=collapse_by)
+    """Q-7: top ``n`` (player, season) per quarter across seasons;
+    :func:`listing` orders them 1ST..OT. With ``ties='collapse'`` equal totals
+    collapse over all seasons before ``seasons`` filters, as in the source."""
+    q, left = _scoped(M.quarter_points(events, None if ties == "collapse" else seasons), "points", ties,
+                      ["quarter"] if collapse_by is None else collapse_by, ["player", "season_start", "quarter"], seasons)
+    top = R.top_n(q, "points", n, "quarter", left, tiebreak=["player", "season_start"])
     return top.select("quarter", "rank", "player", "season", "points")
 
 
-def ratio_trend(events: DataFrame, min_attempts: int = 300, seasons: Sequence[str] | None = None) -> DataFrame:
-    """Q-8 pairs: ratio change between consecutive qualifying seasons."""
-    ratio = M.shooting_ratio(events, min_attempts, seasons)
+def ratio_trend(events: DataFrame, min_attempts: int = 300, seasons: Sequence[str] | None = None,
+                ties: str = "all", collapse_by=()) -> DataFrame:
+    """Q-8 pairs: ratio change between consecutive qualifying seasons.
+    ``ties='collapse'`` keeps one player-season per ratio inside ``collapse_by``
+    (over all seasons by default, before the season filter)."""
+    ratio, _ = _scoped(M.shooting_ratio(events, min_attempts, None if ties == "collapse" else seasons), "ratio",
+                       ties, collapse_by, ["player", "season_start"], seasons)
     pairs = T.consecutive_diff(ratio, "player", "season_start", "ratio", label="season")
     return pairs.select("player", "season_from", "season_to", "ratio_from", "ratio_to", "diff")
 
@@ -108,20 +142,36 @@ def ratio_trend_chain(events: DataFrame, min_attempts: int = 300, seasons: Seque
     return T.chain(rows, "player", "season_start", "ratio")
 
 
+def listing(df: DataFrame, by: str, *rest: str, template: str, cols: Sequence[str]) -> DataFrame:
+    """SET-1 / SET-2 / SNK-4: a report's rows as numbered printable lines, quarters
+    in playing order (1ST..OT) or seasons in time order, then ``rest``. For
+    reports of a bounded size (the top rows of each group)."""
+    first = S.quarter_ordinal(by) if by == "quarter" else F.col(by)
+    numbered = df.withColumn("line_no", F.row_number().over(Window.orderBy(first, *rest)).cast("long"))
+    return format_rows(numbered, template, *cols).select("line_no", "line")
+
+
 def season_reports(metrics: DataFrame, min_attempts: int = 300, n_top: int = 11, n_per_season: int = 3,
                    seasons: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Q-1..Q-6 and Q-8 from one :func:`playlog.operators.metrics.player_season_metrics`
+    """Q-1..Q-8 from one :func:`playlog.operators.metrics.player_season_metrics`
     table -- the way to run the reports together with a single scan of the events.
+    Q-7 needs the table by quarter (``by_quarter=True``), from which the others are summed.
 
     ``seasons`` restricts the reports the source restricts (ratio leaders,
     point trend, buzzer beaters, ratio trend); top scorers, season top scorer
     and season top fouler cover every season, as in the source."""
+    quarters = None
+    if "quarter" in metrics.columns:
+        quarters, metrics = M.metric_view(metrics, "quarter_points"), M.over_quarters(metrics)
     m = M.season_filter(metrics, seasons)
     pts_all = M.metric_view(metrics, "points")
     pts = M.metric_view(m, "points")
     ratio = M.metric_view(m, "ratio", min_attempts)
     fouls = M.metric_view(metrics, "fouls")
     baskets = M.metric_view(m, "baskets")
+    by_quarter = {} if quarters is None else {
+        "quarter_point_leaders": R.top_n(M.season_filter(quarters, seasons), "points", n_per_season, "quarter", "first",
+                                         ["player", "season_start"]).select("quarter", "rank", "player", "season", "points")}
     return {
         "top_scorers": R.top_overall(pts_all, "points", n_top, ["player", "season_start"]).select(
             "rank", "player", "season", "points"),
@@ -138,14 +188,15 @@ def season_reports(metrics: DataFrame, min_attempts: int = 300, n_top: int = 11,
             "season", "rank", "player", "baskets"),
         "ratio_trend": T.consecutive_diff(ratio, "player", "season_start", "ratio", label="season").select(
             "player", "season_from", "season_to", "ratio_from", "ratio_to", "diff"),
+        **by_quarter,
     }
 
 
 # --- Q-9 .. Q-12 --------------------------------------------------------------
 
-def match_documents(raw_log: DataFrame, roster: DataFrame, id_offset: int = 0,
-                    max_events: int = 10_000) -> DataFrame:
-    """Q-9: raw ordered log + roster -> nested match documents."""
+def match_documents(raw_log: DataFrame, roster: DataFrame, max_events: int, id_offset: int = 0) -> DataFrame:
+    """Q-9: raw ordered log + roster -> nested match documents, one for each
+    match and part of ``max_events`` lines."""
     events = running_score(load_events(raw_log, roster))
     ids = assign_match_ids(events, id_offset)
     return build_matches(events, ids, max_events)
@@ -178,7 +229,8 @@ def generic_top_n(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     o = spark.read.parquet(table_path(sf_dir, "orders")).select("o_custkey", "o_orderdate", "o_totalprice")
     start = S.season_start(F.date_format("o_orderdate", "yyyyMMdd"))
     per = (o.select("o_custkey", start.alias("season_start"), "o_totalprice")
-           .groupBy("season_start", "o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total")))
+           # decimals add up to the same total in any order
+           .groupBy("season_start", "o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total")))
     per = per.withColumn("season", S.season_label(F.col("season_start")))
     top = R.top_n(per, "total", n, "season", "first", tiebreak=["o_custkey"])
-    return top.select("season", "rank", F.col("o_custkey").alias("custkey"), "total")
+    return top.select("season", "rank", F.col("o_custkey").alias("custkey"), F.col("total").cast("double").alias("total"))

@@ -35,7 +35,9 @@ def build_session(master: str = "local[8]", app: str = "playlog", shuffle_partit
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    # one process; local-cluster[...] has executors of its own
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -67,5 +69,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate table that nothing reads any more."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple:
+    """(full path, then name, bytes and time of every entry) of a folder in any file system."""
+    fs, p = _file_system(spark, path)
+    entries = []
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        size = fs.getContentSummary(s.getPath()).getLength() if s.isDirectory() else s.getLen()
+        entries.append((s.getPath().getName(), size, s.getModificationTime()))
+    return (fs.makeQualified(p).toString(), *sorted(entries))
+
+
 def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"

@@ -26,6 +26,7 @@ from playlog.session import table_path
 
 # Fixed values of the corpus A layout (FIXTURES §3.1).
 UNRESOLVED_EVERY = 25          # suppliers with key % 25 == 0 are left out of the roster
+DOUBLED_EVERY = 10             # suppliers with two lines in the careless roster
 MINUTE_SHIFT = 3               # minute = quantity - 3 (negative = overtime)
 SECOND_STEP = 5                # second = round(discount * 100) * 5
 SCORE_TEXT = "10-8"            # fixed score text in corpus A brackets
@@ -117,6 +118,28 @@ def corpus_a_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_roster(lines, ord_col=F.col("ord"))
 
 
+def corpus_a_messy_roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus A roster as a careless file: full names with blanks around them, a
+    second line with another full name for every tenth supplier, and the
+    suppliers that the clean roster leaves out under a differently written name
+    (``'j-s<key>'`` for ``'J.S<key>'``). ``ord`` keeps the file order."""
+    s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    key = F.col("s_suppkey")
+    token = F.replace(supplier_token(key), F.lit(" "), F.lit(""))
+    careless = F.when(key % 2 == 0, F.concat(F.lit("j-s"), key.cast("string"))).otherwise(
+        F.concat(F.lit("s-"), key.cast("string")))
+    name = F.when(key % UNRESOLVED_EVERY == 0, careless).otherwise(token)
+    full = F.replace(F.col("s_name"), F.lit("#"), F.lit(", "))
+    rows = s.select("s_suppkey", "s_nationkey", name.alias("name"), F.explode(F.when(
+        key % DOUBLED_EVERY == 0, F.array(full, F.concat(full, F.lit(" Jr")))).otherwise(F.array(full))).alias("full"))
+    again = F.endswith("full", F.lit(" Jr"))
+    return rows.select(
+        F.concat_ws(FIELD_SEP, F.col("s_suppkey").cast("string"), "name", F.concat(F.lit("  "), "full", F.lit(" ")),
+                    F.col("s_nationkey").cast("string"), _home_code(F.col("s_nationkey"))).alias("value"),
+        F.struct(again, F.col("s_suppkey")).alias("ord"),
+    )
+
+
 # --- corpus B ---------------------------------------------------------------
 
 def _event_points(event_type: Column) -> Column:

@@ -55,8 +55,8 @@ def read_roster(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path: str | list[str], cache: bool = True) -> DataFrame:
-    """SRC-4: plain text lines, cached for several counts over the same file."""
-    df = spark.read.text(path)
+    """SRC-4: plain text lines (ended by a line feed), cached for several counts over the same file."""
+    df = spark.read.text(path, lineSep="\n")
     return df.cache() if cache else df
 
 

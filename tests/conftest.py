@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -17,6 +18,24 @@ def spark():
     s.stop()
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Context in which Spark plans every join as a shuffled one."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+    @contextlib.contextmanager
+    def off():
+        for k in keys:
+            spark.conf.set(k, "-1")
+        try:
+            yield
+        finally:
+            for k in keys:
+                spark.conf.unset(k)
+
+    return off
+
+
 @pytest.fixture(scope="session")
 def sf_small():
     if not os.path.isdir(SF_SMALL):

@@ -36,7 +36,10 @@ def test_cli_ingest_report_rewrite(spark, sf_small):
     every = _run(["report-all", "--events", events, "--out", os.path.join(base, "reports"), "--min-attempts", "10"])
     sections = [line[3:] for line in every if line.startswith("== ")]
     assert sections == ["top_scorers", "season_top_scorer", "shooting_ratio_leaders", "season_top_fouler",
-                        "point_trend", "buzzer_beaters", "ratio_trend"]
+                        "point_trend", "buzzer_beaters", "ratio_trend", "quarter_point_leaders"]
+    quarters = every[every.index("== quarter_point_leaders") + 1:]
+    assert [q.split()[0] for q in quarters] == sorted(q.split()[0] for q in quarters)
+    assert quarters == _run(["report", "quarter-point-leaders", "--events", events])
     assert every[1:12] == top
     audit = dict(line.split() for line in _run(["rewrite", "--log", log, "--roster", roster,
                                                   "--out", os.path.join(base, "clean")]))
@@ -56,13 +59,13 @@ def test_cli_reports_on_documents(spark, sf_small):
               if f.startswith("part-")][0]
     docs = os.path.join(base, "docs")
     _run(["build-matches", "--log", os.path.join(base, "log"), "--roster", roster, "--out", docs,
-          "--format", "json", "--id-offset", "6545"])
+          "--format", "json", "--id-offset", "6545", "--max-events", "10000"])
     top = _run(["report", "top-scorers", "--documents", docs, "--documents-format", "json", "--n", "3"])
     assert len(top) == 3 and top[0].startswith("1 User, ")
     # a later load continues the ids after the stored ones
     first = spark.read.json(docs).agg({"id_match": "max"}).first()[0]
     _run(["build-matches", "--log", os.path.join(base, "log"), "--roster", roster, "--out", docs,
-          "--format", "json", "--continue-ids"])
+          "--format", "json", "--continue-ids", "--max-events", "10000"])
     ids = spark.read.json(docs).select("id_match").distinct()
     assert ids.agg({"id_match": "min"}).first()[0] == 6546
     assert ids.agg({"id_match": "max"}).first()[0] == 2 * first - 6545

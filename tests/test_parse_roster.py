@@ -59,26 +59,48 @@ def test_resolve_include_unresolved(spark):
     assert rows(ev.where("line_no = 6"), "player") == [("",)]
 
 
-def test_shuffle_path_matches_broadcast_path(spark):
+def test_shuffled_and_broadcast_joins_agree(spark, no_broadcast):
+    """Same rows, types and column order from both physical joins; no job while planning."""
     p = parse_log(_log(spark))
     a = resolve_players(p, _roster(spark))
-    b = resolve_players(p, _roster(spark), max_broadcast_rows=0)
-    assert rows(a, "line_no", "player") == rows(b, "line_no", "player")
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
-
-
-def test_lookup_join_left_to_spark(spark):
-    p = parse_log(_log(spark))
-    a = resolve_players(p, _roster(spark))
-    c = resolve_players(p, _roster(spark), max_broadcast_rows=None)
-    assert rows(a, "line_no", "player") == rows(c, "line_no", "player")
+    got = a.collect()
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+    with no_broadcast():
+        b = resolve_players(p, _roster(spark))
+        shuffled = b.collect()
+        plan = b._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" not in plan and "SinglePartition" not in plan
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert a.schema == b.schema
+    assert sorted(map(repr, got)) == sorted(map(repr, shuffled))
+
+
+def test_lookup_join_compares_keys_as_spark_does(spark, no_broadcast):
+    left = spark.createDataFrame([(1, "l"), (2, "m"), (None, "n")], "id int, a string")
+    right = spark.createDataFrame([("x", 1.0), ("y", 3.0), ("z", None)], "v string, id double")
+    def run():
+        out = lookup_join(left, right, ["id"])
+        return out.columns, sorted(map(repr, out.collect()))
+
+    want = run()
+    with no_broadcast():
+        assert run() == want
+    assert want[0] == ["id", "a", "v"] and any("v='x'" in r and "id=1," in r for r in want[1])
+    assert sum("v=None" in r for r in want[1]) == 2
+
+
+def test_lookup_join_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    left = spark.range(10).selectExpr("id", "cast(id AS string) AS k")
+    lookup_join(left, left.selectExpr("k", "id AS v"), ["k"])
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_lookup_join_null_keys_bypass(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, k string")
     right = spark.createDataFrame([("a", 10)], "k string, v int")
-    got = rows(lookup_join(left, right, ["k"], "left", max_broadcast_rows=0), "id", "v")
+    got = rows(lookup_join(left, right, ["k"]), "id", "v")
     assert got == [(1, 10), (2, None), (3, None)]
 
 

@@ -12,10 +12,11 @@ def one(spark, expr, **cols):
 
 
 def test_season_boundaries(spark):
-    df = spark.createDataFrame([("20070731",), ("20070801",), ("20070115",), ("20061231",), ("bad",)], "d string")
+    dates = ["20070731", "20070801", "20070115", "20061231", "bad", "2006XX12", "20061312"]
+    df = spark.createDataFrame([(d,) for d in dates], "d string")
     got = [tuple(r) for r in df.select(S.season_start("d"), S.season_label(S.season_start("d"))).collect()]
     assert got == [(2006, "2006/2007"), (2007, "2007/2008"), (2006, "2006/2007"), (2006, "2006/2007"),
-                   (None, None)]
+                   (None, None), (None, None), (None, None)]
 
 
 def test_quarter_boundaries(spark):

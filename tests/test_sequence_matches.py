@@ -90,7 +90,7 @@ def test_documents_as_json_round_trip(spark):
     from playlog.operators.matches import documents_as_json
 
     ev = running_score(_events(spark))
-    docs = build_matches(ev, assign_match_ids(ev))
+    docs = build_matches(ev, assign_match_ids(ev), max_events=10_000)
     js = documents_as_json(docs)
     back = js.select(F.from_json("value", schemas.MATCH).alias("d")).select("d.*")
     assert rows(report_summary(back), "game_id", "n_events") == rows(report_summary(docs), "game_id", "n_events")
@@ -100,7 +100,7 @@ def test_events_from_json_text(spark):
     from playlog.operators.matches import events_from_json
 
     ev = running_score(_events(spark))
-    docs = build_matches(ev, assign_match_ids(ev))
+    docs = build_matches(ev, assign_match_ids(ev), max_events=10_000)
     flat = docs.select(F.explode("report").alias("e")).select(F.to_json("e").alias("value"))
     back = events_from_json(flat)
     assert back.columns == [f.name for f in schemas.REPORT_EVENT.fields]

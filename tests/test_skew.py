@@ -66,15 +66,32 @@ def _roster(spark):
     return spark.createDataFrame(recs, "name_token string, team string, true_name string")
 
 
-def test_shuffled_lookup_with_hot_and_null_keys(spark):
+def test_shuffled_lookup_with_hot_and_null_keys(spark, no_broadcast):
     ev, ro = _hot_events(spark), _roster(spark)
-    shuffled = rows(lookup_join(ev, ro, ["name_token", "team"], "left", max_broadcast_rows=0), "id", "true_name")
+    with no_broadcast():
+        j = lookup_join(ev, ro, ["name_token", "team"], "left")
+        shuffled = rows(j, "id", "true_name")
+        assert "BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString()
     broadcast = rows(lookup_join(ev, ro, ["name_token", "team"], "left"), "id", "true_name")
     pdf = ev.toPandas().merge(ro.toPandas(), on=["name_token", "team"], how="left")
     want = sorted((int(r.id), None if pd.isna(r.true_name) else r.true_name) for r in pdf.itertuples())
     assert shuffled == broadcast == want
 
 
+def test_null_keys_spread_over_tasks(spark, no_broadcast):
+    """Rows without a key do not meet in one task of the shuffled join."""
+    left = spark.range(4000).select(F.lit(None).cast("string").alias("k"), "id")
+    right = spark.createDataFrame([("a", 1)], "k string, v int")
+    with no_broadcast():
+        j = lookup_join(left, right, ["k"]).select("id", "v", F.spark_partition_id().alias("p"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            per = j.groupBy("p").count().collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in per) == 4000 and max(r["count"] for r in per) < 2000
+
+
 def test_aqe_splits_hot_join_partition(spark):
     keys = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
@@ -93,7 +110,7 @@ def test_aqe_splits_hot_join_partition(spark):
         ro = spark.range(997).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("name_token"),
                                      F.lit("T1").alias("team"), F.lit("x").alias("true_name"))
         ro = ro.unionByName(spark.createDataFrame([("HOT", "T1", "Hot")], "name_token string, team string, true_name string"))
-        j = lookup_join(big, ro, ["name_token", "team"], "left", max_broadcast_rows=0)
+        j = lookup_join(big, ro, ["name_token", "team"], "left")
         assert len(j.collect()) == 60000
         plan = j._jdf.queryExecution().executedPlan().toString()  # the final adaptive plan
         assert "skew=true" in plan
