@@ -38,3 +38,40 @@ def test_season_filter_prunes_partitions(spark, sf_small):
 def test_roster_join_is_broadcast_when_small(spark, sf_small):
     txt = _plan(C.QUERIES["rewrite_audit"](spark, sf_small))
     assert "BroadcastHashJoin" in txt
+
+
+def _text_scans(df) -> int:
+    return _plan(df).split("== Initial Plan ==")[0].count("FileScan text")
+
+
+def test_loads_read_the_stored_table_once_parsed(spark, sf_small):
+    assert _text_scans(C.QUERIES["merge_logs"](spark, sf_small)) == 0  # the parsed table is stored
+    from playlog.operators.ingest import events_table
+    from playlog.sources import adapters as A
+
+    log, roster = C.log_b(spark, sf_small), A.corpus_b_roster(spark, sf_small)
+    assert _text_scans(events_table(log, roster)) == 1
+
+
+def test_ingest_with_scores_reads_the_log_once(spark, sf_small, monkeypatch):
+    """Every plan that the ingest writes: one of them scans the text, once."""
+    from playlog.operators import ingest as I
+    from playlog.session import scratch_path
+    from playlog.sources import adapters as A
+
+    scans = []
+    write = I.write_events_table
+    monkeypatch.setattr(I, "write_events_table", lambda ev, *a: (
+        scans.append(ev._jdf.queryExecution().executedPlan().toString().count("FileScan text")), write(ev, *a))[1])
+    out = I.ingest(C.log_b(spark, sf_small), A.corpus_b_roster(spark, sf_small), scratch_path(spark, "t"), with_scores=True)
+    # scores are added on the stored parsed events; the text was read for those only
+    assert scans == [0] and "FileScan text" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_shuffled_once(spark, sf_small, no_broadcast):
+    """With broadcasts off, the grouped documents meet their ids where they are."""
+    with no_broadcast():
+        txt = _plan(C._docs_b(spark, sf_small)).split("== Initial Plan ==")[0]
+    before_collect = txt.split("collect_list", 1)[0]
+    # above the aggregation of the documents: joins, but no exchange of them
+    assert "ShuffledHashJoin" in before_collect and "Exchange" not in before_collect
