@@ -125,7 +125,9 @@ def count_windows(docs: DataFrame, text: str = "text", most: int = 2_000_000) ->
 
 
 def _descend(net: Network, code: np.ndarray, n: np.ndarray, rate: float, batch: int, seed: int) -> Network:
-    """One pass of Adam steps over weighted windows."""
+    """One pass of Adam steps over weighted windows; few windows take smaller
+    batches, so that a pass has about 64 steps at least."""
+    batch = max(16, min(batch, len(code) // 64))
     rng, parts = np.random.default_rng(seed), net.parts()
     first, second, step = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts], 0
     order, weight = rng.permutation(len(code)), n / n.mean()

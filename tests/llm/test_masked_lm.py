@@ -52,7 +52,7 @@ def test_training_tells_prose_from_noise(spark):
     rng = np.random.default_rng(4)
     noise = "".join(chr(97 + int(i)) for i in rng.integers(0, 26, 300))
     df = H.docs(spark, [(i, H.PROSE) for i in range(30)] + [(99, noise)])
-    net = M.fit(df, hidden=8, rounds=8, batch=64, share=100)
+    net = M.fit(df, hidden=8, rounds=12, rate=0.1, share=300)
     got = {r["doc_id"]: r["lm_mean"] for r in M.score(df, net).collect()}
     assert got[0] > got[99] + 0.5
     assert M.score(H.empty(spark), M.fit(H.empty(spark))).count() == 0

@@ -41,17 +41,25 @@ def test_elias_fano_is_small():
 
 
 def test_pieces_as_whole_texts(plain):
-    enc = token_files.PieceEncoder(FILE, most=50)
+    enc = token_files.PieceEncoder(FILE, public_tokenizers.PATTERN, most=50)
     texts = [t or "" for _, t in H.odd_texts()] + TRICKY
     for _ in range(2):  # the second time from the cache
         assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == [
             plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_letters_of_any_unicode_version(plain):
+    enc = token_files.PieceEncoder(FILE, public_tokenizers.PATTERN)
+    points = [*range(0x20, 0x3000, 7), 0x558, 0x88F, 0xA7CE, 0x10EC5, 0x1DF20, 0x323B0, 0x1F600]
+    texts = [f"a{chr(p)}1 {chr(p)}b! {chr(p)}{chr(p)}2 end" for p in points]
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_write_and_read(spark, plain):
     rows = H.odd_texts()
     folder = scratch_path(spark, "tokens")
-    manifest = token_files.write(H.docs(spark, rows, clash=True), FILE, 2, folder, most_bytes=3000)
+    manifest = token_files.write(H.docs(spark, rows, clash=True), FILE, public_tokenizers.PATTERN, 2, folder, most_bytes=300)
     assert manifest.count() > 2
     found = token_files.located(token_files.read(spark, manifest, folder), manifest).orderBy("start").collect()
     want = {}
@@ -78,7 +86,7 @@ def test_shard_reads_in_place(plain):
 
 def test_empty_table(spark):
     folder = scratch_path(spark, "tokens")
-    manifest = token_files.write(H.empty(spark), FILE, 2, folder)
+    manifest = token_files.write(H.empty(spark), FILE, public_tokenizers.PATTERN, 2, folder)
     assert token_files.located(token_files.read(spark, manifest, folder), manifest).count() == 0
 
 

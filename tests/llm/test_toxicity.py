@@ -15,7 +15,8 @@ def _corpus(n=400):
         y = int(i % 5 == 0)
         if y:
             at = int(rng.integers(0, len(sents)))
-            sents[at] += " " + rng.choice(["vilebad", "vilegrr", "nastyone"])
+            ending = "".join(chr(97 + int(c)) for c in rng.integers(0, 26, 3))
+            sents[at] += " " + ("nastyone" if i % 3 == 0 else f"vile{ending}")
         rows.append((i, ". ".join(sents) + ".", y))
     return rows
 
