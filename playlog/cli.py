@@ -9,8 +9,9 @@
     python -m playlog.cli coverage --log logs/ --roster roster.tsv --fallback
     python -m playlog.cli count --text file.txt --needle a --needle b
 
-Reports print one line per row (rank first where there is one); results are
-streamed to the driver partition by partition.
+Reports give one line per row (rank first where there is one): with ``--out``
+the tasks write them as text files, else they are streamed to the driver
+partition by partition.
 """
 
 from __future__ import annotations
@@ -61,10 +62,15 @@ def _seasons(a):
     return a.season or None
 
 
-def _print(df: DataFrame, out=None) -> None:
-    out = out or sys.stdout
+def _print(df: DataFrame, path: str | None = None) -> None:
+    """One line per row: written by the tasks as text files when ``path`` is
+    given, else streamed to the driver partition by partition."""
+    if path:
+        fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+        io.write_log(df.select(F.concat_ws(" ", *fields).alias("value")), path)
+        return
     for row in df.toLocalIterator():
-        out.write(" ".join("" if v is None else str(v) for v in row) + "\n")
+        sys.stdout.write(" ".join("" if v is None else str(v) for v in row) + "\n")
 
 
 def main(argv=None) -> int:
@@ -92,6 +98,7 @@ def main(argv=None) -> int:
     r.add_argument("--season", action="append", help="restrict to a season label, e.g. 2006/2007")
     r.add_argument("--source-seasons", action="store_true", help="the six seasons 2006/2007..2011/2012")
     r.add_argument("--no-overtime", action="store_true")
+    r.add_argument("--out", help="folder for the lines (default: print them)")
 
     ra = sub.add_parser("report-all", help="every season report from one pass over the events")
     ra.add_argument("--events", required=True)
@@ -123,6 +130,7 @@ def main(argv=None) -> int:
     c.add_argument("--log", required=True, nargs="+")
     c.add_argument("--roster", required=True)
     c.add_argument("--fallback", action="store_true")
+    c.add_argument("--out", help="folder for the lines (default: print them)")
 
     n = sub.add_parser("count", help="lines containing each needle")
     n.add_argument("--text", required=True, nargs="+")
@@ -144,7 +152,7 @@ def main(argv=None) -> int:
             ev = read_events_table(spark, a.events)
         else:
             ev = events_from_documents(io.read_matches(spark, a.documents, fmt=a.documents_format))
-        _print(_in_order(a.name, REPORTS[a.name](ev, a)))
+        _print(_in_order(a.name, REPORTS[a.name](ev, a)), a.out)
     elif a.cmd == "report-all":
         # one scan + one shuffle of the events; the reports read the small metrics table
         from playlog.operators.metrics import player_season_metrics
@@ -175,7 +183,7 @@ def main(argv=None) -> int:
             if seen.get[n]:
                 sys.stdout.write(f"{n} {seen.get[n]}\n")
     elif a.cmd == "coverage":
-        _print(Q.coverage(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.fallback))
+        _print(Q.coverage(io.read_play_log(spark, a.log), io.read_roster(spark, a.roster), a.fallback), a.out)
     elif a.cmd == "count":
         # one pass with a conditional count per needle: nothing to cache
         _print(Q.count_lines_containing(io.read_text(spark, a.text, cache=False), a.needle))

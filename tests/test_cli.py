@@ -33,6 +33,8 @@ def test_cli_ingest_report_rewrite(spark, sf_small):
     # player (two words), season_from, season_to, points_from, points_to, diff, trend text
     diffs = [int(line.split(" ")[6]) for line in trend]
     assert diffs == sorted(diffs, reverse=True) and len(diffs) > 0
+    _run(["report", "point-trend", "--events", events, "--out", os.path.join(base, "trend")])
+    assert [r["value"] for r in spark.read.text(os.path.join(base, "trend")).collect()] == trend
     every = _run(["report-all", "--events", events, "--out", os.path.join(base, "reports"), "--min-attempts", "10"])
     sections = [line[3:] for line in every if line.startswith("== ")]
     assert sections == ["top_scorers", "season_top_scorer", "shooting_ratio_leaders", "season_top_fouler",
