@@ -136,7 +136,7 @@ def _blocks(src: DataFrame, pattern: str, buckets: int, block_bytes: int, emit,
                 cols = emit(block, part, sizes, rank[codes], names, bucket, digest)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(C.trimmed(run), schema)
 
 
 def _words_of(src: DataFrame, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
@@ -204,7 +204,7 @@ def _encoded_words(words: DataFrame, encoder: C.Shared) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([0] * len(found), pa.int32()), batch.column(0),
                                               pa.array(found, pa.binary())], schema=schema)
 
-    return dealt.mapInArrow(run, T.StructType(out))
+    return dealt.mapInArrow(C.trimmed(run), T.StructType(out))
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text: str = "text",
@@ -236,7 +236,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
                 else:
                     yield from _assembled(held, words.as_py(), of.as_py(), data.as_py(), schema)
 
-    return dealt.mapInArrow(run, T.StructType(out))
+    return dealt.mapInArrow(C.trimmed(run), T.StructType(out))
 
 
 def _assembled(held, docs, bucket_of, data, schema, most: int = 4 << 20):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -86,6 +87,24 @@ _KINDS = {
 }
 
 
+def trim() -> None:
+    """Give freed memory back to the system: idle Python workers otherwise
+    keep the most that any of their tasks held."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def trimmed(run: Callable) -> Callable:
+    """A ``mapInArrow`` function that trims when its task is done."""
+    def wrapped(batches):
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]],
               out: list[T.StructField]) -> DataFrame:
     """``mapInArrow`` where ``fn`` turns one batch into dicts of column lists."""
@@ -100,7 +119,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]],
                     [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=target.field(n).type)
                      for n, c in ((n, cols[n]) for n in names)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def lowest_share(key: Column, unit_hash: Column, counts: dict, most: int) -> Column:
@@ -126,13 +145,13 @@ class Shared:
 
     def get(self):
         if self.token not in Shared._built:
-            while len(Shared._built) >= 4:
+            while len(Shared._built) >= 3:
                 Shared._built.pop(next(iter(Shared._built)))
             Shared._built[self.token] = self.build(self.value.value)
         return Shared._built[self.token]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``most`` bytes of ``text``
     (a single longer row stays whole), so Python objects stay bounded."""
     col = batch.column(batch.schema.get_field_index(text))

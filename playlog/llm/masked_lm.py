@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from playlog.llm import common as C
 
 SIDE = 2  # bytes on either side
+SLICE = 2 << 20  # bytes of text whose windows are held at once
 _CHUNKS = 16  # parts of a network that are averaged apart
 
 
@@ -109,7 +110,7 @@ def count_windows(docs: DataFrame, text: str = "text", most: int = 2_000_000) ->
         out = C.arrow_schema(*schema.fields)
         code, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for part in C.slices(batch, "body"):
+            for part in C.slices(batch, "body", SLICE):
                 new, count = np.unique(windows(_body(part, 0))[0], return_counts=True)
                 both = np.concatenate([code, new])
                 code, where = np.unique(both, return_inverse=True)
@@ -120,7 +121,7 @@ def count_windows(docs: DataFrame, text: str = "text", most: int = 2_000_000) ->
         if len(code):
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], schema=out)
 
-    return docs.select(C.utf8(text).alias("body")).mapInArrow(run, schema).groupBy("code").agg(
+    return docs.select(C.utf8(text).alias("body")).mapInArrow(C.trimmed(run), schema).groupBy("code").agg(
         F.sum("n").alias("n"))
 
 
@@ -188,7 +189,7 @@ def _round(shares: DataFrame, net: Network, rate: float, batch: int, seed: int)
                 pa.array(list(total), pa.int32()), pa.array([t[0] for t in total.values()]),
                 pa.array([t[1].tobytes() for t in total.values()], pa.binary())], schema=C.arrow_schema(*schema.fields))
 
-    rows = shares.mapInArrow(run, schema).repartition("chunk").mapInArrow(add, schema).collect()
+    rows = shares.mapInArrow(C.trimmed(run), schema).repartition("chunk").mapInArrow(C.trimmed(add), schema).collect()
     mean = [np.frombuffer(r["data"]) / r["weight"] for r in sorted(rows, key=lambda r: r["chunk"])]
     return Network.of(np.concatenate(mean), net)
 
@@ -224,8 +225,8 @@ class _Scorer:
         value = np.empty(len(code))
         value[known] = self.value[at[known]]
         new = np.flatnonzero(~known)
-        for i in range(0, len(new), 16384):
-            some = new[i:i + 16384]
+        for i in range(0, len(new), 4096):
+            some = new[i:i + 4096]
             ctx, byte = _split(code[some])
             value[some] = self.net.log_probs(ctx)[np.arange(len(some)), byte]
         if len(new):
@@ -259,7 +260,7 @@ def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
     names = kept.columns
 
     def rows(batch):
-        for part in C.slices(batch, body):
+        for part in C.slices(batch, body, SLICE):
             sizes, total = shared.get().texts(_body(part, len(names)))
             yield {n: part.column(i) for i, n in enumerate(names)} | {"lm_tokens": sizes, "lm_log_prob": total}
 

@@ -241,7 +241,7 @@ def _search(index: DataFrame, probes: DataFrame, codes: C.Shared, everything: bo
         if best:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in shrunk(best)[0]], schema=schema)
 
-    return dealt.mapInArrow(run, T.StructType(out))
+    return dealt.mapInArrow(C.trimmed(run), T.StructType(out))
 
 
 def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",

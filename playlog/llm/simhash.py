@@ -141,7 +141,7 @@ def _pairs(rows: DataFrame, distance: int, bucket: int | None) -> DataFrame:
         if held and not over:
             yield from close(*open_key, np.concatenate(held))
 
-    return dealt.mapInArrow(run, out)
+    return dealt.mapInArrow(C.trimmed(run), out)
 
 
 def links(fps: DataFrame, distance: int = 3, blocks: int = 6, bucket: int = 4096) -> DataFrame:

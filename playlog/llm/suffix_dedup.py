@@ -201,7 +201,7 @@ def _entries(docs: DataFrame) -> DataFrame:
     out = [C.field(*f) for f in _SCAN]
 
     def rows(batch):
-        for part in C.slices(batch, "body", 16 << 20):
+        for part in C.slices(batch, "body", 8 << 20):
             r1, r2 = (part.column(i).to_numpy() for i in range(2))
             f = _Found([b.as_py() for b in part.column(2)])
             e, m = len(f.key), len(f.mark_doc)
@@ -299,7 +299,7 @@ def _scan(rows: DataFrame, merging: list[int]) -> DataFrame:
         if held is not None:
             yield from emit(closed(held, forced))
 
-    return dealt.mapInArrow(run, T.StructType([C.field(*f) for f in _SCAN]))
+    return dealt.mapInArrow(C.trimmed(run), T.StructType([C.field(*f) for f in _SCAN]))
 
 
 class SuffixFamily:
@@ -446,7 +446,7 @@ def _compared(fetched: DataFrame) -> DataFrame:
         if done:
             yield from map(batch, plain(done))
 
-    return dealt.mapInArrow(run, T.StructType(out))
+    return dealt.mapInArrow(C.trimmed(run), T.StructType(out))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", batches: int = 4) -> DataFrame:
