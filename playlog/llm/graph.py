@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from playlog.llm import common as C
 
 
+_SALTS = 16  # tasks over which the edges of one node are dealt
+
+
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """(node, root) of every node of the edges (a, b): root is the smallest
     node that can be reached, itself included.
@@ -24,7 +27,11 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # a group's smallest node has an edge to every other one: its rows go to several tasks
+        # (dealt anew, else the join would settle for u alone, by which the minima lie already)
+        spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))).repartition("u", "s")
+        salted = both.withColumn("s", F.pmod(F.hash("v"), F.lit(_SALTS)))
+        large = salted.join(spread, ["u", "s"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
