@@ -67,8 +67,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     manifest = token_files.write(C.read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                                 end_id=2, folder=folder)
-    found = token_files.read(spark, manifest, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+                                 public_tokenizers.PATTERN, end_id=2, folder=folder)
+    found = token_files.read(spark, manifest, folder, with_ids=False)
     return token_files.located(found, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

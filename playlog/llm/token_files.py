@@ -14,9 +14,9 @@ job returns names the shards that count, so a retried or speculative task
 leaves at most an unlisted file. Offsets over all shards come from one sum
 over the manifest (one row a shard).
 
-A text is cut at blanks where that cannot change its pre-tokens, and each
-piece is encoded by the tokenizers library once while it stays in a bounded
-cache of the worker. Special token strings in a text are ordinary text.
+``PieceEncoder`` gives the ids that the tokenizers library gives for the whole
+text; ``pattern`` is the split pattern of the tokenizer file. Special token
+strings in a text are ordinary text.
 
 Results for odd input: a null or empty text is the end id alone. Ids of
 documents are integers; null ids come first and repeated ids keep one entry
@@ -29,9 +29,12 @@ import os
 import re
 import struct
 import uuid
+import zlib
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,54 +45,111 @@ from playlog.session import scratch_path
 
 MAGIC = b"EFTOK001"
 _HEAD = struct.Struct("<8sBq")
-# where a cut before a blank would change the pre-tokens: a blank between white space, or one that ends the text
+# a cut before a blank changes the pre-tokens only where the blank is between white space, or ends the text after some
 _UNSAFE = re.compile(r"\s \s|\s $")
+_MARKS = ".,;:!?"
+
+
+def _byte_symbols() -> dict[int, str]:
+    """Byte -> the character that stands for it in byte-level vocabularies:
+    printable Latin-1 stands for itself, the other bytes take 256, 257, ..."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
 
 
 class PieceEncoder:
-    """Encodes texts as id bytes; remembers up to ``most`` short pieces."""
+    """Encodes texts as id bytes with the tokenizers library.
 
-    def __init__(self, tokenizer_file: str, most: int = 400_000, longest: int = 64):
+    A text is cut at its blanks, a piece into pre-tokens, and a pre-token goes
+    to the library's BPE model once while it is remembered: ``seen`` by the
+    piece without the blank before it, ``bare`` pre-tokens without a blank.
+    Texts where a cut could matter are encoded whole. Beyond ``most`` pieces
+    only those of the last texts stay."""
+
+    def __init__(self, tokenizer_file: str, pattern: str, most: int = 750_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(tokenizer_file)
         self.tok.encode_special_tokens = True
-        self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.most, self.longest, self.seen = most, longest, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.kind).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        size = self.tok.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.bytes_of = [i.to_bytes(self.kind.itemsize, "little") for i in range(size)]
+        self.symbols, self.model = _byte_symbols(), self.tok.model
+        self.blank = self.symbols[32]
+        self.marks = {m: self._model(m) for m in _MARKS}
+        self.find = regex.compile(pattern).findall
+        self.most, self.longest, self.seen, self.bare = most, longest, {}, {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _model(self, symbols: str) -> bytes:
+        table = self.bytes_of
+        return b"".join([table[t.id] for t in self.model.tokenize(symbols)])
+
+    def _symbols(self, w: str) -> str:
+        return w.encode("utf-8", "replace").decode("latin-1").translate(self.symbols)
+
+    def _word(self, w: str) -> bytes:
+        """Ids of any pre-token."""
+        blank = w[0] == " " and len(w) > 1 and not w[1].isspace()
+        known, key = (self.seen, w[1:]) if blank else (self.bare, w)
+        found = known.get(key)
+        if found is None:
+            found = self._model(self._symbols(w))
+            if len(w) <= self.longest:
+                known[key] = found
+        return found
+
+    def _piece(self, text: str) -> bytes:
+        if not text.isascii() and any(map(_newer, text)):
+            return self._whole(text)  # letters of newer Unicode versions: only the library knows how it splits those
+        word = self._word
+        return b"".join([word(w) for w in self.find(text)])
+
+    def _new(self, r: str) -> bytes:
+        """Ids of a blank and a piece that is not remembered yet."""
+        if r.isalpha():  # letters alone are one pre-token with the blank
+            ids = self._model(self.blank + (r if r.isascii() else self._symbols(r)))
+        else:
+            mark, word = self.marks.get(r[-1:]), r[:-1]
+            if mark and word.isalpha():  # a closing mark after letters is a pre-token of its own
+                ids = (self.seen.get(word) or self._new(word)) + mark
+            else:
+                ids = self._piece(" " + r)
+        if r and len(r) <= self.longest and not r[0].isspace():
+            self.seen[r] = ids
+        return ids
+
+    def _text(self, t: str) -> bytes:
+        pieces, get = t.split(" "), self.seen.get
+        ids, unsafe, at = list(map(get, pieces)), False, 0
+        ids[0] = self._piece(pieces[0])  # no blank before the first
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at)
+            r = pieces[at]
+            unsafe = unsafe or not r or r[0].isspace()  # never remembered, so always met here
+            ids[at] = get(r) or self._new(r)
+        if unsafe and _UNSAFE.search(t):  # white space after a blank: a cut before that blank may matter
+            return self._whole(t)
+        return b"".join(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        seen, out, split = self.seen, [b""] * len(texts), {}
-        if len(seen) > self.most:
-            seen.clear()
-        whole, missing = [], {}
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if _UNSAFE.search(t):
-                whole.append(i)
-                continue
-            head, *rest = t.split(" ")
-            split[i] = (head, rest)
-            missing.update((r, None) for r in rest if r not in seen)
-        fresh = list(missing)
-        seen.update(zip(fresh, self._ids([" " + r for r in fresh])))
-        heads = list(dict.fromkeys(h for h, _ in split.values()))
-        start = dict(zip(heads, self._ids(heads)))
-        for i, x in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = x
-        for i, (h, rest) in split.items():
-            out[i] = b"".join([start[h], *map(seen.__getitem__, rest)])
-        for r in fresh:
-            if len(r) > self.longest:
-                del seen[r]
+        out = [self._text(t) for t in texts]
+        if len(self.seen) > self.most:
+            last = {r: self.seen.get(r) for t in texts for r in t.split(" ")}
+            self.seen = {r: x for r, x in last.items() if x is not None}
+        if len(self.bare) > self.most // 4:
+            self.bare = {}
         return out
 
 
+def _newer(c: str) -> bool:
+    return c > "\u0557" and category(c) == "Cn"
+
+
 def _file_system(uri: str):
     """(file system, path) of a shared folder, from inside a task."""
     from pyarrow import fs
@@ -132,8 +192,12 @@ class Shard:
         return None if i < self.nulls else self.names[i - self.nulls]
 
 
-def write(docs: DataFrame, tokenizer_file: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
-          text: str = "text", most_bytes: int = 16 << 20) -> DataFrame:
+def _encoder(files: tuple[str, str]) -> PieceEncoder:
+    return PieceEncoder(*files)
+
+
+def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
+          text: str = "text", most_bytes: int = 4 << 20) -> DataFrame:
     """Write the token files; returns the manifest (file, part, seq, n_docs,
     n_ids, base): base is the number of ids of all shards before."""
     spark = docs.sparkSession
@@ -141,7 +205,7 @@ def write(docs: DataFrame, tokenizer_file: str, end_id: int, folder: str | None
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     tie = F.xxhash64("body")
     dealt = src.withColumn("tie", tie).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    encoder = C.Shared(spark, tokenizer_file, PieceEncoder)
+    encoder = C.Shared(spark, (tokenizer_file, pattern), _encoder)
     out = [C.field(n, k) for n, k in (("file", "string"), ("part", "int"), ("seq", "int"), ("n_docs", "long"),
                                       ("n_ids", "long"))]
 
@@ -167,7 +231,7 @@ def write(docs: DataFrame, tokenizer_file: str, end_id: int, folder: str | None
 
         schema = C.arrow_schema(*out)
         for batch in batches:
-            for few in C.slices(batch, "body", 2 << 20):
+            for few in C.slices(batch, "body", 1 << 20):
                 found = enc.encode([t or "" for t in few.column(1).to_pylist()])
                 for i, b in zip(few.column(0).to_pylist(), found):
                     ids.append(i)
@@ -175,20 +239,22 @@ def write(docs: DataFrame, tokenizer_file: str, end_id: int, folder: str | None
                     held += len(b) + len(end)
                     if held >= most_bytes:
                         yield close()
+            C.trim()
         if ids:
             yield close()
 
-    written = C.cut(dealt.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out)))
+    written = C.cut(dealt.mapInArrow(C.trimmed(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out)))
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return written.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long")).withColumn(
         "folder", F.lit(folder))
 
 
-def read(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
-    """Documents of the shards that the manifest lists: doc_id, start (ids of
-    all documents before), n_tokens and ids (little-endian unsigned 32-bit)."""
+def read(spark: SparkSession, manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """Documents of the written shards: file, doc_id, at (ids before it in the
+    file), n_tokens, ids_crc32 (of its ids as little-endian unsigned 32-bit
+    integers) and, if asked for, those ids."""
     out = [C.field(n, k) for n, k in (("file", "string"), ("doc_id", "long"), ("at", "long"), ("n_tokens", "long"),
-                                      ("ids", "binary"))]
+                                      ("ids_crc32", "long"), ("ids", "binary"))][:None if with_ids else -1]
     if manifest.isEmpty():
         return spark.createDataFrame([], T.StructType(out))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.eftok").load(folder)
@@ -203,8 +269,10 @@ def read(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
             names = [None] * s.nulls + s.names.all().tolist()
             for i in range(0, len(s), 2000):
                 a, b = starts[i:i + 2000], ends[i:i + 2000]
+                each = [ids[x:y] for x, y in zip(a.tolist(), b.tolist())]
                 yield {"file": [name.as_py()] * len(a), "doc_id": names[i:i + 2000], "at": a, "n_tokens": b - a,
-                       "ids": [ids[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist())]}
+                       "ids_crc32": list(map(zlib.crc32, each)),
+                       "ids": [x.tobytes() for x in each] if with_ids else None}
 
     return C.map_arrow(files, rows, out)
 
