@@ -320,7 +320,8 @@ class SuffixFamily:
             merging.append(place)
             place += 1
         path = scratch_path(self.spark, "suffix-level")
-        _scan(rows, merging).write.partitionBy("tag").option("compression", "zstd").parquet(path)
+        # one file a task: a level, its candidates and marks are told apart by tag
+        _scan(rows, merging).write.option("compression", "zstd").parquet(path)
         table = self.spark.read.schema(T.StructType([C.field(*f) for f in _SCAN])).parquet(path)
         for number in merging:
             del self.levels[number]
