@@ -11,9 +11,9 @@ ranked by exact Euclidean distance on the original vectors.
 The rotation and the radius come from a bounded sample (documented at
 ``fit``); every row is indexed. Rows and probes meet by (substring, value); a
 bucket with more than ``bucket`` rows is split, and its probes go to every
-part. A task keeps k rows a query, so no candidate list is written. Queries
-that the radius leaves with fewer than k rows are searched again over all rows
-of one index.
+part. A task keeps the nearest row of k ids a query, so no candidate list is
+written. Queries that the radius leaves with fewer than k ids are searched
+again over all rows of one index.
 
 Results for odd input: vectors that are null, zero, of another length than
 most, or hold null or non-finite components take no part. Rows with the
@@ -124,6 +124,16 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
 
 
+def _mixed(ids: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    """A number from 0 to 2 ** 31 - 1 for each row by id and vector, so that rows of one id spread."""
+    odd = np.random.default_rng(5).integers(1 << 62, size=vec.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    bits = np.ascontiguousarray(vec + 0.0).view(np.uint64)
+    bits = bits ^ bits >> np.uint64(29)  # narrow floats fill only the high bits
+    h = (bits * odd).sum(axis=1, dtype=np.uint64) + ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(33)).astype(np.int64)
+
+
 def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> DataFrame:
     """The index entries of rows (kind 0), or the probes of queries (kind 1; kind 2: of every value of one index)."""
 
@@ -136,7 +146,7 @@ def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> Dat
         for at in range(0, batch.num_rows, 256):
             few = batch.slice(at, 256)
             ids, vec = few.column(0).to_numpy(zero_copy_only=False), _matrix(few.column(1))
-            code = c.of(vec)
+            code, mixed = c.of(vec), _mixed(ids, vec)
             for part, sub in enumerate(c.substrings(code).T[:1 if kind == 2 else None]):
                 row, value = np.repeat(np.arange(len(sub)), len(flips)), (sub[:, None] ^ flips).ravel()
                 split = n_salts[part, value]
@@ -144,7 +154,7 @@ def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> Dat
                     row, value = np.repeat(row, split), np.repeat(value, split)
                     salt = np.arange(len(row)) - np.repeat(np.cumsum(split) - split, split)
                 else:
-                    salt = (ids * 0x9E3779B1 >> 16) % split
+                    salt = mixed % split
                 yield {"part": np.full(len(row), part), "value": value, "salt": salt,
                        "kind": np.full(len(row), min(kind, 1)), "id": ids[row],
                        "code": [bytes(x) for x in code[row]], "vec": _lists(vec[row])}
@@ -152,12 +162,20 @@ def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> Dat
     return C.map_arrow(rows, run, [C.field(*f) for f in _ROW])
 
 
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """True where a sorted row differs from the one before."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_keys])
+    return new
+
+
 def _top(query: np.ndarray, row: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k nearest rows of each query."""
-    order = np.lexsort((row, dist, query))
-    q = query[order]
-    first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, int)
-    nth = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    """Places of the nearest row of each of the k nearest ids of each query."""
+    order = np.lexsort((dist, row, query))
+    order = order[_starts(query[order], row[order])]
+    order = order[np.lexsort((row[order], dist[order], query[order]))]
+    first = np.flatnonzero(_starts(query[order]))
+    nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     return order[nth < k]
 
 
@@ -168,7 +186,7 @@ class _Bucket:
         self.codes, self.part, self.all, self.k = codes, part, everything, k
 
     def search(self, ids, code, vec, q_ids, q_code, q_vec):
-        """(query ids, row ids, distances), at most k rows a query."""
+        """(query ids, row ids, distances), at most k ids a query, each by its nearest row."""
         c, near, out = self.codes, self.codes.radius // self.codes.parts, []
         for at in range(0, len(ids), 4096):
             some = slice(at, at + 4096)
@@ -183,11 +201,17 @@ class _Bucket:
             # candidates by a fast distance, with room for its rounding; then exactly
             d2 = (q_vec ** 2).sum(1)[:, None] + (vec[some] ** 2).sum(1)[None] - 2 * q_vec @ vec[some].T
             d2[~fit] = np.inf
-            n = d2.shape[1]
-            edge = np.partition(d2, min(self.k, n) - 1, axis=1)[:, min(self.k, n) - 1]
+            by = np.argsort(ids[some], kind="stable")
+            each = np.flatnonzero(_starts(ids[some][by]))
+            least = d2 if len(each) == len(by) else np.minimum.reduceat(d2[:, by], each, axis=1)  # of each id
+            last = min(self.k, least.shape[1]) - 1
+            edge = np.partition(least, last, axis=1)[:, last]
             slack = 1e-9 * ((q_vec ** 2).sum(1) + (vec[some] ** 2).sum(1).max(initial=0))
             q, r = np.nonzero(fit & (d2 <= (edge + slack)[:, None]))
-            dist = np.sqrt(((q_vec[q] - vec[some][r]) ** 2).sum(axis=1))
+            dist = np.empty(len(q))
+            for i in range(0, len(q), 1 << 14):  # copies of a near row can make many pairs
+                few = slice(i, i + (1 << 14))
+                dist[few] = np.sqrt(((q_vec[q[few]] - vec[some][r[few]]) ** 2).sum(axis=1))
             best = _top(q_ids[q], ids[some][r], dist, self.k)
             out.append((q_ids[q][best], ids[some][r][best], dist[best]))
         return tuple(np.concatenate(x) for x in zip(*out))

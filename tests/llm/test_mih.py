@@ -61,6 +61,31 @@ def test_odd_vectors(spark):
     assert mih.neighbours(_table(spark, [(0, v)]), F.lit(True)).count() == 0
 
 
+def test_copies_of_a_near_id_leave_the_other_neighbours(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 16)).astype(np.float32)
+    near = [(1, [float(v) for v in x[0] + 1e-3 * (1 + i // 2) * np.ones(16, np.float32)]) for i in range(20)]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x) if i != 1] + near
+    ids = np.array([i for i, _ in rows])
+    vec = np.array([v for _, v in rows], np.float32).astype(np.float64)
+    d = np.sqrt(((vec - vec[0]) ** 2).sum(axis=1))
+    each = {int(i): d[ids == i].min() for i in set(ids.tolist()) - {0}}
+    want = sorted(each, key=lambda i: (each[i], i))[:10]
+    for target in (1.0, 0.01):  # by the radius; mostly by the wider search
+        got = mih.neighbours(_table(spark, rows), F.col("vec_id") == 0, bucket=64, target=target).orderBy("rank").collect()
+        assert len(got) == 10 and got[0]["id"] == 1 and abs(got[0]["distance"] - each[1]) < 1e-12
+        if target == 1.0:
+            assert [r["id"] for r in got] == want
+        assert len({r["id"] for r in got}) == 10
+
+
+def test_top_counts_ids_and_hot_ids_spread():
+    query, row, dist = np.zeros(23, int), np.array([7] * 20 + [3, 4, 5]), np.array([0.1] * 20 + [0.2, 0.3, 0.4])
+    assert row[mih._top(query, row, dist, 3)].tolist() == [7, 3, 4]
+    vec = np.random.default_rng(0).normal(size=(4000, 8)).astype(np.float32).astype(np.float64)
+    assert np.bincount(mih._mixed(np.full(4000, 7), vec) % 8).max() < 700
+
+
 def test_query_recall(spark, sf_small):
     got = QUERIES["op5_mih"](spark, sf_small)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
