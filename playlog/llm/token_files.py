@@ -15,8 +15,9 @@ leaves at most an unlisted file. Offsets over all shards come from one sum
 over the manifest (one row a shard).
 
 ``PieceEncoder`` gives the ids that the tokenizers library gives for the whole
-text; ``pattern`` is the split pattern of the tokenizer file. Special token
-strings in a text are ordinary text.
+text; ``pattern`` is the split pattern of the tokenizer file. Strings of added
+tokens in a text (such as ``<|endoftext|>``) give those tokens' ids, as the
+library does by default; ``special_as_text`` makes special ones ordinary text.
 
 Results for odd input: a null or empty text is the end id alone. Ids of
 documents are integers; null ids come first and repeated ids keep one entry
@@ -64,15 +65,20 @@ class PieceEncoder:
     A text is cut at its blanks, a piece into pre-tokens, and a pre-token goes
     to the library's BPE model once while it is remembered: ``seen`` by the
     piece without the blank before it, ``bare`` pre-tokens without a blank.
-    Texts where a cut could matter are encoded whole. Beyond ``most`` pieces
-    only those of the last texts stay."""
+    Texts where a cut could matter are encoded whole, and so are texts that hold
+    an added token's string. Beyond ``most`` pieces only those of the last texts
+    stay."""
 
-    def __init__(self, tokenizer_file: str, pattern: str, most: int = 750_000, longest: int = 64):
+    def __init__(self, tokenizer_file: str, pattern: str, most: int = 750_000, longest: int = 64,
+                 special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(tokenizer_file)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = special_as_text
+        added = [a.content for a in self.tok.get_added_tokens_decoder().values()
+                 if a.content and not (a.special and special_as_text)]
+        self.added = re.compile("|".join(map(re.escape, added))).search if added else None
         size = self.tok.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.bytes_of = [i.to_bytes(self.kind.itemsize, "little") for i in range(size)]
@@ -124,6 +130,8 @@ class PieceEncoder:
         return ids
 
     def _text(self, t: str) -> bytes:
+        if self.added and self.added(t):
+            return self._whole(t)
         pieces, get = t.split(" "), self.seen.get
         ids, unsafe, at = list(map(get, pieces)), False, 0
         ids[0] = self._piece(pieces[0])  # no blank before the first
@@ -192,12 +200,13 @@ class Shard:
         return None if i < self.nulls else self.names[i - self.nulls]
 
 
-def _encoder(files: tuple[str, str]) -> PieceEncoder:
-    return PieceEncoder(*files)
+def _encoder(settings: tuple[str, str, bool]) -> PieceEncoder:
+    file, pattern, special_as_text = settings
+    return PieceEncoder(file, pattern, special_as_text=special_as_text)
 
 
 def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
-          text: str = "text", most_bytes: int = 4 << 20) -> DataFrame:
+          text: str = "text", most_bytes: int = 4 << 20, special_as_text: bool = False) -> DataFrame:
     """Write the token files; returns the manifest (file, part, seq, n_docs,
     n_ids, base): base is the number of ids of all shards before."""
     spark = docs.sparkSession
@@ -205,7 +214,7 @@ def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folde
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     tie = F.xxhash64("body")
     dealt = src.withColumn("tie", tie).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    encoder = C.Shared(spark, (tokenizer_file, pattern), _encoder)
+    encoder = C.Shared(spark, (tokenizer_file, pattern, special_as_text), _encoder)
     out = [C.field(n, k) for n, k in (("file", "string"), ("part", "int"), ("seq", "int"), ("n_docs", "long"),
                                       ("n_ids", "long"))]
 

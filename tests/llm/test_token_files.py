@@ -76,6 +76,20 @@ def test_write_and_read(spark, plain):
     assert not any(want.values())
 
 
+def test_added_tokens_as_the_library_gives_them(spark):
+    lib = Tokenizer.from_file(FILE)
+    texts = ["one<|endoftext|>two", "<|endoftext|>", "a <|endoftext|> b  c", "one <|endoftext two"]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    enc = token_files.PieceEncoder(FILE, public_tokenizers.PATTERN, special_as_text=False)
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == want
+    folder = scratch_path(spark, "tokens")
+    docs = H.docs(spark, list(enumerate(texts)))
+    manifest = token_files.write(docs, FILE, public_tokenizers.PATTERN, 2, folder)
+    found = token_files.located(token_files.read(spark, manifest, folder), manifest).orderBy("start").collect()
+    assert [np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in found] == [x + [2] for x in want]
+
+
 def test_shard_reads_in_place(plain):
     kind = np.dtype("<u2")
     bodies = [np.asarray(x, kind).tobytes() for x in ([1, 2, 3], [], [7])]
