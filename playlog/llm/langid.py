@@ -7,6 +7,10 @@ cut into blocks, and every block of the whole text is compressed once per
 language. The language with the smallest sum of sizes wins. Where the two
 smallest sums are close, the text is compressed again at a stronger level.
 
+A text whose margin is narrower than ``reject_margin`` is rejected, so an
+exact tie is, from ``judge_bytes`` bytes of letters on. Shorter texts, of which
+most tie whatever their language, keep the language of more documents.
+
 Results for odd input: a null text, or one without any letter, is ``und``
 with score 0 and is rejected. An exact tie goes to the language with more
 labelled documents. A table without usable labels makes every text ``und``.
@@ -41,7 +45,7 @@ class LanguageModel:
     close: float = 0.03
     strong_level: int = 19
     reject_margin: float = 0.002
-    judge_bytes: int = 256
+    judge_bytes: int = 32
 
 
 def normalise(text: str) -> bytes:

@@ -31,6 +31,18 @@ def test_narrow_margin_is_rejected_only_for_long_texts(spark):
     assert langid._Coder(model).predict("some words")[0] == "a"
 
 
+def test_ties_of_short_texts_are_rejected(spark):
+    coder = langid._Coder(_learned())
+    finnish = "kissa nukkuu sohvalla kun sade putoaa hiljaa kaupungin ylle"
+    for text in (finnish, "今天天气很好我们一起去公园散步看花吃饭", "zyx wvu " * 20):
+        assert 32 <= len(langid.normalise(text)) < 256
+        _, _, margin, rejected = coder.predict(text)
+        assert margin >= 0.002 or rejected
+    same = langid.normalise("the and with this that " * 40)
+    tie = langid._Coder(langid.LanguageModel({"a": same, "b": same}))
+    assert all(tie.predict("some words " * n)[3] for n in (3, 10, 23, 60))
+
+
 def test_matches_plain_compression(spark):
     import zstandard
 
