@@ -36,11 +36,29 @@ from playlog.llm import common as C
 ROUNDS = 8
 _WORD = r"\p{L}\p{N}_"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+# characters of a country's numbers
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 33: "RU",
+}
+_END = f"(?![{_WORD}])"
+
+
+def _sized(size: int, countries: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    tail = f"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}{_END}"
+
+
 # in the order in which they are tried at a place
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
              r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
+    # of the country's length where that ends at a word's end, else of any length
+    "iban": "(?:" + "|".join(_sized(n, c) for n, c in _IBAN_SIZES.items())
+            + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})",
     "ip": _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.[0-9])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
@@ -52,7 +70,7 @@ PATTERNS = {
 # what may not stand right before a candidate
 _BEFORE = {"email": r"\p{L}\p{N}_.%+-", "date": r"\p{L}\p{N}_.+-", "ip": r"\p{L}\p{N}_.+-",
            "phone": r"\p{L}\p{N}_+(.-"}
-CANDIDATE = "|".join(f"(?<![{_BEFORE.get(k, _WORD)}]){p}(?![{_WORD}])" for k, p in PATTERNS.items())
+CANDIDATE = "|".join(f"(?<![{_BEFORE.get(k, _WORD)}]){p}{_END}" for k, p in PATTERNS.items())
 _WORTH = "[0-9@]"
 
 

@@ -47,6 +47,20 @@ def test_permutation_of_a_whole_domain(spark):
     assert domain == {(a, b) for a in range(7) for b in range(11)}
 
 
+def test_iban_before_a_capital_word(spark):
+    numbers = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201",
+               "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00",
+               "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    texts = [f"pay {n}{end}" for n in numbers for end in (" BY Friday", " 2024", " ASAP OK", ".", "")]
+    texts += [t.replace(n, n.replace(" ", "")) for n in numbers for t in texts if n in t]
+    for text, (after, found) in zip(texts, _one(spark, *texts), strict=True):
+        assert [k for k, _ in found] == ["iban"], text
+        code = found[0][1].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+        assert found[0][1] not in text and found[0][1] in after and len(after) == len(text)
+    assert _one(spark, "pay ES91 2100 0418 4502 0005 1333 BY Friday")[0][1] == []
+
+
 def test_links_and_forms(spark):
     got = _one(spark, "GB82 WEST 1234 5698 7654 32 and GB82WEST12345698765432", "Bos.T42@x.example.com bos.t42@x.example.com",
                "(415) 555-2671 415-555-2671 +49 30 12345678")
