@@ -19,6 +19,7 @@ from playlog.llm import simhash
 from playlog.llm import suffix_dedup
 from playlog.llm import token_files
 from playlog.llm import toxicity
+from playlog.llm import warc
 from playlog.session import scratch_path
 
 # a deployment passes its own secret
@@ -95,6 +96,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write(C.read(spark, sf_dir, "pages"), folder)
+    found = warc.read(spark, folder, with_payload=False)
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_masked_lm": op1_masked_lm,
     "op2_simhash": op2_simhash,
@@ -106,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_warc": op11_warc,
 }
 
 # Windows of 10 words (fewer where the item has fewer) as strings, matched at every position.
@@ -137,6 +146,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
 """
 
+# Base 32 of a SHA-1: each 5 hex digits are 20 bits, so four characters.
+_OP11_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha FROM pages),
+g AS (SELECT body, max(page_id) AS keep FROM p GROUP BY body)
+SELECT page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           (CAST('0x' || substr(sha, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST((3 - i % 4) * 5 AS INTEGER))
+           & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < keep THEN keep END AS refers_to
+FROM p JOIN g ON p.body = g.body
+"""
+
 ORACLE: dict[str, str] = {
     "op8_decontamination": _OP8_SQL,
+    "op11_warc": _OP11_SQL,
 }
