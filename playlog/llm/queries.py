@@ -12,6 +12,7 @@ from playlog.llm import bpe
 from playlog.llm import common as C
 from playlog.llm import decontaminate
 from playlog.llm import langid
+from playlog.llm import lexical
 from playlog.llm import masked_lm
 from playlog.llm import mih
 from playlog.llm import pii
@@ -103,6 +104,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_masked_lm": op1_masked_lm,
     "op2_simhash": op2_simhash,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_warc": op11_warc,
+    "op13_lexical": op13_lexical,
 }
 
 # Windows of 10 words (fewer where the item has fewer) as strings, matched at every position.
@@ -161,7 +168,36 @@ SELECT page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes,
 FROM p JOIN g ON p.body = g.body
 """
 
+# Every document that shares a term with an item is scored.
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS q, item_id, w FROM (
+    SELECT DISTINCT item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL)),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf
+       FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY r, doc_id, n, t),
+qt AS (SELECT q, item_id, t, count(*) AS times FROM (SELECT q, item_id, unnest(w) AS t FROM i) GROUP BY q, item_id, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+           FROM tf, totals GROUP BY t, n_docs),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (
+           100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (t) JOIN weight USING (t), totals GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op8_decontamination": _OP8_SQL,
     "op11_warc": _OP11_SQL,
+    "op13_lexical": _OP13_SQL,
 }
