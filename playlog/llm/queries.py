@@ -15,6 +15,7 @@ from playlog.llm import langid
 from playlog.llm import lexical
 from playlog.llm import masked_lm
 from playlog.llm import mih
+from playlog.llm import periodic
 from playlog.llm import pii
 from playlog.llm import simhash
 from playlog.llm import suffix_dedup
@@ -104,6 +105,37 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _planted(doc_id: str, text: str) -> F.Column:
+    """The text, of one id in ten with the words from some place on made periodic."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic_words(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(place, lambda i: F.get(w, i.cast("int"))), " ")).otherwise(F.col(text))
+
+    words = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    return F.when((h % 10 == 0) & F.col(text).isNotNull(),
+                  F.get(F.transform(F.array(words), periodic_words), F.lit(0))).otherwise(F.col(text))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", _planted("doc_id", "text").alias("text"))
+    found = periodic.find_runs(docs)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        (-best["l"]).alias("length"), best["period"].alias("period"),
+        F.floor(1000 * -best["l"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical.search(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "benchmark"))
     return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
@@ -121,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_warc": op11_warc,
+    "op12_periodic": op12_periodic,
     "op13_lexical": op13_lexical,
 }
 
