@@ -9,24 +9,27 @@ by Catalyst, so every query can start from :func:`parse_log`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
 
 
-def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_log(raw: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Split ``game_id \\t line_no \\t clock \\t entry`` lines into event columns.
 
     Columns: value (the line), game_id, date, game_date, home, away, line_no,
     time_remaining, minute, second, is_ot, quarter, entry, type, team,
     name_token, name_text, score_home_token, score_away_token, season_start,
     season, points, is_made, is_missed, is_foul, is_buzzer, buzzer_value,
-    status (``'malformed'`` when the line has fewer than 4 fields).
+    status (``'malformed'`` when the line has fewer than 4 fields). Columns of
+    ``raw`` named in ``keep`` (a line's place in its file) follow.
     """
-    fields = raw.select(F.col(value_col).alias("value"), F.split(F.col(value_col), S.FIELD_SEP).alias("_pl_fields"))
+    fields = raw.select(*keep, F.col(value_col).alias("value"), F.split(F.col(value_col), S.FIELD_SEP).alias("_pl_fields"))
     base = fields.select(
-        "value",
+        *keep, "value",
         F.get("_pl_fields", 0).alias("game_id"),
         F.get("_pl_fields", 1).try_cast("int").alias("line_no"),
         F.get("_pl_fields", 2).alias("time_remaining"),
@@ -80,5 +83,5 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
         "value", "game_id", "date", "game_date", "home", "away", "line_no", "time_remaining", "minute", "second",
         "is_ot", "quarter", "entry", "type", "team", "name_token", "name_text", "score_home_token",
         "score_away_token", "season_start", "season", "points", "is_made", "is_missed", "is_foul", "is_buzzer",
-        "buzzer_value", "status",
+        "buzzer_value", "status", *keep,
     )

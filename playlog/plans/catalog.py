@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
+from playlog.operators import appends
 from playlog.operators import metrics as M
 from playlog.operators.ingest import ingest
 from playlog.operators import trends as T
@@ -25,6 +26,8 @@ from playlog.operators.matches import (
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import (
     resolution_status, resolve_players, rewrite_audit, rewrite_log_names, roster_coverage)
+from playlog.operators.segments import (
+    build_marked_matches, log_audit, marked_match_ids, marked_scores, segment_matches)
 from playlog.plans import queries as Q
 from playlog.session import ensure_checkpoint_dir, folder_state, path_exists, table_path
 from playlog.sources import adapters as A
@@ -38,6 +41,8 @@ DRIVER_SEASONS = ("1995/1996", "1996/1997", "1997/1998", "1998/1999", "1999/2000
 # Corpus B is split into two loads at this date for the append check (SET-3).
 MERGE_SPLIT_DATE = "20240116"
 NEEDLES = ("a", "b")
+# Files of a log or roster that is written in order.
+ORDERED_FILES = 8
 # Lines that one stored document covers; and a size that games of corpus B exceed.
 DOCUMENT_EVENTS = 10_000
 SMALL_DOCUMENT_EVENTS = 5
@@ -147,10 +152,16 @@ def roster_coverage_q(spark, sf_dir):
     return roster_coverage(events_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
 
 
+def _in_order(lines: DataFrame, path: str) -> None:
+    """Lines as text files whose names and lines follow ``ord``, every task one range of it."""
+    lines.repartitionByRange(ORDERED_FILES, "ord").sortWithinPartitions("ord").select("value").write.mode(
+        "overwrite").text(path)
+
+
 def _messy_roster_a(spark, sf_dir):
-    """The careless roster, written as a TSV file and read back (SRC-3, FN-15)."""
-    path = _stored(spark, sf_dir, "roster_a", lambda p: A.corpus_a_messy_roster_lines(spark, sf_dir).orderBy("ord")
-                   .coalesce(1).select("value").write.mode("overwrite").text(p))
+    """The careless roster, written as TSV files and read back in their order (SRC-3, FN-15)."""
+    path = _stored(spark, sf_dir, "roster_a",
+                   lambda p: _in_order(A.corpus_a_messy_roster_lines(spark, sf_dir), p))
     return io.read_roster(spark, path)
 
 
@@ -491,6 +502,72 @@ def merge_logs(spark, sf_dir):
     return loads.join(ids, "game_id").select("game_id", "line_no", "id_match", "type")
 
 
+def _appended_b(spark, sf_dir):
+    """Corpus B as a table of loads: an earlier one; a later one that lacked the games
+    of one home team and was delivered again; and the earlier one repeated."""
+    def build(path):
+        log, roster, day = log_b(spark, sf_dir), A.corpus_b_roster(spark, sf_dir), F.substring("value", 1, 8)
+        early, late = log.where(day < MERGE_SPLIT_DATE), log.where(day >= MERGE_SPLIT_DATE)
+        short = late.where(F.substring("value", 9, 3) != A.RECORDED_TWICE)
+        loads = [appends.append_log(spark, f"{path}-table", "early", early, roster),
+                 appends.append_log(spark, f"{path}-table", "late", short, roster),
+                 appends.append_log(spark, f"{path}-table", "late", late, roster, replacing=True),
+                 appends.append_log(spark, f"{path}-table", "early", early, roster)]
+        spark.createDataFrame([(x.name, x.key) for x in loads], "name string, key string").write.mode(
+            "overwrite").json(path)
+
+    return f"{_stored(spark, sf_dir, 'appended_b', build)}-table"
+
+
+def append_loads(spark, sf_dir):
+    """SET-3 by loads: ids go on after all ids ever given out, a repeated load changes nothing."""
+    return appends.read_events(spark, _appended_b(spark, sf_dir)).select("game_id", "line_no", "id_match", "type")
+
+
+def incremental_points(spark, sf_dir):
+    """AGG-2 of the table of loads, from the loads' partial counts."""
+    counts = appends.report_counts(spark, _appended_b(spark, sf_dir))
+    return M.metric_view(counts, "points").select("player", "season", "points")
+
+
+def incremental_quarter_points(spark, sf_dir):
+    """AGG-7 from the loads' partial counts by quarter."""
+    counts = appends.report_counts(spark, _appended_b(spark, sf_dir), by_quarter=True)
+    return M.metric_view(counts, "quarter_points").select("quarter", "player", "season", "points")
+
+
+# --- recorded log: matches by their start marks -----------------------------------
+
+def _recorded(spark, sf_dir):
+    """The recorded log, parsed with the physical place of each line (stored once)."""
+    def build(path):
+        log = _stored(spark, sf_dir, "log_c", lambda p: _in_order(A.corpus_b_recorded_log(spark, sf_dir), p))
+        parsed = parse_log(io.read_ordered_log(spark, log), keep=("log_split", "log_row"))
+        resolve_players(parsed, A.corpus_b_roster(spark, sf_dir)).write.mode("overwrite").parquet(path)
+
+    return spark.read.parquet(_stored(spark, sf_dir, "recorded", build))
+
+
+def segment_matches_q(spark, sf_dir):
+    """AGG-10 by marks: a game that is logged twice gives two documents."""
+    scored = marked_scores(segment_matches(_recorded(spark, sf_dir)))
+    return _report_rows(build_marked_matches(scored, DOCUMENT_EVENTS))
+
+
+def match_ids_by_marks(spark, sf_dir):
+    return marked_match_ids(_recorded(spark, sf_dir), Q.LATER_LOAD_ID_OFFSET)
+
+
+def carried_scores(spark, sf_dir):
+    """WIN-5 with scores that run on from match to match."""
+    scored = marked_scores(segment_matches(_recorded(spark, sf_dir)), carry=True)
+    return scored.select("log_no", "match_seq", "match_line", "score_home", "score_away")
+
+
+def log_audit_q(spark, sf_dir):
+    return log_audit(segment_matches(_recorded(spark, sf_dir)))
+
+
 # --- other tables ------------------------------------------------------------------
 
 def count_lines_containing(spark, sf_dir):
@@ -567,6 +644,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_matches": flatten_matches_q,
     "merge_logs": merge_logs,
     "points_from_documents": points_from_documents,
+    "append_loads": append_loads,
+    "incremental_points": incremental_points,
+    "incremental_quarter_points": incremental_quarter_points,
+    "segment_matches": segment_matches_q,
+    "match_ids_by_marks": match_ids_by_marks,
+    "carried_scores": carried_scores,
+    "log_audit": log_audit_q,
     "count_lines_containing": count_lines_containing,
     "generic_top_n": generic_top_n,
 }

@@ -200,10 +200,11 @@ qp1 AS (
 )"""
 
 
-def _report_rows(size: int) -> str:
+def _report_rows(size: int, lines: str = "b JOIN g ON b.game_id = g.game_id", ids: str = "g.id_match",
+                 parts: tuple[str, ...] = (_B,)) -> str:
     """Corpus B's documents of ``size`` lines, event by event."""
-    return _with(_B) + f"""
-SELECT g.id_match, b.game_id, CAST((b.line_no - 1) // {size} AS INTEGER) AS part,
+    return _with(*parts) + f"""
+SELECT {ids} AS id_match, b.game_id, CAST((b.line_no - 1) // {size} AS INTEGER) AS part,
   CAST((b.line_no - 1) % {size} + 1 AS BIGINT) AS pos,
   substr(b.game_id, 1, 8) AS date, substr(b.game_id, 9, 3) AS home, substr(b.game_id, 12, 3) AS away,
   CAST(b.line_no AS INTEGER) AS line_no,
@@ -221,7 +222,19 @@ SELECT g.id_match, b.game_id, CAST((b.line_no - 1) // {size} AS INTEGER) AS part
        ELSE 'Timeout: Regular' END AS entry,
   CAST(b.score_home AS INTEGER) AS score_home, CAST(b.score_away AS INTEGER) AS score_away,
   CASE WHEN b.pts > 0 OR b.event_type = 'view' THEN 'User, ' || CAST(b.user_id AS VARCHAR) END AS player
-FROM b JOIN g ON b.game_id = g.game_id"""
+FROM {lines}"""
+
+
+# The recorded log: all games in order, then those of one home team again.
+_REC = """
+rec AS (
+  SELECT 0 AS copy, * FROM b UNION ALL SELECT 1 AS copy, * FROM b WHERE substr(game_id, 9, 3) = 'T00'
+),
+m AS (
+  SELECT copy AS mcopy, game_id AS mgame, row_number() OVER (ORDER BY copy, game_id) AS seq
+  FROM (SELECT DISTINCT copy, game_id FROM rec)
+)"""
+_REC_JOIN = "rec AS b JOIN m ON b.copy = m.mcopy AND b.game_id = m.mgame"
 
 
 ORACLE: dict[str, str] = {
@@ -539,6 +552,53 @@ SELECT b.game_id, CAST(b.line_no AS INTEGER) AS line_no, g.id_match - 6545 AS id
   CASE WHEN b.pts > 0 THEN 'point' WHEN b.event_type = 'view' THEN 'generalEvent' ELSE 'gameDescription' END AS type
 FROM b JOIN g ON b.game_id = g.game_id""",
 
+    # the later load was replaced by one with more matches, so its ids begin after those of the first delivery
+    "append_loads": _with(_B) + """
+SELECT b.game_id, CAST(b.line_no AS INTEGER) AS line_no,
+  CAST(g.id_match - 6545 + CASE WHEN b.game_id >= '20240116' THEN (
+    SELECT count(*) FROM g WHERE game_id >= '20240116' AND substr(game_id, 9, 3) <> 'T00') ELSE 0 END AS BIGINT) AS id_match,
+  CASE WHEN b.pts > 0 THEN 'point' WHEN b.event_type = 'view' THEN 'generalEvent' ELSE 'gameDescription' END AS type
+FROM b JOIN g ON b.game_id = g.game_id""",
+
+    "incremental_points": _with(_B) + """
+SELECT 'User, ' || CAST(user_id AS VARCHAR) AS player,
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) - 1 ELSE year(ts) END AS VARCHAR) || '/' ||
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) ELSE year(ts) + 1 END AS VARCHAR) AS season,
+  CAST(sum(pts) AS BIGINT) AS points
+FROM b0 WHERE pts > 0 GROUP BY 1, 2""",
+
+    "incremental_quarter_points": _with(_B) + """
+SELECT CASE WHEN event_id % 48 < 12 THEN '4TH' WHEN event_id % 48 < 24 THEN '3RD' WHEN event_id % 48 < 36 THEN '2ND'
+            ELSE '1ST' END AS quarter,
+  'User, ' || CAST(user_id AS VARCHAR) AS player,
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) - 1 ELSE year(ts) END AS VARCHAR) || '/' ||
+  CAST(CASE WHEN month(ts) < 8 THEN year(ts) ELSE year(ts) + 1 END AS VARCHAR) AS season,
+  CAST(sum(pts) AS BIGINT) AS points
+FROM b0 WHERE pts > 0 GROUP BY 1, 2, 3""",
+
+    "segment_matches": _report_rows(10_000, _REC_JOIN, "m.seq", (_B, _REC)),
+
+    "match_ids_by_marks": _with(_B, _REC) + """
+SELECT 6545 + seq AS id_match, mgame AS game_id, substr(mgame, 1, 8) AS date, substr(mgame, 9, 3) AS home,
+  substr(mgame, 12, 3) AS away
+FROM m""",
+
+    "carried_scores": _with(_B, _REC) + f"""
+SELECT log_no, match_seq, match_line, CAST(coalesce(sh, 0) AS INTEGER) AS score_home,
+  CAST(coalesce(sa, 0) AS INTEGER) AS score_away
+FROM (
+  SELECT 1 + row_number() OVER w AS log_no, m.seq AS match_seq, b.line_no AS match_line,
+    last_value(CASE WHEN pts > 0 AND home_side THEN score_home END IGNORE NULLS) OVER w AS sh,
+    last_value(CASE WHEN pts > 0 AND NOT home_side THEN score_away END IGNORE NULLS) OVER w AS sa
+  FROM {_REC_JOIN}
+  WINDOW w AS (ORDER BY copy, game_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+UNION ALL SELECT 1, 0, NULL, 0, 0""",
+
+    "log_audit": _with(_B, _REC) + """
+SELECT CAST((SELECT count(*) FROM rec) + 1 AS BIGINT) AS lines, (SELECT count(*) FROM m) AS matches,
+  CAST(1 AS BIGINT) AS before_first, CAST(0 AS BIGINT) AS mixed""",
+
     "count_lines_containing": """
 WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 SELECT 'a' AS needle, count(*) FILTER (WHERE contains(line, 'a')) AS n FROM l

@@ -33,6 +33,7 @@ SCORE_TEXT = "10-8"            # fixed score text in corpus A brackets
 # Corpus B layout (FIXTURES §3.2): points per event type.
 EVENT_POINTS = {"purchase": 3, "click": 2, "signup": 1, "view": 0, "error": 0}
 TEAMS_PER_SIDE = 5
+RECORDED_TWICE = "T00"         # home team whose games are in the recorded log twice
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -196,6 +197,20 @@ def corpus_b_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.concat_ws(FIELD_SEP, "game_id", F.col("line_no").cast("string"), clock, entry).alias("value"))
 
 
+def corpus_b_recorded_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus B as a recorder would write it (columns ``value``, ``ord``): game after
+    game, each from its line 1 on, then the games of one home team once more, and
+    a heading before them all."""
+    b = corpus_b_log(spark, sf_dir).withColumn("f", F.split("value", FIELD_SEP))
+    game, line = F.get("f", 0), F.get("f", 1).cast("long")
+    again = F.when(F.substring(game, 9, 3) == RECORDED_TWICE, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    lines = b.select("value", game.alias("game"), line.alias("line"), F.explode(again).alias("copy")).select(
+        "value", F.struct("copy", "game", "line").alias("ord"))
+    head = spark.range(1).select(F.lit("recorded log").alias("value"), F.struct(
+        F.lit(-1).alias("copy"), F.lit("").alias("game"), F.lit(0).cast("long").alias("line")).alias("ord"))
+    return lines.unionByName(head)
+
+
 def corpus_b_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One roster row per (user, team code) a user plays for: name ``U<id>``,
     true name ``User, <id>``, derived from the distinct users of ``events``."""

@@ -25,6 +25,21 @@ def read_play_log(spark: SparkSession, path: str | list[str], with_source: bool
     return df.select("value", F.col("_metadata.file_path").alias("source_file")) if with_source else df
 
 
+def read_ordered_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC-2 with each line's physical place: ``value``, ``log_split`` (file name
+    and first byte of the input split, comparable as text) and ``log_row`` (grows
+    along the lines of a split).
+
+    (log_split, log_row) orders all lines as the files hold them, files by name.
+    A split's lines are read by one task in order; a line that crosses into the
+    next split counts to the one where it begins. Compressed files are one split.
+    """
+    place = F.concat(F.col("_metadata.file_path"), F.lit("\u0000"),
+                     F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0"))
+    return spark.read.text(path).select("value", place.alias("log_split"),
+                                        F.monotonically_increasing_id().alias("log_row"))
+
+
 def parse_roster(lines: DataFrame, ord_col: Column | None = None, value_col: str = "value") -> DataFrame:
     """SRC-3: TSV roster lines -> (name, true_name, team, ord).
 

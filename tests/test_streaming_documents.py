@@ -1,0 +1,126 @@
+"""Documents of a log that still arrives: as the batch makes them of the whole log."""
+
+import os
+import time
+
+import pytest
+
+from playlog.operators.parse import parse_log
+from playlog.operators.roster import resolve_players
+from playlog.operators.segments import build_marked_matches, marked_scores, segment_matches
+from playlog.sources import io
+from playlog.sources import loads as L
+from playlog.streaming import documents as D
+from tests.test_segments import _log
+
+ROSTER = "name string, true_name string, team string, ord long"
+
+
+@pytest.fixture
+def roster(spark):
+    # few feeds: few state stores
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield _roster(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def _roster(spark):
+    return spark.createDataFrame([(f"U{i}", f"User, {i}", t, i) for i in range(1, 30) for t in ("H00", "A01")], ROSTER)
+
+
+def _arrive(folder, name, lines, at):
+    path = folder / name
+    path.write_text("".join(x + "\n" for x in lines))
+    os.utime(path, (at, at))  # files are taken up in the order of their times
+
+
+def _documents(rows):
+    out = {}
+    for d in sorted(rows, key=lambda d: (d["id_match"], d["part"])):
+        m = out.setdefault(d["id_match"], [(d["game_id"], d["date"], d["home"], d["away"])])
+        m += [tuple(e) for e in d["report"]]
+    return out
+
+
+def _batch(spark, folder, roster, max_events):
+    parsed = resolve_players(parse_log(io.read_ordered_log(spark, str(folder)), keep=("log_split", "log_row")), roster)
+    return _documents(build_marked_matches(marked_scores(segment_matches(parsed)), max_events).collect())
+
+
+def _run(spark, folder, roster, table, checkpoint, max_events, pause=None):
+    docs = D.live_documents(D.read_feeds(spark, f"{folder}/*/", 1), roster, max_events, pause)
+    q = D.write_documents(docs, table, checkpoint, available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return D.read_documents(spark, table).collect()
+
+
+@pytest.mark.parametrize("max_events", [10_000, 9])
+def test_stream_equals_batch(spark, tmp_path, roster, max_events):
+    """Two feeds, files that end in the middle of matches, a stream that stops and goes on."""
+    now, sent = time.time() - 1000, {}
+    feeds = {"a": _log(3, 6), "b": _log(4, 5)}
+    table, checkpoint = f"{tmp_path}/t", f"{tmp_path}/ck"
+    for k in range(3):
+        for feed, lines in feeds.items():
+            folder = tmp_path / "in" / feed
+            folder.mkdir(parents=True, exist_ok=True)
+            cut = [0, len(lines) // 3, len(lines) // 2, len(lines)]
+            _arrive(folder, f"log-{k}.txt", lines[cut[k]:cut[k + 1]], now + 10 * k + (feed == "b"))
+        got = _run(spark, tmp_path / "in", roster, table, checkpoint, max_events)
+        assert len(got) >= len(sent)
+        sent = got
+    assert not [r for r in sent if r["kind"] == "late"]
+    for feed in feeds:
+        want = _batch(spark, tmp_path / "in" / feed, roster, max_events)
+        have = _documents([r for r in sent if r["feed"].endswith(f"/{feed}")])
+        last = max(want)  # the last match is still open: whole parts of it went out
+        assert {k: v for k, v in have.items() if k != last} == {k: v for k, v in want.items() if k != last}
+        if last in have:
+            assert have[last] == want[last][:len(have[last])] and max_events == 9
+    # a batch that is published again changes nothing
+    version = L.current(spark, table)
+    L.append_load(spark, table, version[1][0].name, version[1][0].fingerprint, lambda key: 1 / 0)
+    assert L.current(spark, table) == version
+
+
+def test_late_lines_are_counted(spark, tmp_path, roster):
+    folder = tmp_path / "in" / "a"
+    folder.mkdir(parents=True)
+    game = [f"20200101H00A00\t{i}\t00:01:00\t[H00] U{i} Jump Shot: Missed" for i in range(1, 6)]
+    now = time.time() - 1000
+    _arrive(folder, "log-2.txt", game + game, now)
+    table, checkpoint = f"{tmp_path}/t", f"{tmp_path}/ck"
+    got = _run(spark, tmp_path / "in", roster, table, checkpoint, 100)
+    assert [(r["kind"], r["id_match"], len(r["report"])) for r in got] == [("match", 1, 5)]
+    _arrive(folder, "log-1.txt", game[:3], now + 10)  # comes before what was read
+    _arrive(folder, "log-3.txt", game[:1], now + 20)
+    got = sorted(_run(spark, tmp_path / "in", roster, table, checkpoint, 100), key=lambda r: (r["kind"], r["id_match"] or 0))
+    assert [(r["kind"], r["id_match"], r["late"]) for r in got] == [("late", None, 3), ("match", 1, None), ("match", 2, None)]
+    assert got[1]["report"][1]["playerName"] == "User, 2" and got[1]["report"] == got[2]["report"]
+
+
+def test_a_pause_ends_a_match(spark, tmp_path, roster):
+    folder = tmp_path / "in" / "a"
+    folder.mkdir(parents=True)
+    game = [f"20200101H00A00\t{i}\t00:01:00\t[H00 {i}-0] U{i} Jump Shot: Made (2 PTS)" for i in range(1, 6)]
+    _arrive(folder, "log-1.txt", ["heading", *game], time.time() - 1000)
+    docs = D.live_documents(D.read_feeds(spark, f"{tmp_path}/in/*/"), roster, 100, pause="1 second")
+    q = D.write_documents(docs, f"{tmp_path}/t", f"{tmp_path}/ck")
+    try:
+        until = time.time() + 60
+        while not L.current(spark, f"{tmp_path}/t")[1] or not D.read_documents(spark, f"{tmp_path}/t").count():
+            assert time.time() < until and q.exception() is None
+            time.sleep(0.5)
+        _arrive(folder, "log-2.txt", [game[2], *game], time.time())  # a line too late, then the next match
+        until = time.time() + 60
+        while D.read_documents(spark, f"{tmp_path}/t").count() < 3:
+            assert time.time() < until and q.exception() is None
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = D.read_documents(spark, f"{tmp_path}/t").collect()
+    assert sorted((r["kind"], r["id_match"], r["late"]) for r in got if r["kind"] == "match") == [
+        ("match", 1, None), ("match", 2, None)]
+    assert [r["late"] for r in got if r["kind"] == "late"] == [1]
+    assert [e["scoreHome"] for e in next(r for r in got if r["id_match"] == 2)["report"]] == [1, 2, 3, 4, 5]
