@@ -20,8 +20,9 @@ date     calendar, 1800 to 2199               days of the 400-year cycle, 189 x
 Only DataFrame functions are used and no row moves: one pass, no shuffle.
 
 Results for odd input: a null or empty text stays as it is, with no findings.
-Values that fail validation stay as they are. Repeated rows get the same
-answer. Existing columns named as the results are replaced.
+Values that fail validation stay as they are. A mail domain is read up to 127
+labels of at most 63 characters; of a longer chain of labels the first ones
+that can be a domain count. Repeated rows get the same answer. Existing columns named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -52,10 +53,13 @@ def _sized(size: int, countries: str) -> str:
     return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}{_END}"
 
 
+# A name of the domain system: labels of at most 63 characters, at most 253 in all. The matcher calls itself once
+# for each repeat of a group that may be undone, so repeats of groups are bounded and a label is taken whole.
+_LABEL = r"(?>[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?)"
+_DOMAIN = _LABEL + r"(?:\." + _LABEL + r"){0,125}\.[A-Za-z]{2,63}"
 # in the order in which they are tried at a place
 PATTERNS = {
-    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
-             r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@" + _DOMAIN,
     # of the country's length where that ends at a word's end, else of any length
     "iban": "(?:" + "|".join(_sized(n, c) for n, c in _IBAN_SIZES.items())
             + r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)",

@@ -87,6 +87,30 @@ def test_neighbours_do_not_hide_a_value(spark):
     assert got[0][0].startswith("ring +1 (") and got[0][0].endswith("@mail.example.com.")
 
 
+@pytest.mark.parametrize("labels", [2_000, 20_000, 1_000_000])
+def test_long_chains_of_labels(spark, labels):
+    """No text is too long for the matcher, whatever groups repeat in it."""
+    texts = ["x@" + "a." * labels + "com", "bos@" + "ab." * labels + "com", "x@a" + "-a" * labels + ".com",
+             "x@" + "a" * labels + ".com", "a." * labels + "b@mail.example.com", "GB82" + " WEST" * labels,
+             "+1 " + "415 " * labels, "1.2." * labels, "12-" * labels, "x@a" * labels, "(415) " * labels]
+    got = _one(spark, *texts)
+    assert got[0] == (texts[0], [])  # no label of two letters within the length of a name
+    name, domain = got[1][0].split("@", 1)
+    assert domain == texts[1].split("@", 1)[1] and len(name) == 3 and [k for k, _ in got[1][1]] == ["email"]
+    assert got[1][1][0][1] == name + "@" + "ab." * 126 + "ab"
+    assert [len(g[0]) for g in got] == list(map(len, texts))
+    assert got[5] == (texts[5], [])
+
+
+def test_domains_of_usual_length(spark):
+    hosts = ("x.example.com", "a.de", "x" * 63 + ".org", "a-b.c--d.example.museum", ".".join(["label"] * 40) + ".com",
+             "1.2.3.io")
+    got = _one(spark, *[f"to bos.t42@{host}, or not" for host in hosts])
+    for host, (after, found) in zip(hosts, got):
+        assert found == [("email", after[3:-8])] and after.endswith(f"@{host}, or not")
+    assert len({found[0][1].split("@")[0] for _, found in got}) == 1
+
+
 def test_odd_rows(spark):
     rows = H.odd_texts()
     got = pii.pseudonymise(H.docs(spark, rows, clash=True), KEY).collect()
