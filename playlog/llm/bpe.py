@@ -14,6 +14,11 @@ same rows in the same order, so pass a stored table (files, or a
 checkpoint). A block is named by a digest of its words, so a reading that
 differs finds no words and stops the job instead of mixing up ids.
 
+Which characters are letters, numbers or white space depends on the Unicode
+version of whoever splits. The code points on which the splitter here and that
+of the tiktoken library differ are found by comparing the two over all code
+points; a piece that holds one is a word as a whole, and the library splits it.
+
 Decoding joins each id to the token-byte table (as many rows as the rank file
 has; it is sent to every task and joined there inside each id array).
 
@@ -29,6 +34,7 @@ import hashlib
 import re
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,25 +57,44 @@ def read_ranks(spark: SparkSession, rank_file: str) -> dict[bytes, int]:
 
 
 _DIGEST = 8
+KNOWN = 1 << 20  # words of a bucket that a task remembers at once; beyond it a word may be encoded again
+
+
+@lru_cache(8)
+def unlike(pattern: str) -> tuple[str, str]:
+    """Code points that the tiktoken library counts to other classes of the
+    pattern than ``regex`` does: to white space, or to others."""
+    import tiktoken
+
+    def members(kind: str) -> str:
+        # an encoding that knows single bytes and drops what its pattern does not match
+        only = tiktoken.Encoding("class", pat_str=f"{kind}+", mergeable_ranks={bytes([b]): b for b in range(256)},
+                                 special_tokens={})
+        return bytes(only.encode_ordinary(C.every_character())).decode()
+
+    return C.differing(pattern, members)
 
 
 class _Words:
-    """Pre-tokens of the texts of one block, numbered by first use."""
+    """Pre-tokens of the texts of one block, numbered by first use. Pieces that
+    hold a character of ``apart`` stay whole, and so do texts with one of ``spaces``."""
 
-    def __init__(self, find, longest: int = 64):
+    def __init__(self, find, spaces: str = "", apart: str = "", longest: int = 64):
         self.find, self.longest = find, longest
+        self.spaces, self.apart = C.any_of(spaces), C.any_of(apart + spaces)
         self.number: dict[str, int] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _codes(self, text: str) -> bytes:
         number = self.number
-        return array("I", [number.setdefault(w, len(number)) for w in self.find(text)]).tobytes()
+        found = [text] if not text.isascii() and self.apart(text) else self.find(text)
+        return array("I", [number.setdefault(w, len(number)) for w in found]).tobytes()
 
     def text(self, t: str) -> bytes:
         """The word numbers of a text in order, 32 bits each."""
         if not t:
             return b""
-        if _UNSAFE.search(t):
+        if _UNSAFE.search(t) or (not t.isascii() and self.spaces(t)):
             return self._codes(t)
         head, *rest = t.split(" ")
         out, pieces = [self._codes(head)], self.pieces
@@ -112,15 +137,17 @@ def _unpack(data: bytes) -> tuple[np.ndarray, bytes]:
 def _blocks(src: DataFrame, pattern: str, buckets: int, block_bytes: int, emit, schema: T.StructType) -> DataFrame:
     """``emit(block, rows, number of words of each text, word numbers, words,
     bucket of each word, digest)`` of every block. Frequent words have small
-    numbers. The block's name and the digest come from its words in order;
-    blocks with the same words share both, and their words are the same."""
+    numbers. The digest comes from the block's words in order, its name from
+    those and the keys of its rows, so that blocks of alike words, or of no
+    words, are dealt apart."""
+    spaces, apart = unlike(pattern)
 
     def run(batches):
         find = regex.compile(pattern).findall
         out = C.arrow_schema(*schema.fields)
         for batch in batches:
             for part in C.slices(batch, "body", block_bytes):
-                words = _Words(find)
+                words = _Words(find, spaces, apart)
                 texts = [words.text(b.as_py().decode("utf-8", "replace")) for b in part.column(3)]
                 codes = np.frombuffer(b"".join(texts), np.uint32)
                 names = [w.encode("utf-8", "replace") for w in words.number]
@@ -129,8 +156,9 @@ def _blocks(src: DataFrame, pattern: str, buckets: int, block_bytes: int, emit,
                 rank[order] = np.arange(len(names), dtype=np.uint32)
                 names = [names[i] for i in order]
                 bucket = np.fromiter((zlib.crc32(w) % buckets for w in names), np.uint16, len(names))
-                digest = hashlib.blake2b(_pack(names), digest_size=8 + _DIGEST).digest()
-                block, digest = int.from_bytes(digest[:8], "little", signed=True), digest[8:]
+                digest = hashlib.blake2b(_pack(names), digest_size=_DIGEST).digest()
+                rows = b"".join(part.column(k).to_numpy().tobytes() for k in (1, 2))
+                block = int.from_bytes(hashlib.blake2b(digest + rows, digest_size=8).digest(), "little", signed=True)
                 sizes = [len(t) // 4 for t in texts]
                 del words, texts
                 cols = emit(block, part, sizes, rank[codes], names, bucket, digest)
@@ -195,6 +223,8 @@ def _encoded_words(words: DataFrame, encoder: C.Shared) -> DataFrame:
                     w = body[a:b]
                     x = known.get(w)
                     if x is None:
+                        if len(known) >= KNOWN:
+                            known.clear()
                         x = known[w] = np.asarray(encode(w.decode("utf-8", "replace")), np.uint32).tobytes()
                     ids.append(x)
                     a = b

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -134,6 +136,37 @@ def lowest_share(key: Column, unit_hash: Column, counts: dict, most: int) -> Col
     return share
 
 
+@lru_cache(1)
+def every_character() -> str:
+    """All code points that a text may hold, in order."""
+    return "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+def character_classes(pattern: str) -> list[str]:
+    r"""The classes of characters that a split pattern names, or names the rest
+    of (``\p{L}``, ``\s`` ...)."""
+    found = re.findall(r"\\[pP]\{\^?\w+\}|\\[wWdDsS]", pattern)
+    return sorted({c[:2].lower() + c[2:].replace("^", "") for c in found})
+
+
+def differing(pattern: str, members: Callable[[str], str]) -> tuple[str, str]:
+    """Code points that ``regex`` counts to a class of the pattern and the other
+    splitter does not, or the reverse: of classes of white space, and of others.
+    ``members`` gives the code points of one class after the other splitter."""
+    import regex
+
+    space, other = set(), set()
+    for c in character_classes(pattern):
+        found = set(regex.findall(c, every_character())) ^ set(members(c))
+        (space if c == r"\s" else other).update(found)
+    return "".join(sorted(space)), "".join(sorted(other - space))
+
+
+def any_of(characters: str) -> Callable[[str], object]:
+    """A search for any of the characters (none: finds nothing)."""
+    return re.compile(f"[{re.escape(characters)}]" if characters else r"(?!)").search
+
+
 class Shared:
     """A broadcast value and what each worker builds from it once."""
 

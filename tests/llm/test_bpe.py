@@ -1,12 +1,15 @@
 import base64
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 
 from playlog.llm import bpe
+from playlog.llm import common as C
 from playlog.llm.queries import QUERIES
 from tests.llm import helpers as H
 
@@ -45,6 +48,42 @@ def test_blocks_of_equal_words(spark, plain):
     assert len(got) == 60 and all(bytes(r["ids"]) == ids for r in got)
 
 
+def test_code_points_as_the_library(spark, plain):
+    """Before ``'s``, a letter and a digit: all code points on which splitters differ, and every 29th."""
+    space, other = bpe.unlike(public_tokenizers.PATTERN)
+    assert not set(space) & set(other) and "a" not in space + other
+    points = sorted({*space, *other, *map(chr, (0x558, 0x58B, 0x58C, 0x88F, 0x323B0)), *C.every_character()[1::29]})
+    texts = ["\n".join(f"{c}'s {c}b1{c}2" for c in points[i:i + 500]) for i in range(0, len(points), 500)]
+    got = {r["id"]: bytes(r["ids"]) for r in bpe.encode(
+        H.docs(spark, list(enumerate(texts))), RANKS, public_tokenizers.PATTERN).collect()}
+    assert all(got[i] == np.asarray(plain.encode_ordinary(t), "<u4").tobytes() for i, t in enumerate(texts))
+
+
+def test_classes_of_a_pattern():
+    assert C.character_classes(public_tokenizers.PATTERN) == [r"\p{L}", r"\p{N}", r"\s"]
+    assert C.character_classes(r"[^\P{Lu}\d]|\W") == [r"\d", r"\p{Lu}", r"\w"]
+
+
+def test_random_texts_as_the_library(spark, plain):
+    r = random.Random(4)
+    space, other = bpe.unlike(public_tokenizers.PATTERN)
+    pool = (list("abcXYZ019 '  \n\t.,!\u00a0\u2003\u3000\x1c\x85é日本🙂ſK") + ["'s", "'ll", " the", "\u0301"]
+            + r.sample(other, min(60, len(other))) + list(space) + [chr(p) for p in (0x558, 0x58B, 0x88F, 0x323B0)])
+    rows = [(i, "".join(r.choices(pool, k=r.randint(1, 40)))) for i in range(6000)]
+    got = {x["id"]: bytes(x["ids"]) for x in bpe.encode(H.docs(spark, rows), RANKS, public_tokenizers.PATTERN).collect()}
+    wrong = [t for i, t in rows if got[i] != np.asarray(plain.encode_ordinary(t), "<u4").tobytes()]
+    assert wrong == []
+
+
+def test_a_splitter_that_differs(plain):
+    """A class of characters that only one splitter has: pieces with them stay whole."""
+    words = bpe._Words(regex.compile(public_tokenizers.PATTERN).findall, spaces="\u2003", apart="q日")
+    words.text("one two's 日's q end")
+    assert list(words.number) == ["one", " two", "'s", " 日's", " q", " end"]
+    words.text("a\u2003 b'c")
+    assert "a\u2003 b'c" in words.number
+
+
 def test_empty_and_undecodable(spark):
     assert bpe.encode(H.empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
     df = spark.createDataFrame([(bytearray(np.array([1, 60000], "<u4").tobytes()),), (None,)], "ids binary")
