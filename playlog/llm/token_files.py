@@ -31,7 +31,7 @@ import re
 import struct
 import uuid
 import zlib
-from unicodedata import category
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,11 +66,12 @@ class PieceEncoder:
     to the library's BPE model once while it is remembered: ``seen`` by the
     piece without the blank before it, ``bare`` pre-tokens without a blank.
     Texts where a cut could matter are encoded whole, and so are texts that hold
-    an added token's string. Beyond ``most`` pieces only those of the last texts
+    an added token's string, and pieces with characters that the library counts to
+    other classes (``apart``: see ``unlike``). Beyond ``most`` pieces only those of the last texts
     stay."""
 
     def __init__(self, tokenizer_file: str, pattern: str, most: int = 750_000, longest: int = 64,
-                 special_as_text: bool = True):
+                 special_as_text: bool = True, apart: tuple[str, str] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -87,6 +88,8 @@ class PieceEncoder:
         self.marks = {m: self._model(m) for m in _MARKS}
         self.find = regex.compile(pattern).findall
         self.most, self.longest, self.seen, self.bare = most, longest, {}, {}
+        spaces, others = apart or unlike(pattern)
+        self.spaces, self.apart = C.any_of(spaces), C.any_of(others + spaces)
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -110,18 +113,18 @@ class PieceEncoder:
         return found
 
     def _piece(self, text: str) -> bytes:
-        if not text.isascii() and any(map(_newer, text)):
-            return self._whole(text)  # letters of newer Unicode versions: only the library knows how it splits those
+        if not text.isascii() and self.apart(text):
+            return self._whole(text)  # characters that the library counts to other classes: only it knows how it splits
         word = self._word
         return b"".join([word(w) for w in self.find(text)])
 
     def _new(self, r: str) -> bytes:
         """Ids of a blank and a piece that is not remembered yet."""
-        if r.isalpha():  # letters alone are one pre-token with the blank
+        if r.isalpha() and (r.isascii() or not self.apart(r)):  # letters alone are one pre-token with the blank
             ids = self._model(self.blank + (r if r.isascii() else self._symbols(r)))
         else:
             mark, word = self.marks.get(r[-1:]), r[:-1]
-            if mark and word.isalpha():  # a closing mark after letters is a pre-token of its own
+            if mark and word.isalpha() and (word.isascii() or not self.apart(word)):  # a closing mark after letters is a pre-token of its own
                 ids = (self.seen.get(word) or self._new(word)) + mark
             else:
                 ids = self._piece(" " + r)
@@ -130,7 +133,7 @@ class PieceEncoder:
         return ids
 
     def _text(self, t: str) -> bytes:
-        if self.added and self.added(t):
+        if (self.added and self.added(t)) or (not t.isascii() and self.spaces(t)):
             return self._whole(t)
         pieces, get = t.split(" "), self.seen.get
         ids, unsafe, at = list(map(get, pieces)), False, 0
@@ -154,8 +157,16 @@ class PieceEncoder:
         return out
 
 
-def _newer(c: str) -> bool:
-    return c > "\u0557" and category(c) == "Cn"
+@lru_cache(8)
+def unlike(pattern: str) -> tuple[str, str]:
+    """Code points that the tokenizers library counts to other classes of the
+    pattern than ``regex`` does: to white space, or to others."""
+    from tokenizers import Regex, normalizers
+
+    def members(kind: str) -> str:
+        return normalizers.Replace(Regex(f"[^{kind}]+"), "").normalize_str(C.every_character())
+
+    return C.differing(pattern, members)
 
 
 def _file_system(uri: str):
@@ -200,9 +211,9 @@ class Shard:
         return None if i < self.nulls else self.names[i - self.nulls]
 
 
-def _encoder(settings: tuple[str, str, bool]) -> PieceEncoder:
-    file, pattern, special_as_text = settings
-    return PieceEncoder(file, pattern, special_as_text=special_as_text)
+def _encoder(settings: tuple[str, str, bool, tuple[str, str]]) -> PieceEncoder:
+    file, pattern, special_as_text, apart = settings
+    return PieceEncoder(file, pattern, special_as_text=special_as_text, apart=apart)
 
 
 def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
@@ -214,7 +225,7 @@ def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folde
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("body"))
     tie = F.xxhash64("body")
     dealt = src.withColumn("tie", tie).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    encoder = C.Shared(spark, (tokenizer_file, pattern, special_as_text), _encoder)
+    encoder = C.Shared(spark, (tokenizer_file, pattern, special_as_text, unlike(pattern)), _encoder)
     out = [C.field(n, k) for n, k in (("file", "string"), ("part", "int"), ("seq", "int"), ("n_docs", "long"),
                                       ("n_ids", "long"))]
 
@@ -253,9 +264,14 @@ def write(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, folde
             yield close()
 
     written = C.cut(dealt.mapInArrow(C.trimmed(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out)))
-    order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return written.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long")).withColumn(
-        "folder", F.lit(folder))
+    # sums within each part, then over the parts (one row a task)
+    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    parts = written.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    parts = parts.select("part", F.sum("ids").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
+    base = F.coalesce("earlier", F.lit(0)) + F.coalesce(F.sum("n_ids").over(before), F.lit(0))
+    return (written.join(parts, "part").withColumn("base", base.cast("long")).drop("earlier")
+            .select("file", "part", "seq", "n_docs", "n_ids", "base").withColumn("folder", F.lit(folder)))
 
 
 def read(spark: SparkSession, manifest: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
