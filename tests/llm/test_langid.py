@@ -21,26 +21,55 @@ def test_predicts_and_rejects(spark):
     assert got[1]["k1"] == "clash"  # other columns pass
 
 
-def test_narrow_margin_is_rejected_only_for_long_texts(spark):
+def test_ties_are_rejected_at_every_length(spark):
     same = langid.normalise("the and with this that " * 40)
-    model = langid.LanguageModel({"a": same, "b": same})
-    got = {r["doc_id"]: r["lang_rejected"] for r in langid.predict(
-        docs(spark, [(1, "qwerty asdf"), (2, "some words " * 60)]), model).collect()}
-    assert got == {1: False, 2: True}
-    # an exact tie goes to the first, the language with more labelled documents
-    assert langid._Coder(model).predict("some words")[0] == "a"
+    tie = langid._Coder(langid.LanguageModel({"a": same, "b": same}))
+    for n in (1, 2, 20, 200, 2000, 20_000):
+        lang, _, margin, rejected = tie.predict(("some words " * n)[:n])
+        assert (lang, margin, rejected) == ("a", 0.0, True)  # the language with more labelled documents
+    got = langid.predict(docs(spark, [(1, "q"), (2, "some words " * 60)]), tie.model).collect()
+    assert all(r["lang_rejected"] for r in got)
 
 
-def test_ties_of_short_texts_are_rejected(spark):
+def test_unknown_languages_are_rejected_or_apart():
     coder = langid._Coder(_learned())
-    finnish = "kissa nukkuu sohvalla kun sade putoaa hiljaa kaupungin ylle"
-    for text in (finnish, "今天天气很好我们一起去公园散步看花吃饭", "zyx wvu " * 20):
-        assert 32 <= len(langid.normalise(text)) < 256
+    for text in ("kissa nukkuu sohvalla kun sade putoaa hiljaa kaupungin ylle", "今天天气很好我们一起去公园散步看花吃饭",
+                 "zyx wvu " * 20):
         _, _, margin, rejected = coder.predict(text)
         assert margin >= 0.002 or rejected
-    same = langid.normalise("the and with this that " * 40)
-    tie = langid._Coder(langid.LanguageModel({"a": same, "b": same}))
-    assert all(tie.predict("some words " * n)[3] for n in (3, 10, 23, 60))
+
+
+def test_views_tell_short_texts_apart():
+    """Where whole sizes tie, the means over the text's word starts may not."""
+    coder = langid._Coder(_learned())
+    sizes = coder.mean_sizes(b"one two three")
+    every = [coder.sizes(b, coder.model.strong_level) for b in (b"one two three", b"two three", b"three")]
+    assert sizes == [sum(x) / 3 for x in zip(*every)]
+    few = langid._Coder(langid.LanguageModel(coder.model.dictionaries, views=2))
+    assert few.mean_sizes(b"one two three") == [sum(x) / 2 for x in zip(*every[:2])]
+
+
+def test_texts_without_a_letter_are_und(spark):
+    rows = list(enumerate(["½", "² ①", "Ⅷ", "१२३", "\u0301\u0301", "12 ½ _ --", "🙂", " \t"]))
+    got = langid.predict(docs(spark, rows), _learned()).collect()
+    assert [(r["lang_pred"], r["lang_score"], r["lang_rejected"]) for r in got] == [("und", 0.0, True)] * len(rows)
+    # numbers of any kind are no letters, marks stay with theirs
+    assert langid.normalise("Abc² हिन्दी Ⅷ é_e\u0301 x1y") == "abc हिन्दी é e\u0301 x y".encode()
+
+
+def test_every_sampled_document_teaches(spark):
+    """Passages lie at hashed places and share the dictionary evenly."""
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{'abcdefghij'[j % 10]}x{'klmnop'[j % 6]}"
+                         for j in range(900))) for i in range(600)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    content = langid.fit(docs(spark, rows), dict_bytes=20_000, sample_docs=100).dictionaries["en"]
+    assert 15_000 < len(content) <= 20_000
+    stems = {w[:2] for w in content.split() if len(w) == 5}
+    assert len(stems) > 80
+    opening = {t[:40].encode() for _, t in rows}
+    assert sum(o in content for o in opening) < 10  # texts don't teach by their beginnings
+    few = langid.fit(docs(spark, rows[:3]), dict_bytes=9000).dictionaries["en"]
+    assert 6000 < len(few) <= 9000  # fewer documents, longer passages
 
 
 def test_matches_plain_compression(spark):
