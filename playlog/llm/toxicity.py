@@ -63,30 +63,31 @@ class ToxicityModel:
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
            per_class: int = 4000, chars: int = 6_000_000) -> list[tuple[str, int]]:
-    """Labelled documents to learn from: of each class the ``per_class``
-    smallest id hashes that are not held out, as long as their whole texts
-    together keep within ``chars`` characters."""
-    ids = docs.filter(F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("i"), F.length(text).alias("n"))
+    """Labelled documents to learn from: of each class the ``per_class`` rows of
+    smallest hash that are not held out, as long as their whole texts together
+    keep within ``chars`` characters. Rows alike in id and text are one; an id
+    with many texts counts by its rows, so both bounds hold for what is collected."""
+    keys = C.row_keys(id_col, text)
+    rows = docs.filter(F.col(text).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("i"), *keys, F.length(text).alias("n")).distinct()
     known = labels.filter(F.col(label).isNotNull() & ~C.held_out(id_col) & F.col(id_col).isNotNull()).groupBy(
-        F.col(id_col).alias("i")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    first = Window.partitionBy("y").orderBy("h", "i", "n")
-    counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect() if r["y"] in (0, 1)}
-    few = known.withColumn("h", F.xxhash64("i")).filter(
-        C.lowest_share(F.col("y"), F.col("h"), counts, per_class))
-    rows = (ids.join(few, "i")
-            .withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_class).collect())
+        F.col(id_col).alias("i")).agg(F.max(F.col(label).cast("int")).alias("y")).filter("y in (0, 1)")
+    taught = rows.join(known, "i").withColumn("h", F.xxhash64("i", "k1", "k2"))
+    counts = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
+    few = taught.filter(C.lowest_share(F.col("y"), F.col("h"), counts, per_class))
+    first = Window.partitionBy("y").orderBy("h", "k1", "k2")
+    few = few.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_class).collect()
     chosen, size = {}, {0: 0, 1: 0}
-    for r in sorted(rows, key=lambda r: (r["y"], r["k"])):
+    for r in sorted(few, key=lambda r: (r["y"], r["k"])):
         if size[r["y"]] + r["n"] <= chars:
             size[r["y"]] += r["n"]
-            chosen[r["i"]] = r["y"]
+            chosen[r["k1"], r["k2"]] = r["y"]
     if not chosen:
         return []
-    small = docs.sparkSession.createDataFrame([(i,) for i in chosen], docs.select(F.col(id_col).alias("i")).schema)
-    got = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t")).join(
-        F.broadcast(small), "i").filter(F.col("t").isNotNull()).collect()
-    return [(r["t"], chosen[r["i"]]) for r in sorted(got, key=lambda r: (r["i"], r["t"]))]
+    small = docs.sparkSession.createDataFrame([(*k, y) for k, y in chosen.items()], "k1 long, k2 long, y int")
+    got = docs.select(*keys, F.col(text).alias("t")).join(F.broadcast(small), ["k1", "k2"]).groupBy("k1", "k2").agg(
+        F.first("t").alias("t"), F.first("y").alias("y")).collect()
+    return [(r["t"], r["y"]) for r in sorted(got, key=lambda r: (r["k1"], r["k2"]))]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",

@@ -57,6 +57,23 @@ def test_only_rows_that_may_teach_do(spark):
     assert sum(len(t) for t, y in few if y == 0) <= 2000 and sum(y for _, y in few) <= 10
 
 
+def test_sample_is_bounded_by_rows(spark):
+    """One id in 30,000 rows, alike or not, brings no more than the bounds say."""
+    base = _corpus(300)
+    may = next(i for i, _, _ in base if zlib.crc32(str(i).encode()) % 3 != 1 and i % 5)
+    labels = spark.createDataFrame([(i, y) for i, _, y in base], "doc_id long, toxic int")
+    few = H.docs(spark, [(i, t) for i, t, _ in base])
+    for text in ("concat('some text ', id)", "'the same text'"):
+        hot = spark.range(30_000).selectExpr(f"{may}L as doc_id", f"{text} as text", "'en' as lang", "'s' as source",
+                                             "1L as n_chars")
+        got = X.sample(few.unionByName(hot.selectExpr("*").select(*few.columns)), labels, per_class=100, chars=5000)
+        for y in (0, 1):
+            assert 0 < sum(k == y for _, k in got) <= 100 and sum(len(t) for t, k in got if k == y) <= 5000
+        assert len(set(got)) == len(got)
+    again = X.sample(few.repartition(7), labels, per_class=100, chars=5000)
+    assert sorted(again) == sorted(X.sample(few, labels, per_class=100, chars=5000))
+
+
 def test_empty(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = X.fit(H.empty(spark), labels)
