@@ -59,15 +59,14 @@ def test_texts_without_a_letter_are_und(spark):
 
 def test_every_sampled_document_teaches(spark):
     """Passages lie at hashed places and share the dictionary evenly."""
-    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{'abcdefghij'[j % 10]}x{'klmnop'[j % 6]}"
+    rows = [(i, "zzqq opening " + " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{'abcdefghij'[j % 10]}x{'klmnop'[j % 6]}"
                          for j in range(900))) for i in range(600)]
     rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
     content = langid.fit(docs(spark, rows), dict_bytes=20_000, sample_docs=100).dictionaries["en"]
     assert 15_000 < len(content) <= 20_000
     stems = {w[:2] for w in content.split() if len(w) == 5}
     assert len(stems) > 80
-    opening = {t[:40].encode() for _, t in rows}
-    assert sum(o in content for o in opening) < 10  # texts don't teach by their beginnings
+    assert content.count(b"zzqq") < 15  # texts don't teach by their beginnings
     few = langid.fit(docs(spark, rows[:3]), dict_bytes=9000).dictionaries["en"]
     assert 6000 < len(few) <= 9000  # fewer documents, longer passages
 
