@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by multi-index hashing.
 
 Vectors get binary codes from a learned rotation (principal axes, then the
-rotation that loses least by taking signs). A code is cut into ``parts``
-substrings and each substring has its own index. By the pigeonhole principle
+rotation that loses least by taking signs). A code is cut into substrings and
+each substring has its own index; how many follows from the rows and the learned
+radius (long substrings where few bits differ, short ones where many do). By the pigeonhole principle
 a code within Hamming radius r of the query's agrees with it in some substring
 up to r // parts bits, so probing every substring value that close retrieves
 every code within the radius. Retrieved rows are checked on the whole code and
@@ -18,14 +19,17 @@ again over all rows of one index.
 Results for odd input: vectors that are null, zero, of another length than
 most, or hold null or non-finite components take no part. Rows with the
 query's own id are not its neighbours; an id that occurs in several rows
-counts once, by its nearest. Ties go to the smaller id. An empty table gives
-an empty result; with fewer than k other rows all are returned.
+counts once, by its nearest; an id that asks in several rows has the nearest
+of any of them. Ties go to the smaller id. Distances of components beyond about
+1e154 are infinite. An empty table gives an empty result; with fewer than k
+other rows all are returned.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,16 @@ class Codes:
     def width(self) -> int:
         return self.bits // self.parts
 
+    @property
+    def near(self) -> int:
+        """Bits that may differ in a substring that is probed."""
+        return self.radius // self.parts
+
+    def retrieves(self, query: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """For each code the number of substrings by which the query's probes meet it."""
+        differ = np.unpackbits(query ^ code, axis=1).reshape(len(code), self.parts, self.width)
+        return (differ.sum(axis=2) <= self.near).sum(axis=1)
+
     def of(self, x: np.ndarray) -> np.ndarray:
         """Codes as (rows, bits / 8) bytes."""
         return np.packbits((x - self.mean) @ self.axes > 0, axis=1)
@@ -81,9 +95,31 @@ def _itq(x: np.ndarray, bits: int, rng: np.random.Generator, rounds: int = 40) -
     return p @ r
 
 
-def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int = 8, sample: int = 4000, target: float = 0.97,
-        seed: int = 7) -> Codes | None:
-    """Learn from the ``sample`` rows (id, vec) of smallest id hash.
+# Substrings that a code of 64 bits may be cut into; a probe costs about as much as this many meetings.
+PARTS = (4, 8, 16)
+PROBE = 4.0
+
+
+def _cut(codes: Codes, code: np.ndarray, n: int, choices: tuple[int, ...]) -> Codes:
+    """The cut with the least work a query, by probes and by what they meet among
+    the sample's codes, carried on to ``n`` rows. Every radius up to the next
+    multiple of the parts costs the same probes, so the radius goes up to it."""
+    best = None
+    for parts in choices:
+        radius = min(codes.bits, (codes.radius // parts + 1) * parts - 1)
+        c = replace(codes, parts=parts, radius=radius)
+        probes = parts * sum(comb(c.width, i) for i in range(c.near + 1))
+        met = np.mean([c.retrieves(q[None], code).sum() for q in code[:64]]) / len(code) * n
+        work = PROBE * probes + met
+        if best is None or work < best[0]:
+            best = work, c
+    return best[1]
+
+
+def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int | None = None, sample: int = 4000,
+        target: float = 0.97, seed: int = 7) -> Codes | None:
+    """Learn from the ``sample`` rows (id, vec) of smallest id hash; ``parts``
+    fixes the number of substrings, which else follows from the rows and the radius.
 
     The radius is the smallest at which ``target`` of the sample's true k
     nearest pairs lie within it. Neighbours in a sample are farther than in the
@@ -95,7 +131,7 @@ def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int = 8, sample: in
     mean, rng, axes = x.mean(axis=0), np.random.default_rng(seed), []
     while sum(a.shape[1] for a in axes) < bits:
         axes.append(_itq(x - mean, min(x.shape[1], bits - sum(a.shape[1] for a in axes)), rng))
-    first = Codes(mean, np.concatenate(axes, axis=1), bits, parts)
+    first = Codes(mean, np.concatenate(axes, axis=1), bits, parts or 8)
     code = first.of(x)
     far = []
     for i in range(min(len(x), 1000)):
@@ -105,8 +141,8 @@ def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int = 8, sample: in
         far.append(np.bitwise_count(code[near] ^ code[i]).sum(axis=1, dtype=np.int64))
     far = np.sort(np.concatenate(far)) if len(x) > 1 else np.array([bits])
     radius = int(far[min(len(far) - 1, int(np.ceil(target * len(far))) - 1)])
-    # every radius up to the next multiple costs the same probes
-    return Codes(mean, first.axes, min(bits, (radius // parts + 1) * parts - 1), parts)
+    choices = (parts,) if parts else tuple(p for p in PARTS if bits % p == 0 and bits // p <= 16)
+    return _cut(replace(first, radius=radius), code, rows.count(), choices)
 
 
 _ROW = [("part", "int"), ("value", "int"), ("salt", "int"), ("kind", "int"), ("id", "long"), ("code", "binary"),
@@ -141,7 +177,7 @@ def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> Dat
         if not batch.num_rows:
             return
         c, n_salts = codes.get(), salts.get()
-        reach = range(c.radius // c.parts + 1) if kind == 1 else range(c.width + 1) if kind == 2 else range(1)
+        reach = range(c.near + 1) if kind == 1 else range(c.width + 1) if kind == 2 else range(1)
         flips = np.array([sum(1 << b for b in f) for n in reach for f in combinations(range(c.width), n)])
         for at in range(0, batch.num_rows, 256):
             few = batch.slice(at, 256)
@@ -187,7 +223,7 @@ class _Bucket:
 
     def search(self, ids, code, vec, q_ids, q_code, q_vec):
         """(query ids, row ids, distances), at most k ids a query, each by its nearest row."""
-        c, near, out = self.codes, self.codes.radius // self.codes.parts, []
+        c, near, out = self.codes, self.codes.near, []
         for at in range(0, len(ids), 4096):
             some = slice(at, at + 4096)
             differ = q_code[:, None, :] ^ code[None, some, :]
@@ -269,7 +305,7 @@ def _search(index: DataFrame, probes: DataFrame, codes: C.Shared, everything: bo
 
 
 def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-               bits: int = 64, parts: int = 8, bucket: int = 8192, **learning) -> DataFrame:
+               bits: int = 64, parts: int | None = None, bucket: int = 8192, **learning) -> DataFrame:
     """query_id, rank (from 1), id, distance: for each row where ``queries``
     holds, the k nearest found among all other rows."""
     spark = vectors.sparkSession
@@ -286,11 +322,11 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     if model is None:
         return empty
     codes = C.Shared(spark, model)
-    whole = C.Shared(spark, np.ones((parts, 1 << model.width), np.int64))
+    whole = C.Shared(spark, np.ones((model.parts, 1 << model.width), np.int64))
     index = _spread(rows, codes, whole, 0)
-    # one number for each bucket: at most parts x 2 ** width
+    # one number for each bucket: at most parts x 2 ** width, 262,144
     sizes = index.groupBy("part", "value").count().collect()
-    split = np.ones((parts, 1 << model.width), np.int64)
+    split = np.ones((model.parts, 1 << model.width), np.int64)
     for r in sizes:
         split[r["part"], r["value"]] = -(-r["count"] // bucket)
     salts = C.Shared(spark, split)

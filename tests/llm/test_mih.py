@@ -48,6 +48,46 @@ def test_every_code_within_the_radius_is_retrieved(spark):
     assert len(got) == 399  # the rest by the wider search
 
 
+def _shares(spark, x, queries=100):
+    """(share of the rows that a query's probes retrieve, recall, meetings a row and query), over all rows."""
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, vec array<double>")
+    model = mih.fit(rows)
+    code, every = model.of(x), np.arange(len(x))
+    share, met, hit = [], [], []
+    for q in range(0, len(x), len(x) // queries):
+        times = model.retrieves(code[q:q + 1], code)
+        inside = (times > 0) & (np.bitwise_count(code[q:q + 1] ^ code).sum(axis=1, dtype=int) <= model.radius)
+        share.append((times > 0).mean())
+        met.append(times.mean())
+        want, _ = _plain(every, x, q)
+        hit.append(inside[want].mean())
+    return model, np.mean(share), np.mean(hit), np.mean(met)
+
+
+def test_index_prunes_clustered_vectors(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 48))
+    x = np.concatenate([c + 0.35 * rng.normal(size=(100, 48)) for c in centre])
+    model, share, recall, met = _shares(spark, x)
+    assert recall >= 0.9 and share < 0.2 and met < 0.3, (model.parts, model.radius, share, recall, met)
+
+
+def test_uniform_vectors_keep_their_recall(spark):
+    """Vectors without clusters: the radius is wide, and most rows are met whatever the cut."""
+    x = np.random.default_rng(5).normal(size=(3000, 48))
+    model, share, recall, met = _shares(spark, x, 50)
+    assert recall >= 0.9 and model.radius > 20
+
+
+def test_parts_follow_the_radius(spark):
+    rng = np.random.default_rng(3)
+    code = np.packbits(rng.integers(0, 2, (2000, 64)) > 0, axis=1)
+    base = mih.Codes(np.zeros(64), np.eye(64), 0, 8)
+    chosen = [mih._cut(mih.replace(base, radius=r), code, 10 ** 7, mih.PARTS) for r in (3, 8, 30)]
+    assert chosen[0].parts == 4 and all(c.radius % c.parts == c.parts - 1 for c in chosen)
+    assert all(c.near == r // c.parts for c, r in zip(chosen, (3, 8, 30)))
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0, 4.0]
     rows = [(0, v), (1, v), (2, v), (3, None), (4, [0.0] * 4), (5, [1.0, None, 3.0, 4.0]), (6, [float("nan")] * 4),
