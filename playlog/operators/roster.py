@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlog.functions import scalars as S
-from playlog.operators.joins import lookup_join
+from playlog.operators.joins import lookup_join, salted_lookup_join
 
 
 def reduce_roster(roster: DataFrame) -> DataFrame:
@@ -14,15 +14,19 @@ def reduce_roster(roster: DataFrame) -> DataFrame:
     return roster.groupBy("name", "team").agg(F.max_by("true_name", "ord").alias("true_name"))
 
 
-def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bool = False) -> DataFrame:
+def resolve_players(events: DataFrame, roster: DataFrame, include_unresolved: bool = False,
+                    salt_hot: bool = False) -> DataFrame:
     """JN-4: add ``player`` by (name_token, team); unresolved -> NULL.
 
     An empty true name counts as unresolved. ``include_unresolved=True``
     keeps unresolved events as player ``''`` (the source's blank bucket).
+    ``salt_hot=True`` finds names that hold a large share of the events by a
+    sketch (one pass) and deals them over salts, for plans without AQE.
     """
     lookup = reduce_roster(roster).select(
         F.col("name").alias("name_token"), "team", F.col("true_name").alias("_pl_true_name"))
-    joined = lookup_join(events, lookup, ["name_token", "team"])
+    join = salted_lookup_join if salt_hot else lookup_join
+    joined = join(events, lookup, ["name_token", "team"])
     player = F.nullif(F.col("_pl_true_name"), F.lit(""))
     if include_unresolved:
         player = F.coalesce(player, F.lit(""))
@@ -39,7 +43,8 @@ def resolution_status(events: DataFrame) -> DataFrame:
     )
 
 
-def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool = False) -> DataFrame:
+def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool = False,
+                      salt_hot: bool = False) -> DataFrame:
     """Q-10 / JN-5 / FN-9: replace the short name in each line by the full name.
 
     ``parsed`` is :func:`parse_log` output. Every roster match gives one output
@@ -49,14 +54,15 @@ def rewrite_log_names(parsed: DataFrame, roster: DataFrame, literal_token: bool
     Default: the text as written (``'O. Brien'``) is replaced, searching only
     after the ``'] '`` prefix. ``literal_token=True`` reproduces the source:
     the glued token (``'O.Brien'``) is searched in the whole line, so dotted
-    names stay unchanged (but still count as rewritten).
+    names stay unchanged (but still count as rewritten). ``salt_hot``: as in
+    :func:`resolve_players`.
 
     Columns: value (the output line), status (rewritten, unmatched, no_token,
     malformed), team.
     """
     lookup = roster.select(F.col("name").alias("name_token"), "team", F.col("true_name").alias("_pl_true_name"))
-    joined = lookup_join(parsed.select("value", "entry", "team", "name_token", "name_text"),
-                         lookup, ["name_token", "team"])
+    join = salted_lookup_join if salt_hot else lookup_join
+    joined = join(parsed.select("value", "entry", "team", "name_token", "name_text"), lookup, ["name_token", "team"])
     new_name = S.remove_first_space(F.col("_pl_true_name"))
     if literal_token:
         rewritten = S.replace_first(F.col("value"), F.col("name_token"), new_name)

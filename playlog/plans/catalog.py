@@ -15,9 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlog import schemas
 from playlog.functions import scalars as S
 from playlog.operators import appends
 from playlog.operators import metrics as M
+from playlog.operators import needles
 from playlog.operators.ingest import ingest
 from playlog.operators import trends as T
 from playlog.operators.matches import (
@@ -28,10 +30,13 @@ from playlog.operators.roster import (
     resolution_status, resolve_players, rewrite_audit, rewrite_log_names, roster_coverage)
 from playlog.operators.segments import (
     build_marked_matches, log_audit, marked_match_ids, marked_scores, segment_matches)
+from playlog.operators.similar import similar_names
 from playlog.plans import queries as Q
 from playlog.session import ensure_checkpoint_dir, folder_state, path_exists, table_path
 from playlog.sources import adapters as A
 from playlog.sources import io
+from playlog.sources import json_array
+from playlog.streaming import documents as D
 
 # The supplied tables never reach the source's 300 attempts; the registered
 # shooting-ratio queries use this threshold instead.
@@ -171,11 +176,23 @@ def resolve_players_last_wins(spark, sf_dir):
     return ev.where(F.col("name_token").isNotNull()).groupBy("team", "name_token", "player").agg(_count())
 
 
+def resolve_players_salted(spark, sf_dir):
+    """JN-4 with the names that hold most events dealt over salts."""
+    ev = resolve_players(events_a(spark, sf_dir).drop("player"), _messy_roster_a(spark, sf_dir), salt_hot=True)
+    return ev.where(F.col("name_token").isNotNull()).groupBy("team", "name_token", "player").agg(_count())
+
+
 def roster_coverage_fallback(spark, sf_dir):
     """Q-11 with the normalised second match for pairs the exact key misses."""
     return roster_coverage(events_a(spark, sf_dir), _messy_roster_a(spark, sf_dir), fallback=True)
 
 
+def approximate_names(spark, sf_dir):
+    """JN-6: names that the careless roster lacks, with the nearest names of their team."""
+    pairs = roster_coverage(events_a(spark, sf_dir), _messy_roster_a(spark, sf_dir)).filter("not matched")
+    return similar_names(pairs, _messy_roster_a(spark, sf_dir)).drop("similar_names")
+
+
 def _rewritten_a(spark, sf_dir):
     return rewrite_log_names(parsed_a(spark, sf_dir), A.corpus_a_roster(spark, sf_dir))
 
@@ -475,6 +492,13 @@ def flatten_matches_q(spark, sf_dir):
                        F.col("scoreAway").alias("score_away"), F.col("playerName").alias("player"))
 
 
+def json_array_documents(spark, sf_dir):
+    """SNK-2/SRC-1: documents written as one JSON array by several tasks, read back in splits."""
+    path = _stored(spark, sf_dir, "matches_b_array", lambda p: json_array.write_array(
+        _stored_docs_b(spark, sf_dir, "parquet"), p, ["id_match", "part"], ORDERED_FILES))
+    return _report_rows(json_array.read_array(spark, path, schemas.MATCH))
+
+
 def points_from_documents(spark, sf_dir):
     """The reports' input as the source reads it: match documents from a
     stored collection (Parquet in the shared folder), flattened, then AGG-2."""
@@ -568,13 +592,40 @@ def log_audit_q(spark, sf_dir):
     return log_audit(segment_matches(_recorded(spark, sf_dir)))
 
 
+def stream_documents(spark, sf_dir):
+    """SNK-1 as the log arrives: the recorded log as a stream, its documents published
+    batch by batch; the last match is still open when the log ends."""
+    def build(path):
+        _recorded(spark, sf_dir)  # writes the log
+        log = _stored(spark, sf_dir, "log_c", lambda p: _in_order(A.corpus_b_recorded_log(spark, sf_dir), p))
+        docs = D.live_documents(D.read_feeds(spark, log), A.corpus_b_roster(spark, sf_dir), DOCUMENT_EVENTS)
+        q = D.write_documents(docs, f"{path}-table", f"{path}-checkpoint", available_now=True)
+        q.awaitTermination()
+        D.read_documents(spark, f"{path}-table").write.mode("overwrite").parquet(path)
+
+    docs = spark.read.parquet(_stored(spark, sf_dir, "stream_documents", build))
+    return _report_rows(docs.filter("kind = 'match'"))
+
+
 # --- other tables ------------------------------------------------------------------
 
-def count_lines_containing(spark, sf_dir):
-    """Q-12 over the lines of all document texts, as a text file (SRC-4)."""
+def _document_lines(spark, sf_dir):
+    """The lines of all document texts, as a text file (SRC-4)."""
     path = _stored(spark, sf_dir, "document_lines", lambda p: spark.read.parquet(table_path(sf_dir, "documents"))
                    .select(F.col("text").alias("value")).write.mode("overwrite").text(p))
-    return Q.count_lines_containing(io.read_text(spark, path, cache=False), NEEDLES)
+    return io.read_text(spark, path, cache=False)
+
+
+def count_lines_containing(spark, sf_dir):
+    """Q-12 over the lines of all document texts."""
+    return Q.count_lines_containing(_document_lines(spark, sf_dir), NEEDLES)
+
+
+def count_lines_many(spark, sf_dir):
+    """Q-12 for many needles at once: every word of the benchmark items."""
+    items = spark.read.parquet(table_path(sf_dir, "benchmark"))
+    words = items.select(F.explode(F.split("text", " ")).alias("needle")).filter("needle <> ''")
+    return needles.count_lines(_document_lines(spark, sf_dir), words)
 
 
 def generic_top_n(spark, sf_dir):
@@ -590,6 +641,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "point_value": point_value,
     "resolve_players": resolve_players_q,
     "resolve_players_last_wins": resolve_players_last_wins,
+    "resolve_players_salted": resolve_players_salted,
     "roster_coverage": roster_coverage_q,
     "roster_coverage_fallback": roster_coverage_fallback,
     "rewrite_log_names": rewrite_log_names_q,
@@ -649,8 +701,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_quarter_points": incremental_quarter_points,
     "segment_matches": segment_matches_q,
     "match_ids_by_marks": match_ids_by_marks,
+    "stream_documents": stream_documents,
     "carried_scores": carried_scores,
     "log_audit": log_audit_q,
+    "json_array_documents": json_array_documents,
+    "approximate_names": approximate_names,
     "count_lines_containing": count_lines_containing,
+    "count_lines_many": count_lines_many,
     "generic_top_n": generic_top_n,
 }

@@ -578,6 +578,8 @@ FROM b0 WHERE pts > 0 GROUP BY 1, 2, 3""",
 
     "segment_matches": _report_rows(10_000, _REC_JOIN, "m.seq", (_B, _REC)),
 
+    "stream_documents": _report_rows(10_000, _REC_JOIN + " WHERE m.seq < (SELECT max(seq) FROM m)", "m.seq", (_B, _REC)),
+
     "match_ids_by_marks": _with(_B, _REC) + """
 SELECT 6545 + seq AS id_match, mgame AS game_id, substr(mgame, 1, 8) AS date, substr(mgame, 9, 3) AS home,
   substr(mgame, 12, 3) AS away
@@ -605,6 +607,39 @@ SELECT 'a' AS needle, count(*) FILTER (WHERE contains(line, 'a')) AS n FROM l
 UNION ALL
 SELECT 'b' AS needle, count(*) FILTER (WHERE contains(line, 'b')) AS n FROM l""",
 
+    "count_lines_many": """
+WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+w AS (SELECT DISTINCT needle FROM (SELECT unnest(string_split(text, ' ')) AS needle FROM benchmark) WHERE needle <> '')
+SELECT needle, (SELECT count(*) FROM l WHERE contains(l.line, w.needle)) AS n FROM w""",
+
+    "json_array_documents": _report_rows(10_000),
+
+    "approximate_names": _with(_A) + """,
+roster AS (
+  SELECT 'H' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS team,
+    CASE WHEN s_suppkey % 25 = 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'j-s' ELSE 's-' END
+         ELSE CASE WHEN s_suppkey % 2 = 0 THEN 'J.S' ELSE 'S' END END || CAST(s_suppkey AS VARCHAR) AS name,
+    replace(s_name, '#', ', ') || CASE WHEN s_suppkey % 10 = 0 THEN ' Jr' ELSE '' END AS true_name
+  FROM supplier
+),
+asked AS (
+  SELECT DISTINCT home AS team, name_token FROM e
+  WHERE name_token IS NOT NULL AND (home, name_token) NOT IN (SELECT (team, name) FROM roster)
+),
+near AS (
+  SELECT a.team, a.name_token, levenshtein(a.name_token, r.name) AS distance, r.true_name
+  FROM asked a JOIN roster r ON a.team = r.team
+  WHERE levenshtein(a.name_token, r.name) <= least(2, length(a.name_token) // 3)
+),
+best AS (SELECT team, name_token, min(distance) AS distance FROM near GROUP BY team, name_token),
+found AS (
+  SELECT team, name_token, distance, count(DISTINCT true_name) AS candidates, min(true_name) AS one
+  FROM near JOIN best USING (team, name_token, distance) GROUP BY team, name_token, distance
+)
+SELECT a.team, a.name_token, CAST(f.distance AS INTEGER) AS distance, CAST(coalesce(f.candidates, 0) AS INTEGER) AS candidates,
+  CASE WHEN f.candidates = 1 THEN f.one END AS similar_name
+FROM asked a LEFT JOIN found f ON a.team = f.team AND a.name_token = f.name_token""",
+
     "generic_top_n": """
 WITH per AS (
   SELECT CASE WHEN month(o_orderdate) < 8 THEN year(o_orderdate) - 1 ELSE year(o_orderdate) END AS season_start,
@@ -618,3 +653,5 @@ SELECT season, rank, custkey, total FROM (
   FROM per
 ) WHERE rank <= 3""",
 }
+
+ORACLE["resolve_players_salted"] = ORACLE["resolve_players_last_wins"]

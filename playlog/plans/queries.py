@@ -19,6 +19,7 @@ from playlog.operators import trends as T
 from playlog.operators.matches import assign_match_ids, build_matches, running_score
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players, rewrite_log_names, roster_coverage
+from playlog.operators.segments import ROW, SPLIT, build_marked_matches, marked_scores, segment_matches
 from playlog.operators.sequence import number_rows
 from playlog.sources.io import format_rows
 
@@ -202,6 +203,14 @@ def match_documents(raw_log: DataFrame, roster: DataFrame, max_events: int, id_o
     return build_matches(events, ids, max_events)
 
 
+def marked_match_documents(ordered_log: DataFrame, roster: DataFrame, max_events: int, id_offset: int = 0,
+                           carry_scores: bool = False) -> DataFrame:
+    """Q-9 as the loaders cut the log: a match from each line 1 to the next, in the
+    physical order of ``io.read_ordered_log``; scores run on over matches where asked."""
+    events = resolve_players(parse_log(ordered_log, keep=(SPLIT, ROW)), roster)
+    return build_marked_matches(marked_scores(segment_matches(events), carry_scores), max_events, id_offset)
+
+
 def rewrite_names(raw_log: DataFrame, roster: DataFrame, literal_token: bool = False) -> DataFrame:
     """Q-10: log lines with true names."""
     return rewrite_log_names(parse_log(raw_log), roster, literal_token)

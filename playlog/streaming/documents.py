@@ -32,6 +32,7 @@ from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players
 from playlog.operators.segments import FIRST_LINE
 from playlog.sources import loads as L
+from playlog.streaming.live import static_roster
 
 PLACE = ("feed", "log_split", "log_row")
 DOCUMENT = T.StructType([
@@ -140,7 +141,7 @@ def live_documents(lines: DataFrame, roster: DataFrame, max_events: int, pause:
     without it the last match of a feed stays open until the next mark.
     """
     wait = None if pause is None else int(pd.Timedelta(pause).total_seconds() * 1000)
-    events = resolve_players(parse_log(lines, keep=PLACE), roster).select(
+    events = resolve_players(parse_log(lines, keep=PLACE), static_roster(roster)).select(
         *PLACE, "line_no", "game_id", "date", "home", "away", "time_remaining", "entry", "type", "score_home_token",
         "score_away_token", "player")
 

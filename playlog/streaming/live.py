@@ -30,7 +30,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from playlog.functions.scalars import TYPE_POINT
 from playlog.operators.parse import parse_log
-from playlog.operators.roster import resolve_players
+from playlog.operators.roster import reduce_roster, resolve_players
+from playlog.session import ensure_checkpoint_dir
 
 
 def read_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,9 +42,16 @@ def read_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return reader.load(path)
 
 
+def static_roster(roster: DataFrame) -> DataFrame:
+    """The roster as every micro-batch reads it: one row a (name, team), written once
+    (the place of a line in a roster file can't be computed inside a stream)."""
+    ensure_checkpoint_dir(roster.sparkSession)
+    return reduce_roster(roster).withColumn("ord", F.lit(0)).checkpoint()
+
+
 def live_events(lines: DataFrame, roster: DataFrame) -> DataFrame:
     """Parse streamed lines and resolve players against a static roster."""
-    return resolve_players(parse_log(lines), roster)
+    return resolve_players(parse_log(lines), static_roster(roster))
 
 
 DAY_MS = 24 * 3600 * 1000

@@ -71,3 +71,40 @@ def test_cli_reports_on_documents(spark, sf_small):
     ids = spark.read.json(docs).select("id_match").distinct()
     assert ids.agg({"id_match": "min"}).first()[0] == 6546
     assert ids.agg({"id_match": "max"}).first()[0] == 2 * first - 6545
+
+
+def test_cli_marks_appends_and_needles(spark, sf_small, tmp_path):
+    base = str(tmp_path)
+    lines = A.corpus_b_recorded_log(spark, sf_small)
+    lines.repartitionByRange(3, "ord").sortWithinPartitions("ord").select("value").write.text(f"{base}/feeds/a")
+    roster = A.corpus_b_roster(spark, sf_small).selectExpr(
+        "concat_ws('\t', 'x', name, true_name, 'y', team) as value")
+    roster.coalesce(1).write.text(f"{base}/roster")
+    common = ["--log", f"{base}/feeds/a", "--roster", f"{base}/roster"]
+    _run(["build-matches", *common, "--out", f"{base}/m", "--max-events", "100", "--by-marks", "--format", "json-array"])
+    from playlog import schemas
+    from playlog.sources import json_array
+
+    docs = json_array.read_array(spark, f"{base}/m", schemas.MATCH)
+    n = docs.agg({"id_match": "max"}).first()[0]
+    twice = docs.where("home = 'T00'").groupBy("game_id").count().where("count <> 2").count()
+    assert docs.select("id_match").distinct().count() == n and twice == 0
+    top = _run(["report", "top-scorers", "--documents", f"{base}/m", "--documents-format", "json-array"])
+    for _ in range(2):  # the second is recognised
+        assert _run(["append", *common, "--table", f"{base}/t", "--name", "all", "--by-marks"]) == [
+            f"all: matches 1 to {n}"]
+    assert _run(["report", "top-scorers", "--table", f"{base}/t"]) == top
+    every = _run(["report-all", "--table", f"{base}/t", "--out", f"{base}/r", "--min-attempts", "1"])
+    assert every[1:12] == top
+    _run(["follow", "--log", f"{base}/feeds", "--roster", f"{base}/roster", "--table", f"{base}/live", "--checkpoint",
+          f"{base}/ck", "--max-events", "100000", "--available-now"])
+    from playlog.streaming.documents import read_documents
+
+    live = read_documents(spark, f"{base}/live")
+    assert live.where("kind = 'match'").count() == n - 1  # the last match is still open
+    (tmp_path / "words.txt").write_text("Missed\nTimeout\nnowhere\n")
+    counts = _run(["count", "--text", f"{base}/feeds/a", "--needles", f"{base}/words.txt"])
+    plain = _run(["count", "--text", f"{base}/feeds/a", "--needle", "Missed", "--needle", "Timeout", "--needle", "nowhere"])
+    assert sorted(counts) == sorted(plain)
+    similar = _run(["coverage", *common, "--similar", "1"])
+    assert similar == []

@@ -95,8 +95,7 @@ def _documents(docs):
     return [out[k] for k in sorted(out)], sorted(out)
 
 
-@pytest.mark.parametrize("carry", [False, True])
-@pytest.mark.parametrize("max_events", [10_000, 7])
+@pytest.mark.parametrize("carry, max_events", [(False, 10_000), (True, 7)])
 def test_as_a_line_by_line_loader(spark, tmp_path, small_splits, carry, max_events):
     lines = _log()
     events = _read(spark, tmp_path, lines, cuts=(5, 300, 301, 900))
@@ -149,7 +148,7 @@ def test_no_mark_and_empty_log(spark, tmp_path):
 
 
 def test_random_logs(spark, tmp_path, small_splits):
-    for seed in range(3):
+    for seed in range(2):
         folder = tmp_path / str(seed)
         folder.mkdir()
         r = random.Random(seed)

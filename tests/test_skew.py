@@ -120,3 +120,67 @@ def test_aqe_splits_hot_join_partition(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _half_hot(spark, n=30_000):
+    """Half of the rows under one name, the rest under 500; some without a name or a roster row."""
+    return spark.range(n).select(
+        F.col("id").alias("line_no"),
+        F.when(F.col("id") % 2 == 0, "S1").when(F.col("id") % 97 == 0, None)
+        .otherwise(F.concat(F.lit("S"), (F.col("id") % 500).cast("string"))).alias("name_token"),
+        F.when(F.col("id") % 89 == 0, None).otherwise(F.lit("H00")).alias("team"))
+
+
+def _twice_named(spark):
+    """Every name but each 25th, S1 on two lines."""
+    r = spark.range(1, 500).where("id % 25 <> 0").select(
+        F.concat(F.lit("S"), "id").alias("name"), F.concat(F.lit("Name "), "id").alias("true_name"), F.lit("H00").alias("team"),
+        F.col("id").alias("ord"))
+    return r.unionByName(r.where("name = 'S1'").withColumn("true_name", F.lit("Other")).withColumn("ord", F.lit(999).cast("long")))
+
+
+def test_hot_names_are_found(spark):
+    from playlog.operators.joins import hot_keys
+
+    hot = hot_keys(_half_hot(spark), ["name_token", "team"], 0.05)
+    assert len(hot) == 1 and "S1" in next(iter(hot)) and abs(next(iter(hot.values())) - 14_800) < 400
+    assert hot_keys(_half_hot(spark).where("name_token is null"), ["name_token", "team"]) == {}
+    assert hot_keys(_half_hot(spark).limit(0), ["name_token", "team"]) == {}
+
+
+def test_salted_join_gives_the_same_rows(spark):
+    from playlog.operators.joins import lookup_join, salted_lookup_join
+
+    events, roster = _half_hot(spark), _twice_named(spark).withColumnRenamed("name", "name_token")
+    keys = ["name_token", "team"]
+    for how in ("left", "inner"):
+        want = lookup_join(events, roster, keys, how)
+        got = salted_lookup_join(events, roster, keys, how, rows_a_salt=1000)
+        assert got.columns == want.columns and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    from playlog.operators.roster import resolve_players
+
+    plain = resolve_players(events, _twice_named(spark))
+    salted = resolve_players(events, _twice_named(spark), salt_hot=True)
+    assert salted.columns == plain.columns and salted.exceptAll(plain).count() == 0 == plain.exceptAll(salted).count()
+
+
+def test_salted_join_spreads_a_hot_name_without_aqe(spark, no_broadcast):
+    """With AQE off the largest task of the plain join holds half of the rows, of the salted one a few salts."""
+    from playlog.operators.joins import lookup_join, salted_lookup_join
+
+    events, roster = _half_hot(spark), _twice_named(spark).withColumnRenamed("name", "name_token")
+    keys = ["name_token", "team"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        with no_broadcast():
+            def largest(df):
+                assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+                return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+            first = events.select(*keys, "line_no")
+            assert largest(lookup_join(first, roster, keys)) > 14_000
+            assert largest(salted_lookup_join(first, roster, keys, rows_a_salt=300)) < 6_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
