@@ -82,26 +82,29 @@ class _Words:
     def __init__(self, find, spaces: str = "", apart: str = "", longest: int = 64):
         self.find, self.longest = find, longest
         self.spaces, self.apart = C.any_of(spaces), C.any_of(apart + spaces)
+        # no byte below this begins one of those characters, so texts of smaller bytes needn't be looked through
+        self.lead = min((c.encode()[0] for c in apart + spaces), default=256)
         self.number: dict[str, int] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _codes(self, text: str) -> bytes:
+    def _codes(self, text: str, watch: bool = True) -> bytes:
         number = self.number
-        found = [text] if not text.isascii() and self.apart(text) else self.find(text)
+        found = [text] if watch and not text.isascii() and self.apart(text) else self.find(text)
         return array("I", [number.setdefault(w, len(number)) for w in found]).tobytes()
 
     def text(self, t: str) -> bytes:
         """The word numbers of a text in order, 32 bits each."""
         if not t:
             return b""
-        if _UNSAFE.search(t) or (not t.isascii() and self.spaces(t)):
-            return self._codes(t)
+        watch = not t.isascii() and int(np.frombuffer(t.encode("utf-8", "replace"), np.uint8).max()) >= self.lead
+        if _UNSAFE.search(t) or (watch and self.spaces(t)):
+            return self._codes(t, watch)
         head, *rest = t.split(" ")
-        out, pieces = [self._codes(head)], self.pieces
+        out, pieces = [self._codes(head, watch)], self.pieces
         for r in rest:
             c = pieces.get(r)
             if c is None:
-                c = self._codes(" " + r)
+                c = self._codes(" " + r, watch)
                 if len(r) <= self.longest:
                     pieces[r] = c
             out.append(c)
