@@ -1,5 +1,7 @@
 """Physical plans: pushdown, pruning, partial aggregation, top-k, broadcast."""
 
+import re
+
 from playlog.plans import catalog as C
 
 
@@ -75,3 +77,10 @@ def test_documents_are_shuffled_once(spark, sf_small, no_broadcast):
     before_collect = txt.split("collect_list", 1)[0]
     # above the aggregation of the documents: joins, but no exchange of them
     assert "ShuffledHashJoin" in before_collect and "Exchange" not in before_collect
+
+
+def test_json_events_carry_no_document(spark, sf_small):
+    """The rows that the explode makes hold the game id, not the record they come from."""
+    txt = C.QUERIES["documents_json_round_trip"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    carried = re.search(r"Generate explode\([^)]*\), \[([^\]]*)\]", txt)[1]
+    assert re.fullmatch(r"game_id#\d+", carried), carried
