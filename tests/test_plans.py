@@ -70,6 +70,40 @@ def test_ingest_with_scores_reads_the_log_once(spark, sf_small, monkeypatch):
     assert scans == [0] and "FileScan text" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def _nodes(plan) -> list:
+    found, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+        found.append(p)
+    return found
+
+
+def test_ingest_moves_lines_not_events(spark, sf_small, monkeypatch, tmp_path):
+    """What the ingest deals by season are the lines with what they can't tell themselves, in the order of the
+    written folders; the events are those of the plain parse and join."""
+    from playlog.operators import ingest as I
+    from playlog.operators.parse import parse_log
+    from playlog.operators.roster import resolve_players
+    from playlog.sources import adapters as A
+
+    written = []
+    write = I.write_events_table
+    monkeypatch.setattr(I, "write_events_table", lambda ev, *a: (
+        written.append(ev._jdf.queryExecution().optimizedPlan()), write(ev, *a))[1])
+    odd = ["", "no tabs", "20200101H00A00\tx\t\t[H00] ", "bad\t1\t00:01:00\t[H00 1-0] Nobody Jump Shot: Made (2 PTS)"]
+    log = C.log_a(spark, sf_small).unionByName(spark.createDataFrame([(x,) for x in odd], "value string"))
+    roster = A.corpus_a_roster(spark, sf_small)
+    got = I.ingest(log, roster, f"{tmp_path}/t", rebalance=True)
+    plan, = written
+    dealt, = [n for n in _nodes(plan) if n.nodeName() == "RebalancePartitions"]
+    names = {dealt.output().apply(i).name() for i in range(dealt.output().size())}
+    assert names == {"value", "player", "season_start"}
+    assert plan.outputOrdering().apply(0).child().name() == "season_start"
+    want = resolve_players(parse_log(log), roster).select(*I.EVENT_COLUMNS)
+    assert got.count() == want.count() and got.select(want.columns).exceptAll(want).count() == 0
+
+
 def test_documents_are_shuffled_once(spark, sf_small, no_broadcast):
     """With broadcasts off, the grouped documents meet their ids where they are."""
     with no_broadcast():
