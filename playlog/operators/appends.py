@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playlog.functions import scalars as S
 from playlog.operators import metrics as M
-from playlog.operators.ingest import ORDERED_COLUMNS, events_table
-from playlog.operators.matches import assign_match_ids, running_score
+from playlog.operators.ingest import (
+    ORDERED_COLUMNS, PLACES, by_season, resolved_lines, scored_lines, typed_lines)
+from playlog.operators.matches import assign_match_ids
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players
 from playlog.operators.segments import marked_scores, segment_matches
@@ -42,17 +44,24 @@ METRIC_SCHEMA = _t(
     buzzer_events=_L, season_start=_I)
 
 
-def _by_game(raw: DataFrame, roster: DataFrame) -> DataFrame:
-    """Events with scores and ids, matches told apart by game id."""
-    scored = running_score(events_table(raw, roster))
-    return scored.join(assign_match_ids(scored).select("game_id", "id_match"), "game_id")
+def _by_game(raw: DataFrame, roster: DataFrame, aside: str) -> DataFrame:
+    """Events with scores and ids, matches told apart by game id. The resolved
+    lines are written to ``aside`` for the scores and the ids, so the raw log is
+    read once; the lines move, and become events where they are written."""
+    resolved_lines(raw, roster, keep=PLACES).write.parquet(aside)
+    lines = raw.sparkSession.read.parquet(aside)
+    game = F.col("game_id")
+    games = lines.select("game_id").distinct().select(
+        "game_id", S.game_date_text(game).alias("date"), S.game_home(game).alias("home"), S.game_away(game).alias("away"))
+    numbered = scored_lines(lines).join(assign_match_ids(games).select("game_id", "id_match"), "game_id")
+    return typed_lines(by_season(numbered), ["id_match", *ORDERED_COLUMNS])
 
 
 def _by_mark(raw: DataFrame, roster: DataFrame) -> DataFrame:
     """Events with scores and ids, matches told apart by their start marks."""
     parsed = parse_log(raw, keep=("log_split", "log_row"))
     scored = marked_scores(segment_matches(resolve_players(parsed, roster)))
-    return scored.filter("match_seq > 0").withColumn("id_match", F.col("match_seq"))
+    return scored.filter("match_seq > 0").withColumn("id_match", F.col("match_seq")).hint("rebalance", "season_start")
 
 
 def append_log(spark: SparkSession, table: str, name: str, raw: DataFrame, roster: DataFrame,
@@ -60,22 +69,21 @@ def append_log(spark: SparkSession, table: str, name: str, raw: DataFrame, roste
     """Append a log to a table of loads, under a name that tells a repeat.
 
     ``raw`` is a log as ``io.read_play_log`` gives it (matches by game id) or
-    ``io.read_ordered_log`` (matches by start marks). The events are written
-    once and read back for the counts, so the raw log is parsed once.
+    ``io.read_ordered_log`` (matches by start marks). The counts and the largest
+    id are read back from the events that were written.
     """
     def build(key: str) -> int:
         aside = scratch_path(spark, "load")
-        (_by_mark if "log_split" in raw.columns else _by_game)(raw, roster).select(
-            "id_match", *ORDERED_COLUMNS).write.parquet(aside)
-        events = spark.read.parquet(aside)
-        typed = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
-        L.write_part(typed.hint("rebalance", "season_start"), table, EVENTS, key, ("season_start",))
+        by_mark = "log_split" in raw.columns
+        rows = _by_mark(raw, roster) if by_mark else _by_game(raw, roster, aside)
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+        events = spark.read.schema(EVENT_SCHEMA).parquet(L.write_part(typed, table, EVENTS, key, ("season_start",)))
+        if not by_mark:
+            drop_path(spark, aside)
         counts = M.player_season_metrics(events, by_quarter=True)
         L.write_part(counts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in METRIC_SCHEMA.fields]), table,
                      METRICS, key, ("season_start",))
-        ids = events.agg(F.coalesce(F.max("id_match"), F.lit(0))).first()[0]
-        drop_path(spark, aside)
-        return ids
+        return events.agg(F.coalesce(F.max("id_match"), F.lit(0))).first()[0]
 
     return L.append_load(spark, table, name, L.content_fingerprint(raw.select("value")), build, replacing)
 

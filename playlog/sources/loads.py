@@ -139,9 +139,11 @@ def append_load(spark: SparkSession, table: str, name: str, fingerprint: str, bu
             return new
 
 
-def write_part(df: DataFrame, table: str, part: str, key: str, partition_by: tuple[str, ...] = ()) -> None:
-    """One part of a load that is being built."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table.rstrip('/')}/{part}/load={key}")
+def write_part(df: DataFrame, table: str, part: str, key: str, partition_by: tuple[str, ...] = ()) -> str:
+    """One part of a load that is being built; gives its folder."""
+    path = f"{table.rstrip('/')}/{part}/load={key}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
 
 
 def read_part(spark: SparkSession, table: str, part: str, schema: T.StructType, version: int | None = None,

@@ -196,3 +196,22 @@ def test_matches_by_marks_append_too(spark, tmp_path):
     assert [r["id_match"] for r in got] == [1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4, 4]
     assert [r["score_home"] for r in got] == [2, 4, 6] * 4 and {r["player"] for r in got} == {"User, 2"}
     assert rows(M.metric_view(appends.report_counts(spark, t), "points"), "player", "points") == [("User, 2", 24)]
+
+
+def test_append_moves_lines_not_events(spark, sf_small, tmp_path, monkeypatch):
+    """What an append deals by season are the lines with their ids and scores; the events are parsed where they are
+    written, and are those of the plain parse and join."""
+    plans, write = [], L.write_part
+    monkeypatch.setattr(L, "write_part", lambda df, *a: (
+        plans.append(df._jdf.queryExecution().optimizedPlan()), write(df, *a))[1])
+    odd = spark.createDataFrame([("no tabs",), ("20240101T00V01\tx\t\t[T00] ",)], "value string")
+    log, roster = C.log_b(spark, sf_small).unionByName(odd), A.corpus_b_roster(spark, sf_small)
+    appends.append_log(spark, f"{tmp_path}/t", "one", log, roster)
+    node = plans[0]
+    while node.nodeName() != "RebalancePartitions":
+        node = node.children().apply(0)
+    names = {node.output().apply(i).name() for i in range(node.output().size())}
+    assert names == {"value", "player", "season_start", "game_id", "line_no", "score_home", "score_away", "id_match"}
+    want = events_table(log, roster)
+    got = appends.read_events(spark, f"{tmp_path}/t")
+    assert got.count() == want.count() and got.select(want.columns).exceptAll(want).count() == 0
