@@ -32,6 +32,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
 import zlib
 from array import array
 from functools import lru_cache
@@ -75,12 +76,20 @@ def unlike(pattern: str) -> tuple[str, str]:
     return C.differing(pattern, members)
 
 
+def plain_letters(pattern: str) -> bool:
+    """Whether a blank and the ASCII letters after it are one match of the pattern:
+    only its alternatives that begin with an apostrophe come before ` ?\\p{L}+`."""
+    before, letters, _ = f"|{pattern}|".partition(r"| ?\p{L}+|")
+    return bool(letters) and "(" not in before and all(x.startswith("'") for x in before.split("|") if x)
+
+
 class _Words:
     """Pre-tokens of the texts of one block, numbered by first use. Pieces that
-    hold a character of ``apart`` stay whole, and so do texts with one of ``spaces``."""
+    hold a character of ``apart`` stay whole, and so do texts with one of ``spaces``.
+    ``plain``: a blank and ASCII letters are one pre-token, which needn't be looked for."""
 
-    def __init__(self, find, spaces: str = "", apart: str = "", longest: int = 64):
-        self.find, self.longest = find, longest
+    def __init__(self, find, spaces: str = "", apart: str = "", longest: int = 64, plain: bool = False):
+        self.find, self.longest, self.plain = find, longest, plain
         self.spaces, self.apart = C.any_of(spaces), C.any_of(apart + spaces)
         # no byte below this begins one of those characters, so texts of smaller bytes needn't be looked through
         self.lead = min((c.encode()[0] for c in apart + spaces), default=256)
@@ -90,6 +99,8 @@ class _Words:
     def _codes(self, text: str, watch: bool = True) -> bytes:
         number = self.number
         found = [text] if watch and not text.isascii() and self.apart(text) else self.find(text)
+        if len(found) == 1:
+            return number.setdefault(found[0], len(number)).to_bytes(4, sys.byteorder)
         return array("I", [number.setdefault(w, len(number)) for w in found]).tobytes()
 
     def text(self, t: str) -> bytes:
@@ -100,11 +111,14 @@ class _Words:
         if _UNSAFE.search(t) or (watch and self.spaces(t)):
             return self._codes(t, watch)
         head, *rest = t.split(" ")
-        out, pieces = [self._codes(head, watch)], self.pieces
+        out, pieces, number, plain = [self._codes(head, watch)], self.pieces, self.number, self.plain
         for r in rest:
             c = pieces.get(r)
             if c is None:
-                c = self._codes(" " + r, watch)
+                if plain and r.isascii() and r.isalpha():
+                    c = number.setdefault(" " + r, len(number)).to_bytes(4, sys.byteorder)
+                else:
+                    c = self._codes(" " + r, watch)
                 if len(r) <= self.longest:
                     pieces[r] = c
             out.append(c)
@@ -143,14 +157,14 @@ def _blocks(src: DataFrame, pattern: str, buckets: int, block_bytes: int, emit,
     numbers. The digest comes from the block's words in order, its name from
     those and the keys of its rows, so that blocks of alike words, or of no
     words, are dealt apart."""
-    spaces, apart = unlike(pattern)
+    (spaces, apart), plain = unlike(pattern), plain_letters(pattern)
 
     def run(batches):
         find = regex.compile(pattern).findall
         out = C.arrow_schema(*schema.fields)
         for batch in batches:
             for part in C.slices(batch, "body", block_bytes):
-                words = _Words(find, spaces, apart)
+                words = _Words(find, spaces, apart, plain=plain)
                 texts = [words.text(b.as_py().decode("utf-8", "replace")) for b in part.column(3)]
                 codes = np.frombuffer(b"".join(texts), np.uint32)
                 names = [w.encode("utf-8", "replace") for w in words.number]

@@ -98,3 +98,22 @@ def test_query(spark, sf_small, plain):
         assert (g["n_tokens"], g["ids_sha256"], g["decoded_sha256"]) == (
             len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(),
             hashlib.sha256(r["text"].encode()).hexdigest())
+
+
+def test_plain_words_are_not_looked_for():
+    """A blank and ASCII letters are one match of the pattern; the numbers are those of the pattern on the whole text."""
+    import public_tokenizers
+    import regex
+
+    from playlog.llm.bpe import _Words, plain_letters
+
+    p = public_tokenizers.PATTERN
+    assert plain_letters(p) and plain_letters(r" ?\p{L}+|\s+")
+    assert not any(map(plain_letters, (r" a+| ?\p{L}+", r"\p{L}+", r"'(?:a| ?\p{L}+|b)", "", r" ?\p{L}+\d")))
+    find, asked = regex.compile(p).findall, []
+    for t in ("a plain text of words", "it's  two blanks", "don't, été über 12ab a1 x", " lead", "tail ", "a\n b\tc ", "ſ K 中文 words", "I'll've done"):
+        words = _Words(lambda x: asked.append(x) or find(x), plain=True)
+        codes = np.frombuffer(words.text(t), np.uint32).tolist()
+        names = list(words.number)
+        assert [names[c] for c in codes] == find(t)
+    assert asked[0] == "a" and " plain" not in asked
