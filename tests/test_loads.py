@@ -167,11 +167,10 @@ def test_appends_and_reports_read_what_is_new(spark, sf_small, tmp_path):
     first = L.current(spark, t)[1][0].key
     for d, _, names in os.walk(f"{t}/events/load={first}"):
         for n in names:
-            os.chmod(os.path.join(d, n), 0)
             if n.endswith(".parquet"):
-                with open(os.path.join(d, n), "r+b") if os.access(os.path.join(d, n), os.W_OK) else open(
-                        os.devnull, "r+b") as f:
+                with open(os.path.join(d, n), "r+b") as f:
                     f.truncate(0)  # an event file that is read now would fail
+            os.chmod(os.path.join(d, n), 0)
     late = _season(spark, sf_small, False)
     appends.append_log(spark, t, "late", late, roster)
     counts = appends.report_counts(spark, t)
