@@ -118,3 +118,43 @@ def test_json_events_carry_no_document(spark, sf_small):
     txt = C.QUERIES["documents_json_round_trip"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     carried = re.search(r"Generate explode\([^)]*\), \[([^\]]*)\]", txt)[1]
     assert re.fullmatch(r"game_id#\d+", carried), carried
+
+
+def _names(plan) -> set:
+    return {plan.output().apply(i).name() for i in range(plan.output().size())}
+
+
+def test_documents_move_each_line_number_once(spark, sf_small):
+    """What is grouped into documents holds the line number, not its text beside it."""
+    plan = C._docs_b(spark, sf_small)._jdf.queryExecution().optimizedPlan()
+    grouped, = [n for n in _nodes(plan) if n.nodeName() == "Aggregate" and "_pl_report" in _names(n)]
+    out, = [a for a in (grouped.output().apply(i) for i in range(grouped.output().size())) if a.name() == "_pl_report"]
+    assert "_pl_line" in out.dataType().catalogString() and "idLineEvent" not in out.dataType().catalogString()
+
+
+def test_roster_join_moves_lines_and_keys(spark, sf_small):
+    """The columns that the scores need are parsed behind the join; the rows are those of the plain parse and join."""
+    from playlog.operators import ingest as I
+    from playlog.operators.parse import parse_log
+    from playlog.operators.roster import resolve_players
+    from playlog.sources import adapters as A
+
+    odd = [None, "", "no tabs", "20200101H00A00\tx\t\t[H00] ", "bad\t1\t00:01:00\t[H00 1-0] Nobody Jump Shot: Made (2 PTS)"]
+    log = C.log_b(spark, sf_small).unionByName(spark.createDataFrame([(x,) for x in odd], "value string"))
+    roster = A.corpus_b_roster(spark, sf_small)
+    got = I.resolved_lines(log, roster, keep=I.PLACES)
+    join, = [n for n in _nodes(got._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join"]
+    assert _names(join.left()) == {"value", "name_token", "team", "_pl_salt"}
+    want = resolve_players(parse_log(log), roster).select("value", "player", "season_start", *I.PLACES)
+    assert got.columns == want.columns
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_running_values_move_no_group_column_beside_its_key(spark, sf_small):
+    """The rows that the window sorts hold the game once; scored events hold what the table can't tell."""
+    from playlog.sources import adapters as A
+
+    plan = A.corpus_b_scored(spark, sf_small)._jdf.queryExecution().optimizedPlan()
+    windows = [_names(n.child()) for n in _nodes(plan) if n.nodeName() == "Window"]
+    rows = [w for w in windows if "event_id" in w]
+    assert rows and all("_pl_g0" in w and not w & {"game_id", "home", "away"} for w in rows)
