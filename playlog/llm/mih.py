@@ -95,20 +95,26 @@ def _itq(x: np.ndarray, bits: int, rng: np.random.Generator, rounds: int = 40) -
     return p @ r
 
 
-# Substrings that a code of 64 bits may be cut into; a probe costs about as much as this many meetings.
+# Substrings that a code of 64 bits may be cut into; a probe, which carries its query's vector through a shuffle,
+# costs about as much as this many meetings.
 PARTS = (4, 8, 16)
-PROBE = 4.0
+PROBE = 64.0
+# Rows that a bucket holds before it is split; entries that are written at a time, however many a row has.
+BUCKET = 8192
+ENTRIES = 8192
 
 
-def _cut(codes: Codes, code: np.ndarray, n: int, choices: tuple[int, ...]) -> Codes:
-    """The cut with the least work a query, by probes and by what they meet among
-    the sample's codes, carried on to ``n`` rows. Every radius up to the next
-    multiple of the parts costs the same probes, so the radius goes up to it."""
+def _cut(codes: Codes, code: np.ndarray, n: int, choices: tuple[int, ...], bucket: int = BUCKET) -> Codes:
+    """The cut with the least work a query, by probes (one to each part of a split
+    bucket) and by what they meet among the sample's codes, carried on to ``n``
+    rows. Every radius up to the next multiple of the parts costs the same probes,
+    so the radius goes up to it."""
     best = None
     for parts in choices:
         radius = min(codes.bits, (codes.radius // parts + 1) * parts - 1)
         c = replace(codes, parts=parts, radius=radius)
-        probes = parts * sum(comb(c.width, i) for i in range(c.near + 1))
+        split = max(1, -(-n // (bucket << c.width)))
+        probes = parts * sum(comb(c.width, i) for i in range(c.near + 1)) * split
         met = np.mean([c.retrieves(q[None], code).sum() for q in code[:64]]) / len(code) * n
         work = PROBE * probes + met
         if best is None or work < best[0]:
@@ -117,7 +123,7 @@ def _cut(codes: Codes, code: np.ndarray, n: int, choices: tuple[int, ...]) -> Co
 
 
 def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int | None = None, sample: int = 4000,
-        target: float = 0.97, seed: int = 7) -> Codes | None:
+        target: float = 0.97, seed: int = 7, bucket: int = BUCKET) -> Codes | None:
     """Learn from the ``sample`` rows (id, vec) of smallest id hash; ``parts``
     fixes the number of substrings, which else follows from the rows and the radius.
 
@@ -142,11 +148,10 @@ def fit(rows: DataFrame, k: int = 10, bits: int = 64, parts: int | None = None,
     far = np.sort(np.concatenate(far)) if len(x) > 1 else np.array([bits])
     radius = int(far[min(len(far) - 1, int(np.ceil(target * len(far))) - 1)])
     choices = (parts,) if parts else tuple(p for p in PARTS if bits % p == 0 and bits // p <= 16)
-    return _cut(replace(first, radius=radius), code, rows.count(), choices)
+    return _cut(replace(first, radius=radius), code, rows.count(), choices, bucket)
 
 
-_ROW = [("part", "int"), ("value", "int"), ("salt", "int"), ("kind", "int"), ("id", "long"), ("code", "binary"),
-        ("vec", "array<double>")]
+_ROW = [("part", "int"), ("value", "int"), ("salt", "int"), ("kind", "int"), ("id", "long"), ("code", "binary")]
 _OUT = [("query_id", "long"), ("id", "long"), ("distance", "double")]
 
 
@@ -156,8 +161,9 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 0)
 
 
-def _lists(x: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
+def _lists(x: np.ndarray, kind: pa.DataType) -> pa.Array:
+    flat = pa.array(x.ravel(), pa.float64()).cast(kind)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), flat)
 
 
 def _mixed(ids: np.ndarray, vec: np.ndarray) -> np.ndarray:
@@ -170,32 +176,62 @@ def _mixed(ids: np.ndarray, vec: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(33)).astype(np.int64)
 
 
-def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int) -> DataFrame:
-    """The index entries of rows (kind 0), or the probes of queries (kind 1; kind 2: of every value of one index)."""
+def _few(batch: pa.RecordBatch, codes: Codes, most: int):
+    """Ids, vectors, codes and substrings of ``most`` rows at a time."""
+    for at in range(0, batch.num_rows, most):
+        some = batch.slice(at, most)
+        vec = _matrix(some.column(1))
+        code = codes.of(vec)
+        yield some.column(0).to_numpy(zero_copy_only=False), vec, code, codes.substrings(code)
+
+
+def _sizes(rows: DataFrame, codes: C.Shared) -> DataFrame:
+    """part, value, count: the rows of each bucket."""
+
+    def run(batch):
+        c = codes.get()
+        for _, _, _, sub in _few(batch, c, 4096):
+            for part in range(c.parts):
+                value, n = np.unique(sub[:, part], return_counts=True)
+                yield {"part": np.full(len(value), part), "value": value, "count": n}
+
+    counted = C.map_arrow(rows, run, [C.field("part", "int"), C.field("value", "int"), C.field("count", "long")])
+    return counted.groupBy("part", "value").agg(F.sum("count").alias("count"))
+
+
+def _spread(rows: DataFrame, codes: C.Shared, salts: C.Shared, kind: int, everything: bool = False) -> DataFrame:
+    """The index entries of rows (kind 0), or the probes of queries (kind 1).
+
+    ``everything``: all rows are one bucket, split by its salts, that every query
+    probes. A query has as many probes as there are buckets near it, which grows
+    with the table; they are written ``ENTRIES`` at a time."""
+    single = isinstance(rows.schema["vec"].dataType.elementType, T.FloatType)
+    numbers = pa.float32() if single else pa.float64()
 
     def run(batch):
         if not batch.num_rows:
             return
         c, n_salts = codes.get(), salts.get()
-        reach = range(c.near + 1) if kind == 1 else range(c.width + 1) if kind == 2 else range(1)
-        flips = np.array([sum(1 << b for b in f) for n in reach for f in combinations(range(c.width), n)])
-        for at in range(0, batch.num_rows, 256):
-            few = batch.slice(at, 256)
-            ids, vec = few.column(0).to_numpy(zero_copy_only=False), _matrix(few.column(1))
-            code, mixed = c.of(vec), _mixed(ids, vec)
-            for part, sub in enumerate(c.substrings(code).T[:1 if kind == 2 else None]):
-                row, value = np.repeat(np.arange(len(sub)), len(flips)), (sub[:, None] ^ flips).ravel()
+        flips = np.array([sum(1 << b for b in f) for n in range(c.near + 1 if kind and not everything else 1)
+                          for f in combinations(range(c.width), n)])
+        for ids, vec, code, sub in _few(batch, c, max(1, min(256, ENTRIES // len(flips)))):
+            mixed = None if kind else _mixed(ids, vec)
+            code = np.array([x.tobytes() for x in code], object)
+            for part, of_part in enumerate(np.zeros((1, len(sub)), np.int64) if everything else sub.T):
+                row, value = np.repeat(np.arange(len(sub)), len(flips)), (of_part[:, None] ^ flips).ravel()
                 split = n_salts[part, value]
                 if kind:
                     row, value = np.repeat(row, split), np.repeat(value, split)
                     salt = np.arange(len(row)) - np.repeat(np.cumsum(split) - split, split)
                 else:
                     salt = mixed % split
-                yield {"part": np.full(len(row), part), "value": value, "salt": salt,
-                       "kind": np.full(len(row), min(kind, 1)), "id": ids[row],
-                       "code": [bytes(x) for x in code[row]], "vec": _lists(vec[row])}
+                for at in range(0, len(row), ENTRIES):
+                    some = slice(at, at + ENTRIES)
+                    r = row[some]
+                    yield {"part": np.full(len(r), part), "value": value[some], "salt": salt[some],
+                           "kind": np.full(len(r), kind), "id": ids[r], "code": code[r], "vec": _lists(vec[r], numbers)}
 
-    return C.map_arrow(rows, run, [C.field(*f) for f in _ROW])
+    return C.map_arrow(rows, run, [*[C.field(*f) for f in _ROW], C.field("vec", "array<float>" if single else "array<double>")])
 
 
 def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
@@ -255,6 +291,9 @@ class _Bucket:
     def _within(self, differ: np.ndarray, p: int) -> np.ndarray:
         """Differing bits of substring p."""
         w = self.codes.width
+        if 8 % w == 0:
+            byte, bit = divmod(p * w, 8)
+            return np.bitwise_count(differ[..., byte] & np.uint8((1 << 8 - bit) - (1 << 8 - bit - w)))
         if w % 8 == 0:
             return np.bitwise_count(differ[..., p * w // 8:(p + 1) * w // 8]).sum(axis=2, dtype=np.int64)
         return np.unpackbits(differ, axis=2)[..., p * w:(p + 1) * w].sum(axis=2, dtype=np.int64)
@@ -305,7 +344,7 @@ def _search(index: DataFrame, probes: DataFrame, codes: C.Shared, everything: bo
 
 
 def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
-               bits: int = 64, parts: int | None = None, bucket: int = 8192, **learning) -> DataFrame:
+               bits: int = 64, parts: int | None = None, bucket: int = BUCKET, **learning) -> DataFrame:
     """query_id, rank (from 1), id, distance: for each row where ``queries``
     holds, the k nearest found among all other rows."""
     spark = vectors.sparkSession
@@ -315,18 +354,18 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     if not lengths:
         return empty
     good = vectors.filter(usable(vec_col, lengths[0]["n"]) & F.col(id_col).isNotNull())
-    vec = F.col(vec_col).cast("array<double>").alias("vec")
+    # floats stay floats where they are moved, half as large, and are doubles where they are compared
+    numbers = "float" if isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType) else "double"
+    vec = F.col(vec_col).cast(f"array<{numbers}>").alias("vec")
     rows = good.select(F.col(id_col).cast("long").alias("id"), vec)
     asked = good.filter(queries).select(F.col(id_col).cast("long").alias("id"), vec)
-    model = fit(rows, k, bits, parts, **learning)
+    model = fit(rows, k, bits, parts, bucket=bucket, **learning)
     if model is None:
         return empty
     codes = C.Shared(spark, model)
-    whole = C.Shared(spark, np.ones((model.parts, 1 << model.width), np.int64))
-    index = _spread(rows, codes, whole, 0)
     # one number for each bucket: at most parts x 2 ** width, 262,144
-    sizes = index.groupBy("part", "value").count().collect()
-    split = np.ones((model.parts, 1 << model.width), np.int64)
+    sizes = _sizes(rows, codes).collect()
+    split = np.zeros((model.parts, 1 << model.width), np.int64)  # none: nothing to probe
     for r in sizes:
         split[r["part"], r["value"]] = -(-r["count"] // bucket)
     salts = C.Shared(spark, split)
@@ -335,7 +374,9 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     short = C.cut(asked.join(enough, "id", "left_anti"))
     if short.isEmpty():
         return found
-    again = _search(_spread(rows, codes, salts, 0).filter("part = 0"), _spread(short, codes, salts, 2), codes, True, k)
+    n = sum(r["count"] for r in sizes if r["part"] == 0)
+    whole = C.Shared(spark, np.array([[-(-n // bucket)]]))
+    again = _search(_spread(rows, codes, whole, 0, True), _spread(short, codes, whole, 1, True), codes, True, k)
     rest = _ranked(again, k)
     return found.join(enough, found["query_id"] == enough["id"], "left_semi").unionByName(rest)
 

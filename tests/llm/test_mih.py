@@ -1,4 +1,7 @@
+from math import comb
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from playlog.llm import mih
@@ -137,3 +140,55 @@ def test_query_recall(spark, sf_small):
     want = {int(ids[q]): set(_plain(ids, x, q)[0]) for q in range(len(ids)) if ids[q] % 100 == 0}
     assert found.keys() == want.keys()
     assert sum(len(found[q] & want[q]) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_many_probes_are_written_a_few_at_a_time(spark, monkeypatch):
+    """Long substrings of a wide radius, buckets split many times: what a task holds doesn't follow the probes."""
+    class Held:
+        def __init__(self, value):
+            self.get = lambda: value
+
+    x = np.random.default_rng(8).normal(size=(3, 16))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3)), pa.array(x.tolist())], names=["id", "vec"])
+    codes = mih.Codes(np.zeros(16), np.tile(np.eye(16), 4), 31, 4)
+    split = np.random.default_rng(9).integers(0, 3, (4, 1 << 16))
+    rows = spark.createDataFrame([], "id long, vec array<double>")
+    run = []
+    monkeypatch.setattr(mih.C, "map_arrow", lambda df, fn, out: run.append(fn))
+    mih._spread(rows, Held(codes), Held(split), 1)
+    mih._spread(rows, Held(codes), Held(np.array([[50_000]])), 1, True)
+    near = np.flatnonzero(np.bitwise_count(np.arange(1 << 16)) <= codes.near)
+    subs = codes.substrings(codes.of(x))
+    want = [split[p, s ^ near].sum() for s in subs for p, s in enumerate(s)]
+    for fn, total in zip(run, (sum(want), 3 * 50_000)):
+        sizes = [len(c["id"]) for c in fn(batch)]
+        assert sum(sizes) == total and max(sizes) <= mih.ENTRIES
+
+
+def test_a_wide_radius_has_few_probes_in_a_large_table(spark):
+    code = np.packbits(np.random.default_rng(3).integers(0, 2, (2000, 64)) > 0, axis=1)
+    base = mih.Codes(np.zeros(64), np.eye(64), 29, 8)
+    for n in (50_000, 600_000, 5_000_000):
+        c = mih._cut(base, code, n, mih.PARTS)
+        assert c.parts * sum(comb(c.width, i) for i in range(c.near + 1)) < 1000
+
+
+def test_within_counts_the_bits_of_a_substring():
+    differ = np.random.default_rng(4).integers(0, 256, (3, 5, 8)).astype(np.uint8)
+    bits = np.unpackbits(differ, axis=2)
+    for parts in (4, 8, 16, 32):
+        b = mih._Bucket(mih.Codes(np.zeros(64), np.eye(64), 31, parts), 0, False, 3)
+        for p in range(parts):
+            w = 64 // parts
+            assert (b._within(differ, p) == bits[..., p * w:(p + 1) * w].sum(axis=2)).all()
+
+
+def test_floats_are_moved_as_floats(spark):
+    x = np.random.default_rng(10).normal(size=(50, 8)).astype(np.float32)
+    codes = mih.C.Shared(spark, mih.Codes(np.zeros(8), np.tile(np.eye(8), 8), 7, 8))
+    salts = mih.C.Shared(spark, np.ones((8, 256), int))
+    for kind in ("float", "double"):
+        rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], f"id long, vec array<{kind}>")
+        entries = mih._spread(rows, codes, salts, 0)
+        assert entries.schema["vec"].dataType.simpleString() == f"array<{kind}>"
+        assert all(np.array_equal(x[r["id"]], r["vec"]) for r in entries.collect())
