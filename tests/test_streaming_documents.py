@@ -1,10 +1,14 @@
 """Documents of a log that still arrives: as the batch makes them of the whole log."""
 
+import json
 import os
+import random
 import time
 
+import pyarrow as pa
 import pytest
 
+from playlog import schemas
 from playlog.operators.parse import parse_log
 from playlog.operators.roster import resolve_players
 from playlog.operators.segments import build_marked_matches, marked_scores, segment_matches
@@ -124,3 +128,134 @@ def test_a_pause_ends_a_match(spark, tmp_path, roster):
         ("match", 1, None), ("match", 2, None)]
     assert [r["late"] for r in got if r["kind"] == "late"] == [1]
     assert [e["scoreHome"] for e in next(r for r in got if r["id_match"] == 2)["report"]] == [1, 2, 3, 4, 5]
+
+
+def _plain(steps, max_events):
+    """(documents, late lines) line by line: each step is the lines of a micro-batch, or None for a pause."""
+    docs, late, place, seq, part, mark, held, home, away = [], 0, ("", -1), 0, 0, None, [], 0, 0
+
+    def send():
+        nonlocal part, held
+        if mark and held:
+            docs.append((seq, part, *mark, held))
+            part, held = part + 1, []
+
+    for lines in steps:
+        if lines is None:
+            send()
+            mark, part = None, 0
+            continue
+        for r in sorted(lines, key=lambda r: (r["log_split"], r["log_row"])):
+            at, begins = (r["log_split"], r["log_row"]), r["line_no"] == 1
+            if at <= place or (mark is None and seq and not begins):
+                late += 1
+                continue
+            place = at
+            if begins:
+                send()
+                seq, home, away, part, mark = seq + 1, 0, 0, 0, tuple(r[c] for c in ("game_id", "date", "home", "away"))
+            elif mark is None:
+                continue
+            home = home if r["score_home_token"] is None else r["score_home_token"]
+            away = away if r["score_away_token"] is None else r["score_away_token"]
+            n = r["line_no"]
+            held.append((r["type"], None if n is None else str(n), r["home"], r["away"], r["time_remaining"], r["entry"],
+                         home, away, r["player"]))
+            if len(held) >= max_events:
+                send()
+    return docs, late
+
+
+def _by_blocks(steps, max_events, rng):
+    """The same by packed blocks, the state written and read between the steps."""
+    docs, late, state = [], 0, None
+    schema = pa.schema([("feed", pa.string()), ("log_split", pa.string()), *D._LINE])
+    for lines in steps:
+        feed = D._Feed("f", state, max_events)
+        if lines is None:
+            feed.end()
+        else:
+            lines = [{"feed": "f"} | r for r in rng.sample(lines, len(lines))]
+            cut = rng.randrange(len(lines) + 1)
+            batches = [pa.RecordBatch.from_pylist(x, schema) for x in (lines[:cut], lines[cut:])]
+            blocks = [r for b in D._blocks(iter(batches)) for r in b.to_pylist()]
+            for r in sorted(blocks, key=lambda r: (r["log_split"], r["first"])):
+                feed.block(r)
+        state = feed.state()
+        assert sum(x[1] for x in json.loads(state[-1])) < max_events
+        for frame in feed.frames(3):
+            for run in frame.astype(object).where(frame.notna(), None).to_dict("records"):
+                if run["kind"] == "late":
+                    late += run["late"]
+                    continue
+                for d in D._documents_of(run, max_events, D.to_arrow_schema(D.DOCUMENT)).to_pylist():
+                    docs.append((d["id_match"], d["part"], d["game_id"], d["date"], d["home"], d["away"],
+                                 [tuple(e.values()) for e in d["report"]]))
+    return docs, late
+
+
+def test_packed_blocks_equal_single_lines(monkeypatch):
+    """Any cut into blocks, parts and micro-batches: marks, headings, late and repeated lines, pauses, missing values."""
+    for seed in range(150):
+        rng = random.Random(seed)
+        monkeypatch.setattr(D, "BLOCK_LINES", rng.choice([1, 2, 5, 16, 100]))
+        marks, steps = rng.choice([0.02, 0.1, 0.5, 0.9]), []
+        for k in range(rng.randrange(1, 6)):
+            some = lambda *x: rng.choice([None, *x])
+            lines = [{"log_split": f"s{k // 2 if rng.random() < 0.3 else k}-{i // 20}", "line_no": 1 if rng.random() < marks else some(2, 3),
+                      "game_id": some("g", "h"), "date": some("d", ""), "home": some("H", "é"), "away": some("A"),
+                      "time_remaining": some("t"), "entry": f"{k} {i}", "type": some("point"), "player": some("p", "q"),
+                      "score_home_token": some(3, 5, 8), "score_away_token": some(2, 7)} for i in range(rng.randrange(60))]
+            for split in {r["log_split"] for r in lines}:
+                first = rng.choice([0, 0, 5])
+                for n, r in enumerate(r for r in lines if r["log_split"] == split):
+                    r["log_row"] = first + n
+            steps += [lines] + [None] * (rng.random() < 0.2)
+        for max_events in (1, 7, 10_000):
+            assert _by_blocks(steps, max_events, rng) == _plain(steps, max_events), (seed, max_events)
+
+
+def test_the_state_takes_in_blocks_not_lines(spark, tmp_path, roster):
+    """A feed's state is in one task: what it reads has a row for many lines, without their texts."""
+    (tmp_path / "a").mkdir()
+    docs = D.live_documents(D.read_feeds(spark, f"{tmp_path}/*/"), roster, 100)
+    todo, found = [docs._jdf.queryExecution().analyzed()], []
+    while todo:
+        p = todo.pop()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+        if "WithState" in p.nodeName():
+            found.append({p.child().output().apply(i).name() for i in range(p.child().output().size())})
+    names, = found
+    assert {"head", "middle", "tail", "middle_matches"} <= names and not names & {"entry", "player", "log_row", "value"}
+
+
+def test_lines_of_a_split_are_numbered_over_batches(spark, tmp_path):
+    """The numbers go on where a split's lines come in several batches, and start again with the next split."""
+    for k, n in enumerate((5, 0, 3, 12)):
+        (tmp_path / f"log-{k}.txt").write_text("".join(f"{k} {i}\n" for i in range(n)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        q = D.read_feeds(spark, str(tmp_path)).writeStream.format("memory").queryName("numbered").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        got = [(r["value"], r["log_row"], r["log_split"]) for r in spark.table("numbered").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 20 and all(v.split()[1] == str(n) and f"log-{v.split()[0]}.txt" in s for v, n, s in got)
+
+
+@pytest.mark.parametrize("begins", [True, False])
+def test_a_match_kept_by_lines_goes_on(begins):
+    """A checkpoint of before lines were packed: its open match ends with the lines that follow."""
+    names = [f.name for f in schemas.REPORT_EVENT.fields]
+    kept = [dict(zip(names, ("point", n, "H", "A", "t", f"e{i}", i, 2, "p"))) for i, n in enumerate(["1" if begins else "7", None, "3"])]
+    state = ("s0", 5, 4, 0 if begins else 2, 2, 2, json.dumps(["g", "d", "H", "A"]), json.dumps(kept))
+    feed = D._Feed("f", state, 10)
+    again = D._Feed("f", feed.state(), 10)
+    line = dict.fromkeys(D._LINE.names) | {"log_row": 6, "line_no": 8, "entry": "e3", "score_away_token": 9}
+    again.block({"log_split": "s0"} | D._block(pa.RecordBatch.from_pylist([line], D._LINE)))
+    again.end()
+    run, = [r for f in again.frames() for r in f.astype(object).where(f.notna(), None).to_dict("records")]
+    doc, = D._documents_of(run, 10, D.to_arrow_schema(D.DOCUMENT)).to_pylist()
+    report = kept + [dict(zip(names, (None, "8", None, None, None, "e3", 2, 9, None)))]
+    assert doc == {"kind": "match", "feed": "f", "id_match": 4, "game_id": "g", "part": 0 if begins else 2, "date": "d",
+                   "home": "H", "away": "A", "report": report, "late": None}
